@@ -13,13 +13,20 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import cut_lineage
+
 _ROWS_PER_RANGE = 2_000_000
 _SAMPLES_PER_RANGE = 20
 
 
 def with_consecutive_ids(df: DataFrame, order_col: str, id_col: str, start: int = 0,
                          rows_per_range: int = _ROWS_PER_RANGE) -> DataFrame:
-    """Add ``id_col`` = start + 1, start + 2, ... in ``order_col`` order (NULLs first)."""
+    """Add ``id_col`` = start + 1, start + 2, ... in ``order_col`` order (NULLs first).
+
+    The input is checkpointed first: it is read three times (count, sample +
+    range counts, numbering) and must not be recomputed from its lineage.
+    """
+    df = cut_lineage(df)
     n = df.count()
     if n == 0:
         return df.withColumn(id_col, F.lit(None).cast("bigint"))

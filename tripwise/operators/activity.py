@@ -25,6 +25,10 @@ from pyspark.sql import functions as F
 from ..config import DEFAULT, EngagementConfig
 from ..functions.ratios import half_up_ratio
 
+# Stored types of the driver-day table: 18 digits hold any daily per-driver
+# value and encode as 64-bit integers in parquet (38 digits need 16-byte binaries).
+MONEY, DISTANCE, RATE = "decimal(18,2)", "decimal(18,0)", "decimal(18,2)"
+
 MEASURES = ("total_route_distance", "total_offers", "offers_accepted", "offers_cancelled", "offers_read",
             "total_bookings", "completed_trips", "driver_abort_count", "no_driver_found_count",
             "total_est_revenue", "missing_driver_offers_records", "missing_driver_bookings_records")
@@ -78,7 +82,7 @@ def offers_daily(fact_offers: DataFrame, cfg: EngagementConfig = DEFAULT) -> Dat
     """G1 as written: per driver (NULL kept as a group) and day in the window."""
     return (offers_in_window(fact_offers, cfg)
             .groupBy("driver_id", F.col("offer_created_date_key").alias("activity_date_key"))
-            .agg(F.sum("route_distance").cast("decimal(38,0)").alias("route_distance"),
+            .agg(F.sum("route_distance").cast(DISTANCE).alias("route_distance"),
                  _count_if(F.col("is_missing_driver") == 1).alias("missing_driver_offers_records"),
                  F.count("offer_id").alias("total_offers"),
                  F.sum(F.when(F.col("offer_state") == "ACCEPTED", 1).otherwise(0)).cast("bigint").alias("offers_accepted"),
@@ -97,29 +101,23 @@ def bookings_daily(fact_bookings: DataFrame, cfg: EngagementConfig = DEFAULT) ->
                  _count_if(st == "DRIVER_ABORT").alias("driver_abort_count"),
                  _count_if(st == "NO_DRIVER_FOUND").alias("no_driver_found_count"),
                  F.sum(F.when(st == "SUCCESS", F.col("estimated_route_fare")).otherwise(F.lit(0)))
-                 .cast("decimal(38,2)").alias("total_est_revenue")))
+                 .cast(MONEY).alias("total_est_revenue")))
 
 
 def _i(cond: Column) -> Column:
     return F.when(cond, F.lit(1)).otherwise(F.lit(0)).cast("bigint")
 
 
-def agg_driver_activity(dim_active: DataFrame, fact_offers: DataFrame, fact_bookings: DataFrame,
-                        cal: DataFrame, cfg: EngagementConfig = DEFAULT) -> DataFrame:
-    """One row per population driver and window day, measures 0 when idle."""
+def _daily_measures(fo: DataFrame, fb: DataFrame) -> DataFrame:
+    """Sparse per (driver, day) measures and rates, only for days with offers or bookings."""
     zero, null_d0, null_d2 = F.lit(0).cast("bigint"), F.lit(None).cast("decimal(38,0)"), F.lit(None).cast("decimal(38,2)")
-    fo = offers_in_window(fact_offers, cfg).filter(F.col("driver_id").isNotNull())
-    fb = bookings_in_window(fact_bookings, cfg).filter(F.col("driver_id").isNotNull())
-    spine = driver_date_spine(active_driver_population(dim_active, fact_offers, fact_bookings, cfg), cal, cfg)
+    st = F.col("booking_status")
 
     def row(driver, key, rd, n_off, acc, canc, read, mdo, n_bk, done, dab, ndf, rev, mdb):
         return [driver.alias("driver_id"), key.alias("activity_date_key"), rd.alias("rd"), n_off.alias("n_off"),
                 acc.alias("acc"), canc.alias("canc"), read.alias("rd_cnt"), mdo.alias("mdo"), n_bk.alias("n_bk"),
                 done.alias("done"), dab.alias("dab"), ndf.alias("ndf"), rev.alias("rev"), mdb.alias("mdb")]
 
-    st = F.col("booking_status")
-    spine_rows = spine.select(*row(F.col("driver_id"), F.col("activity_date_key"), null_d0, zero, zero, zero, zero,
-                                   zero, zero, zero, zero, zero, null_d2, zero))
     offer_rows = fo.select(*row(
         F.col("driver_id"), F.col("offer_created_date_key"), F.col("route_distance").cast("decimal(38,0)"),
         _i(F.col("offer_id").isNotNull()), _i(F.col("offer_state") == "ACCEPTED"),
@@ -131,8 +129,7 @@ def agg_driver_activity(dim_active: DataFrame, fact_offers: DataFrame, fact_book
         _i(st == "NO_DRIVER_FOUND"),
         F.when(st == "SUCCESS", F.col("estimated_route_fare")).otherwise(F.lit(0)).cast("decimal(38,2)"),
         _i(F.col("is_missing_driver") == 1)))
-
-    daily = (spine_rows.unionByName(offer_rows).unionByName(booking_rows)
+    daily = (offer_rows.unionByName(booking_rows)
              .groupBy("driver_id", "activity_date_key")
              .agg(F.sum("rd").alias("rd"), F.sum("n_off").alias("total_offers"), F.sum("acc").alias("offers_accepted"),
                   F.sum("canc").alias("offers_cancelled"), F.sum("rd_cnt").alias("offers_read"),
@@ -142,18 +139,72 @@ def agg_driver_activity(dim_active: DataFrame, fact_offers: DataFrame, fact_book
                   F.sum("mdb").alias("missing_driver_bookings_records")))
 
     def rate(num: Column, den: Column, guard: Column) -> Column:
-        return F.when(guard > 0, half_up_ratio(num, den, 2)).otherwise(F.lit(0)).cast("decimal(38,2)")
+        # revenue stays NULL (not 0) inside the ratio when every fare of the day is NULL
+        return F.when(guard > 0, half_up_ratio(num, den, 2)).otherwise(F.lit(0)).cast(RATE)
 
     return daily.select(
         "driver_id", "activity_date_key",
-        F.try_to_date(F.col("activity_date_key").cast("string"), "yyyyMMdd").alias("activity_date"),
-        F.coalesce(F.col("rd"), F.lit(0)).cast("decimal(38,0)").alias("total_route_distance"),
+        F.coalesce(F.col("rd"), F.lit(0)).cast(DISTANCE).alias("total_route_distance"),
         "total_offers", "offers_accepted", "offers_cancelled", "offers_read",
         "total_bookings", "completed_trips", "driver_abort_count", "no_driver_found_count",
-        F.coalesce(F.col("rev"), F.lit(0)).cast("decimal(38,2)").alias("total_est_revenue"),
+        F.coalesce(F.col("rev"), F.lit(0)).cast(MONEY).alias("total_est_revenue"),
         "missing_driver_offers_records", "missing_driver_bookings_records",
         rate(F.col("offers_accepted"), F.col("total_offers"), F.col("total_offers")).alias("offer_acceptance_rate"),
         rate(F.col("completed_trips"), F.col("total_bookings"), F.col("total_bookings")).alias("booking_completion_rate"),
         rate(F.col("driver_abort_count"), F.col("total_bookings"), F.col("total_bookings")).alias("driver_abort_rate"),
         rate(F.col("rev"), F.col("completed_trips"), F.col("completed_trips")).alias("avg_est_revenue_per_trip"),
     )
+
+
+OUTPUT_MEASURES = ("total_route_distance", "total_offers", "offers_accepted", "offers_cancelled", "offers_read",
+                   "total_bookings", "completed_trips", "driver_abort_count", "no_driver_found_count",
+                   "total_est_revenue", "missing_driver_offers_records", "missing_driver_bookings_records",
+                   "offer_acceptance_rate", "booking_completion_rate", "driver_abort_rate",
+                   "avg_est_revenue_per_trip")
+
+
+def agg_driver_activity(dim_active: DataFrame, fact_offers: DataFrame, fact_bookings: DataFrame,
+                        cal: DataFrame, cfg: EngagementConfig = DEFAULT) -> DataFrame:
+    """One row per population driver and window day, measures 0 when idle.
+
+    Plan (the dense rows never cross a shuffle):
+
+    1. sparse daily measures: offer and booking rows aggregated on
+       (driver_id, day), partial aggregation map-side;
+    2. one row per driver: the sparse days gathered into a day -> measures map
+       together with the registered-driver ids (the population).  A driver
+       has at most one entry per window day, so the map is bounded by the
+       window length however active the driver is;
+    3. each driver row is expanded over the window's days (a literal list)
+       and looks its measures up in the map; idle days get zeros.
+
+    Equal to "population x days LEFT JOIN offers_daily LEFT JOIN
+    bookings_daily": every in-window fact's driver is in the population and
+    every in-window day is a spine day.
+    """
+    fo = offers_in_window(fact_offers, cfg).filter(F.col("driver_id").isNotNull())
+    fb = bookings_in_window(fact_bookings, cfg).filter(F.col("driver_id").isNotNull())
+    daily = _daily_measures(fo, fb)
+    entries = daily.select("driver_id", F.struct(
+        F.col("activity_date_key").alias("key"),
+        F.struct(*OUTPUT_MEASURES).alias("m")).alias("e"))
+    registered = (registered_by_window_end(dim_active, cfg).filter(F.col("driver_id").isNotNull())
+                  .select("driver_id", F.lit(None).cast(entries.schema["e"].dataType).alias("e")))
+    # The exchange carries sparse rows but feeds a window-days-times larger output:
+    # fix its width to the configured shuffle partitions instead of letting AQE
+    # shrink it to fit the (small) shuffled bytes.
+    parts = int(dim_active.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    per_driver = (entries.unionByName(registered).repartition(parts, "driver_id").groupBy("driver_id")
+                  .agg(F.map_from_entries(F.collect_list("e")).alias("days")))
+    days = F.array(*[F.struct(F.lit(k).alias("activity_date_key"),
+                              F.lit(f"{str(k)[:4]}-{str(k)[4:6]}-{str(k)[6:]}").cast("date").alias("activity_date"))
+                     for k in cfg.window_day_keys()])
+    dense = (per_driver.select("driver_id", "days", F.inline(days))
+             .withColumn("_m", F.try_element_at("days", F.col("activity_date_key"))))
+    zeros = {c: F.lit(0) for c in OUTPUT_MEASURES}
+    dtypes = dict((f.name, f.dataType) for f in daily.schema.fields)
+    return dense.select(
+        "driver_id", "activity_date_key", "activity_date",
+        # idle day -> zeros; an active day keeps its values (revenue per trip may be NULL)
+        *[F.when(F.col("_m").isNull(), zeros[c]).otherwise(F.col(f"_m.{c}")).cast(dtypes[c]).alias(c)
+          for c in OUTPUT_MEASURES])

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..config import BATCH2_AS_OF, DEFAULT, EngagementConfig
 from ..operators import activity, analyses, calendar, facts, scd2, staging
-from ..session import prepare
+from ..session import cut_lineage, prepare
 from ..sources import fixtures
 
 
@@ -89,7 +89,11 @@ class Layers:
         return self._memo["scd2_batch1"]
 
     def dim_drivers(self) -> DataFrame:
-        return self._layer("dim_drivers", lambda: self.scd2_batch1()["dim"])
+        # the dimension is a stored table: cut its lineage even in lazy mode
+        return self._layer("dim_drivers", lambda: self._stored(self.scd2_batch1()["dim"]))
+
+    def _stored(self, df: DataFrame) -> DataFrame:
+        return df if self.store else cut_lineage(df)
 
     def dim_drivers_active(self) -> DataFrame:
         return scd2.active_view(self.dim_drivers(), self.dim_date(), self.cfg)

@@ -51,7 +51,11 @@ def shared_dir(spark: SparkSession) -> str:
          or sc.getConf().get("spark.checkpoint.dir", None)
          or sc.getCheckpointDir())
     if not d:
-        d = tempfile.mkdtemp(prefix="tripwise-ckpt-")
+        if sc.master.startswith("local"):
+            # single-machine session (tests): a scratch folder is the shared folder
+            d = tempfile.mkdtemp(prefix="tripwise-ckpt-")
+        else:
+            d = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_tripwise_checkpoints"
         spark.conf.set("spark.checkpoint.dir", d)
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(d)
