@@ -7,9 +7,6 @@ from pyspark.sql import functions as F
 
 from ..config import NULL_TEXT
 
-# trailing zone designator of a timestamp string: Z, UTC, +hh, +hhmm, +hh:mm
-_ZONE_SUFFIX = r"^(.*\d{1,2}:\d{2}(?::\d{2}(?:\.\d+)?)?)\s*(?:Z|UTC|[+-]\d{2}(?::?\d{2})?)$"
-
 
 def col_(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
@@ -31,13 +28,13 @@ def to_instant(c) -> Column:
 
 
 def to_local_date(c) -> Column:
-    """Wall-clock date of a timestamp text, ignoring any zone suffix.
+    """Wall-clock date of a timestamp text, ignoring any zone in it.
 
     ``'2021-06-01 23:30:00-05:00'`` -> 2021-06-01 although the instant is on
-    06-02 in UTC; a text without a zone gives the same day as its instant.
+    06-02 in UTC.  A cast to TIMESTAMP_NTZ keeps the written wall clock and
+    drops the zone (offset or region name), so no pattern matching is needed.
     """
-    wall = F.regexp_replace(col_(c), _ZONE_SUFFIX, "$1")
-    return F.to_date(F.try_to_timestamp(wall))
+    return F.to_date(col_(c).try_cast("timestamp_ntz"))
 
 
 def norm_upper(c) -> Column:

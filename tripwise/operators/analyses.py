@@ -52,10 +52,18 @@ def driver_kpi_projection(summary: DataFrame) -> DataFrame:
 
 # --------------------------------------------------------------------------- N3
 def weekend_vs_weekday(agg: DataFrame, cal: DataFrame) -> DataFrame:
-    """Totals and unrounded (6-digit) rates per day type; calendar joined on the day key."""
+    """Totals and unrounded (6-digit) rates per day type; calendar joined on the day key.
+
+    The driver-day rows are first summed per day (at most one row per
+    calendar day), so the calendar join and the final grouping see a handful
+    of rows instead of drivers x days.
+    """
     s = F.sum
+    per_day = agg.groupBy("activity_date_key").agg(
+        _sum("total_offers"), _sum("offers_accepted"), _sum("total_bookings"), _sum("completed_trips"),
+        _sum("driver_abort_count"), _sum("total_est_revenue", dtype="decimal(38,2)"))
     days = F.broadcast(cal.select(F.col("date_key").alias("activity_date_key"), "weekend_flag"))
-    return (agg.join(days, "activity_date_key")
+    return (per_day.join(days, "activity_date_key")
             .groupBy(F.when(F.col("weekend_flag") == 1, "Weekend").otherwise("Weekday").alias("day_type"))
             .agg(_sum("total_offers"), _sum("offers_accepted"), _sum("total_bookings"), _sum("completed_trips"),
                  _sum("driver_abort_count"), _sum("total_est_revenue", "total_revenue", "decimal(38,2)"),
@@ -66,18 +74,25 @@ def weekend_vs_weekday(agg: DataFrame, cal: DataFrame) -> DataFrame:
 
 # --------------------------------------------------------------------------- N4
 def driver_tenure_engagement(agg: DataFrame, dim_active: DataFrame) -> DataFrame:
-    s = F.sum
-    d = dim_active.select("driver_id", "driver_type")
-    return (agg.join(d, "driver_id", "left")
-            .groupBy("driver_type", "driver_id")
-            .agg(_sum("total_offers"), _sum("offers_accepted"), _sum("offers_cancelled"), _sum("offers_read"),
-                 _sum("total_route_distance", dtype="decimal(38,0)"), _sum("total_bookings"),
-                 _sum("completed_trips"), _sum("total_est_revenue", dtype="decimal(38,2)"),
-                 _sum("driver_abort_count"),
-                 half_up_ratio(s("offers_accepted"), s("total_offers"), 6).alias("offer_acceptance_rate"),
-                 half_up_ratio(s("completed_trips"), s("total_bookings"), 6).alias("booking_completion_rate"),
-                 half_up_ratio(s("driver_abort_count"), s("total_bookings"), 6).alias("driver_abort_rate"),
-                 half_up_ratio(s("total_est_revenue"), s("completed_trips"), 6).alias("avg_est_revenue_per_trip")))
+    """Per (driver_type, driver): totals and unrounded rates; drivers unknown to the dimension get NULL type.
+
+    Summed per driver before the dimension lookup: the active view holds one
+    row per driver, so the label is a function of the driver and the join
+    runs on one row per driver instead of one per driver-day.
+    """
+    per_driver = agg.groupBy("driver_id").agg(
+        _sum("total_offers"), _sum("offers_accepted"), _sum("offers_cancelled"), _sum("offers_read"),
+        _sum("total_route_distance", dtype="decimal(38,0)"), _sum("total_bookings"),
+        _sum("completed_trips"), _sum("total_est_revenue", dtype="decimal(38,2)"), _sum("driver_abort_count"))
+    d = dim_active.select("driver_id", "driver_type").dropDuplicates(["driver_id"])
+    c = F.col
+    return per_driver.join(d, "driver_id", "left").select(
+        "driver_type", "driver_id", "total_offers", "offers_accepted", "offers_cancelled", "offers_read",
+        "total_route_distance", "total_bookings", "completed_trips", "total_est_revenue", "driver_abort_count",
+        half_up_ratio(c("offers_accepted"), c("total_offers"), 6).alias("offer_acceptance_rate"),
+        half_up_ratio(c("completed_trips"), c("total_bookings"), 6).alias("booking_completion_rate"),
+        half_up_ratio(c("driver_abort_count"), c("total_bookings"), 6).alias("driver_abort_rate"),
+        half_up_ratio(c("total_est_revenue"), c("completed_trips"), 6).alias("avg_est_revenue_per_trip"))
 
 
 # --------------------------------------------------------------------------- N5 / N6

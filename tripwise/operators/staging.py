@@ -128,13 +128,18 @@ def missing_ref(df: DataFrame, fk: str, ref_keys: DataFrame, ref_key: str, flag:
 
     The reference side is reduced to its distinct keys first, so duplicates
     there cannot multiply rows here.  Broadcast vs. shuffle is left to AQE,
-    which broadcasts only when the measured key set is small.
+    which broadcasts only when the measured key set is small.  A NULL key
+    can never match; such rows (often a large share, e.g. unassigned
+    bookings) would all hash to one shuffle partition, so their join key is
+    replaced by a random value that matches nothing and spreads them out.
     """
     keys = ref_keys.select(F.col(ref_key).alias("_ref_key")).distinct().withColumn("_ref_hit", F.lit(True))
     present = F.col(fk).isNotNull() if fk_present is None else fk_present
-    return (df.join(keys, F.col(fk) == F.col("_ref_key"), "left")
+    spread = F.concat(F.lit("\u0000null-"), (F.rand(7) * 1e9).cast("bigint").cast("string"))
+    return (df.withColumn("_fk", F.coalesce(F.col(fk), spread))
+            .join(keys, F.col("_fk") == F.col("_ref_key"), "left")
             .withColumn(flag, F.col("_ref_hit").isNull() & present)
-            .drop("_ref_key", "_ref_hit"))
+            .drop("_fk", "_ref_key", "_ref_hit"))
 
 
 def clean_bookings(raw: DataFrame, drivers_valid: DataFrame, cfg: EngagementConfig = DEFAULT) -> DataFrame:
