@@ -127,7 +127,8 @@ def kpi_histogram(summary: DataFrame, cfg: EngagementConfig = DEFAULT) -> DataFr
         F.lit(1), F.when(width == 0, 1).otherwise(bins))).alias("bin"))
     return (all_bins.join(counted, ["kpi", "bin"], "left")
             .select("kpi", "bin", "kpi_min", "kpi_max",
-                    F.coalesce(F.col("driver_count"), F.lit(0)).cast("bigint").alias("driver_count")))
+                    F.coalesce(F.col("driver_count"), F.lit(0)).cast("bigint").alias("driver_count"))
+            .orderBy("kpi", "bin"))
 
 
 def kpi_overview(summary: DataFrame) -> DataFrame:
@@ -151,11 +152,13 @@ def driver_segments(agg: DataFrame, cfg: EngagementConfig = DEFAULT) -> DataFram
 
 
 def abort_segments(agg: DataFrame, cfg: EngagementConfig = DEFAULT) -> DataFrame:
+    # one row per driver below, so COUNT(DISTINCT driver_id) is a plain count (no distinct expand)
     return (driver_segments(agg, cfg).groupBy("segment")
-            .agg(F.countDistinct("driver_id").alias("driver_count"),
+            .agg(F.count("driver_id").alias("driver_count"),
                  _mean(F.col("avg_completion_rate"), 1).alias("avg_completion_rate"),
                  _mean(F.col("avg_est_revenue_per_trip"), 2).alias("avg_est_revenue_per_trip"),
-                 _sum("total_aborts")))
+                 _sum("total_aborts"))
+            .orderBy("segment"))
 
 
 def segment_dim_coverage(agg: DataFrame, dim_active: DataFrame, cfg: EngagementConfig = DEFAULT) -> DataFrame:
@@ -178,16 +181,19 @@ def _trend_aggs(prefix: str = "", revenue_name: str = "avg_est_revenue_per_trip"
 def country_trend(agg: DataFrame, dim_active: DataFrame) -> DataFrame:
     d = dim_active.select("driver_id", "country_name")
     return (agg.filter(F.col("total_bookings") > 0).join(d, "driver_id", "left")
-            .groupBy("activity_date", "country_name").agg(*_trend_aggs()))
+            .groupBy("activity_date", "country_name").agg(*_trend_aggs())
+            .orderBy("activity_date"))
 
 
 def country_trend_pivot(agg: DataFrame, dim_active: DataFrame, countries=("France", "Austria")) -> DataFrame:
     """One row per day with bookings, one column block per listed country."""
     d = dim_active.select("driver_id", "country_name")
     return (agg.filter(F.col("total_bookings") > 0).join(d, "driver_id", "left")
-            .groupBy("activity_date").pivot("country_name", list(countries)).agg(*_trend_aggs()))
+            .groupBy("activity_date").pivot("country_name", list(countries)).agg(*_trend_aggs())
+            .orderBy("activity_date"))
 
 
 def daily_trend(agg: DataFrame) -> DataFrame:
     return (agg.filter(F.col("total_bookings") > 0)
-            .groupBy("activity_date").agg(*_trend_aggs(revenue_name="avg_revenue_per_trip")))
+            .groupBy("activity_date").agg(*_trend_aggs(revenue_name="avg_revenue_per_trip"))
+            .orderBy("activity_date"))

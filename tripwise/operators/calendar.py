@@ -37,7 +37,7 @@ def dim_date(spark: SparkSession, cfg: EngagementConfig = DEFAULT) -> DataFrame:
                 F.when(dow.isin(0, 6), 1).otherwise(0).alias("weekend_flag"),
                 F.quarter("d").alias("quarter"),
                 F.concat(F.date_format("d", "yyyy"), F.lit("-Q"), F.quarter("d").cast("string")).alias("year_quarter"),
-            ))
+            ))  # generated in date order from a single-partition range
 
 
 def key_lookup(cal: DataFrame) -> DataFrame:
