@@ -33,13 +33,35 @@ class Layers:
         self._memo: dict[str, DataFrame] = {}
 
     # ------------------------------------------------------------------ plumbing
-    def _layer(self, name: str, build, materialize: bool = True) -> DataFrame:
+    # A day partition is worth its own folder of files from this many rows on
+    # (~100 MB of fact rows); below it the folder overhead dominates.
+    DAY_PARTITION_MIN_ROWS = 1_000_000
+
+    def _layer(self, name: str, build, materialize: bool = True, by_day: tuple | None = None) -> DataFrame:
+        """Build (and in store mode write + re-read) one layer.
+
+        ``by_day = (day column, source rows)`` marks a fact table: large ones are
+        written partitioned by day (window reads prune folders; range
+        partitioning on (day, driver) first gives each task a contiguous slice
+        of days and splits a hot day over several tasks); small ones are written
+        sorted by day so parquet row-group statistics still skip
+        out-of-window rows, without a shuffle or thousands of tiny files.
+        """
         if name not in self._memo:
             df = build()
             if self.store and materialize:
                 path = f"{self.store}/{name}"
-                df.write.mode("overwrite").parquet(path)
-                df = self.spark.read.parquet(path)
+                if by_day is None:
+                    df.write.mode("overwrite").parquet(path)
+                else:
+                    day, source = by_day
+                    rows_per_day = source.count() / max(1, self.cfg.calendar_days)
+                    if rows_per_day >= self.DAY_PARTITION_MIN_ROWS:
+                        (df.repartitionByRange(day, "driver_id").write.mode("overwrite")
+                         .partitionBy(day).parquet(path))
+                    else:
+                        df.sortWithinPartitions(day, "driver_id").write.mode("overwrite").parquet(path)
+                df = self.spark.read.parquet(path).select(*df.columns)
             self._memo[name] = df
         return self._memo[name]
 
@@ -121,11 +143,13 @@ class Layers:
     # ------------------------------------------------------------------ facts
     def fact_bookings(self) -> DataFrame:
         return self._layer("fact_bookings", lambda: facts.fact_bookings(
-            self.valid_bookings(), self.dim_drivers_active(), self.dim_date()))
+            self.valid_bookings(), self.dim_drivers_active(), self.dim_date()),
+            by_day=("booking_request_date_key", self.valid_bookings()))
 
     def fact_offers(self) -> DataFrame:
         return self._layer("fact_offers", lambda: facts.fact_offers(
-            self.valid_offers(), self.valid_bookings(), self.dim_drivers_active(), self.dim_date()))
+            self.valid_offers(), self.valid_bookings(), self.dim_drivers_active(), self.dim_date()),
+            by_day=("offer_created_date_key", self.valid_offers()))
 
     def _offers_for_activity(self) -> DataFrame:
         # the driver-day table does not read the booking check; in lazy mode skip that join
