@@ -21,6 +21,24 @@ def prepare(spark: SparkSession) -> SparkSession:
     return spark
 
 
+# Starting point for a large cluster run (100 TB of raw extracts, ~1000
+# executors).  Shuffle width is set for ~128-256 MB per reduce task of the
+# largest exchange (the offer dedup); AQE coalesces the smaller ones and
+# splits skewed join partitions.  The broadcast threshold admits the driver
+# key sets (tens of MB) to the referential checks and the dimension lookups.
+CLUSTER_CONF = {
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.shuffle.partitions": "40000",
+    "spark.sql.files.maxPartitionBytes": "512m",
+    "spark.sql.autoBroadcastJoinThreshold": "128m",
+    "spark.sql.parquet.compression.codec": "zstd",
+    "spark.sql.session.timeZone": "UTC",
+}
+
+
 def build_session(master: str = "local[*]", shuffle_partitions: int = 8, app: str = "tripwise",
                   extra: dict | None = None) -> SparkSession:
     """Local session for tests, benchmarks and examples (cluster jobs get theirs from spark-submit)."""
