@@ -79,6 +79,15 @@ def _summary(L: Layers) -> DataFrame:
 
 
 _LITERAL = DEFAULT.with_(literal_calendar_tenure=True)
+# Variants reproducing the original's literal behaviour where it is well defined
+LITERAL_VARIANTS = {
+    "dim_drivers_active_literal": ("dim_drivers_active", _LITERAL),
+    "agg_driver_activity_literal": ("agg_driver_activity", _LITERAL),
+    "stg_offers_literal": ("stg_offers", DEFAULT.with_(literal_offer_driver_text_null=True)),
+    "scd2_closed_literal": ("scd2_closed", DEFAULT.with_(literal_scd2_compare=True)),
+    "scd2_dim_drivers_literal": ("scd2_dim_drivers", DEFAULT.with_(literal_scd2_compare=True)),
+    "driver_kpi_summary_literal": ("driver_kpi_summary", DEFAULT.with_(literal_revenue_pct=True)),
+}
 
 QUERIES: dict[str, Query] = {
     "dim_date": _q(lambda L: L.dim_date()),
@@ -98,7 +107,6 @@ QUERIES: dict[str, Query] = {
     "scd2_closed": _q(lambda L: L.scd2_batch2()["closed"]),
     "scd2_dim_drivers": _q(lambda L: L.scd2_batch2()["dim"]),
     "dim_drivers_active": _q(lambda L: L.dim_drivers_active()),
-    "dim_drivers_active_literal": _q(lambda L: L.dim_drivers_active(), _LITERAL),
     "fact_bookings": _q(lambda L: L.fact_bookings()),
     "fact_offers": _q(lambda L: L.fact_offers()),
     "active_driver_population": _q(lambda L: L.population()),
@@ -106,7 +114,6 @@ QUERIES: dict[str, Query] = {
     "offers_daily": _q(lambda L: L.offers_daily()),
     "bookings_daily": _q(lambda L: L.bookings_daily()),
     "agg_driver_activity": _q(_agg),
-    "agg_driver_activity_literal": _q(_agg, _LITERAL),
     "driver_kpi_summary": _q(_summary),
     "driver_kpi_projection": _q(lambda L: analyses.driver_kpi_projection(L.driver_kpi_summary())),
     "weekend_vs_weekday": _q(lambda L: analyses.weekend_vs_weekday(L.agg_driver_activity(), L.dim_date())),
@@ -123,3 +130,13 @@ QUERIES: dict[str, Query] = {
     "daily_trend": _q(lambda L: analyses.daily_trend(L.agg_driver_activity())),
     "incremental_ingest": _q(_incremental_ingest),
 }
+_BUILDERS = {
+    "dim_drivers_active": lambda L: L.dim_drivers_active(),
+    "agg_driver_activity": _agg,
+    "stg_offers": lambda L: L.stg_offers(),
+    "scd2_closed": lambda L: L.scd2_batch2()["closed"],
+    "scd2_dim_drivers": lambda L: L.scd2_batch2()["dim"],
+    "driver_kpi_summary": _summary,
+}
+for _name, (_base, _cfg) in LITERAL_VARIANTS.items():
+    QUERIES[_name] = _q(_BUILDERS[_base], _cfg)
