@@ -18,9 +18,9 @@ SF_SMALL = "/root/testdata/sf0.001"
 @pytest.fixture(scope="session")
 def spark():
     from tripwise.session import build_session
-    ckpt = tempfile.mkdtemp(prefix="tripwise-test-ckpt-")
-    s = build_session("local[4]", shuffle_partitions=4,
-                      extra={"spark.checkpoint.dir": ckpt, "spark.ui.showConsoleProgress": "false"})
+    # spark.checkpoint.dir comes from the environment's defaults when set;
+    # tripwise.session.shared_dir creates a scratch one only when it is unset
+    s = build_session("local[4]", shuffle_partitions=4, extra={"spark.ui.showConsoleProgress": "false"})
     yield s
     s.stop()
 
