@@ -27,6 +27,36 @@ MARKETING_TRUE = ("TRUE", "1", "YES")
 MARKETING_FALSE = ("FALSE", "0", "NO")
 DRIVER_READ_VALID = ("TRUE", "FALSE", "0", "1")
 NULL_TEXT = "null"
+# Rule messages, in rule order (trailing blanks and '|' are part of the text).
+RULE_MESSAGES = {
+    "R1": "NULL/EMPTY ID | ",
+    "R2": "INVALID DATE_REGISTRATION",
+    "R3": "DATE_REGISTRATION FORMAT ERROR: ",
+    "R4": "RATING FORMAT ERROR: ",
+    "R5": "COUNT FORMAT ERROR: ",
+    "R6": "DRIVER_RATING OUT OF RANGE ",
+    "R7": "NEGATIVE RATING_COUNT ",
+    "R8": "RATING EXISTS BUT RATING_COUNT IS 0/NULL  ",
+    "R9": "RATING_COUNT EXISTS BUT RATING IS 0/NULL  ",
+    "R10": "INVALID RECEIVE_MARKETING ",
+    "R11": "NULL COUNTRY ",
+    "R12": "UNMAPPED COUNTRY: ",
+    "R13": "NULL/EMPTY ID",
+    "R14": "INVALID REQUEST_DATE",
+    "R15": "REQUEST_DATE FORMAT ERROR: |",
+    "R16": "INVALID STATUS: |",
+    "R17": "INVALID ESTIMATED_ROUTE_FARE",
+    "R18": "ESTIMATED_ROUTE_FARE FORMAT ERROR: |",
+    "R19": "INVALID ID",
+    "R20": "Null in driverid",
+    "R21": "INVALID DATECREATED ",
+    "R22": "DATE_CREATED FORMAT ERROR: ",
+    "R23": "NULL BOOKINGID  ",
+    "R24": "INVALID ROUTEDISTANCE",
+    "R25": "ROUTE_DISTANCE FORMAT ERROR: ",
+    "R26": "INVALID STATE",
+    "R27": "INVALID DRIVERREAD ",
+}
 ERROR_SEPARATOR = " | "
 OPEN_END_TS = "9999-12-31 00:00:00"
 

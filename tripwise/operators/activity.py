@@ -1,20 +1,11 @@
 """Dense driver x day activity table (A1-A7) and its building blocks.
 
-Flagship plan (``agg_driver_activity``), two shuffles in total:
-
-1. population = distinct driver ids of (dimension drivers registered by the
-   window end) + (offer drivers in the window) + (booking drivers in the
-   window).  Map-side partial distinct, then one exchange of ids.
-2. spine rows (population x window days, the bounded day list is broadcast)
-   are unioned with one measure row per offer / booking and aggregated once
-   on (driver_id, activity_date_key).  Facts are partially aggregated before
-   that exchange, so a very active driver ships one row per map task and day.
-
-Every in-window fact's driver belongs to the population and every in-window
-day belongs to the spine, so this equals "spine LEFT JOIN offers_daily LEFT
-JOIN bookings_daily" without the two join shuffles.  Spine rows carry NULL
-revenue / distance so a day whose only bookings have NULL fares keeps a NULL
-(not 0) revenue inside the ratio, exactly as the joined form does.
+The population (A1) is every driver registered by the window end plus every
+driver with an offer or booking in the window; the table has one row per
+population driver and window day, zeros on idle days.  ``offers_daily`` /
+``bookings_daily`` / ``driver_date_spine`` are the original's building blocks
+as stand-alone results; ``agg_driver_activity`` computes the same table
+without materialising the spine in a shuffle (see its docstring).
 """
 
 from __future__ import annotations
@@ -29,16 +20,6 @@ from ..functions.ratios import half_up_ratio
 # value and encode as 64-bit integers in parquet (38 digits need 16-byte binaries).
 MONEY, DISTANCE, RATE = "decimal(18,2)", "decimal(18,0)", "decimal(18,2)"
 
-MEASURES = ("total_route_distance", "total_offers", "offers_accepted", "offers_cancelled", "offers_read",
-            "total_bookings", "completed_trips", "driver_abort_count", "no_driver_found_count",
-            "total_est_revenue", "missing_driver_offers_records", "missing_driver_bookings_records")
-
-
-def window_days(cal: DataFrame, cfg: EngagementConfig = DEFAULT) -> DataFrame:
-    return (cal.filter(F.col("date_key").between(cfg.window_start_key, cfg.window_end_key))
-            .select(F.col("date_key").alias("activity_date_key")))
-
-
 def offers_in_window(fact_offers: DataFrame, cfg: EngagementConfig = DEFAULT) -> DataFrame:
     return fact_offers.filter(F.col("offer_created_date_key").between(cfg.window_start_key, cfg.window_end_key))
 
@@ -63,7 +44,7 @@ def active_driver_population(dim_active: DataFrame, fact_offers: DataFrame, fact
     return ids.filter(F.col("driver_id").isNotNull()).distinct()
 
 
-def driver_date_spine(population: DataFrame, cal: DataFrame, cfg: EngagementConfig = DEFAULT) -> DataFrame:
+def driver_date_spine(population: DataFrame, cfg: EngagementConfig = DEFAULT) -> DataFrame:
     """Every population driver x every window day.
 
     The window's calendar days are a bounded list known from the config
@@ -164,7 +145,7 @@ OUTPUT_MEASURES = ("total_route_distance", "total_offers", "offers_accepted", "o
 
 
 def agg_driver_activity(dim_active: DataFrame, fact_offers: DataFrame, fact_bookings: DataFrame,
-                        cal: DataFrame, cfg: EngagementConfig = DEFAULT) -> DataFrame:
+                        cfg: EngagementConfig = DEFAULT) -> DataFrame:
     """One row per population driver and window day, measures 0 when idle.
 
     Plan (the dense rows never cross a shuffle):

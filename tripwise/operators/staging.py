@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..config import (BOOKING_STATUSES, DEFAULT, DRIVER_READ_VALID, MARKETING_FALSE, MARKETING_TRUE,
-                      OFFER_STATES, EngagementConfig)
+                      OFFER_STATES, RULE_MESSAGES, EngagementConfig)
 from ..functions.casts import (blank, norm_upper, null_text, text_to_bool, to_decimal, to_instant,
                                to_local_date)
 from ..functions.rules import Rule, apply_rules
@@ -19,6 +19,12 @@ from ..sources.seeds import country_mapping
 from .dedup import latest_per_key
 
 
+def _msg(code: str, detail=None):
+    """Rule message; ``detail`` (a column) is appended for format errors."""
+    text = F.lit(RULE_MESSAGES[code])
+    return text if detail is None else F.concat(text, detail)
+
+
 def _ts(s: str):
     return F.lit(s).cast("timestamp")
 
@@ -33,27 +39,27 @@ def driver_rules(cfg: EngagementConfig) -> list[Rule]:
     c = F.col
     now = _ts(cfg.as_of)
     return [
-        Rule("R1", blank("id"), F.lit("NULL/EMPTY ID | ")),
+        Rule("R1", blank("id"), _msg("R1")),
         Rule("R2", c("registration_date").isNull() | (c("registration_date") > now)
-             | (c("registration_date") < _ts(cfg.driver_date_floor)), F.lit("INVALID DATE_REGISTRATION")),
+             | (c("registration_date") < _ts(cfg.driver_date_floor)), _msg("R2")),
         Rule("R3", c("org_date_registration").isNotNull() & c("registration_date").isNull(),
-             F.concat(F.lit("DATE_REGISTRATION FORMAT ERROR: "), c("org_date_registration"))),
+             _msg("R3", c("org_date_registration"))),
         Rule("R4", c("org_rating").isNotNull() & c("rating").isNull(),
-             F.concat(F.lit("RATING FORMAT ERROR: "), c("org_rating"))),
+             _msg("R4", c("org_rating"))),
         Rule("R5", c("org_rating_count").isNotNull() & c("rating_count").isNull(),
-             F.concat(F.lit("COUNT FORMAT ERROR: "), c("org_rating_count"))),
-        Rule("R6", (c("rating") < 1) | (c("rating") > 5), F.lit("DRIVER_RATING OUT OF RANGE ")),
-        Rule("R7", c("rating_count") < 0, F.lit("NEGATIVE RATING_COUNT ")),
+             _msg("R5", c("org_rating_count"))),
+        Rule("R6", (c("rating") < 1) | (c("rating") > 5), _msg("R6")),
+        Rule("R7", c("rating_count") < 0, _msg("R7")),
         Rule("R8", ((c("rating_count") == 0) | c("rating_count").isNull()) & (c("rating") >= 1),
-             F.lit("RATING EXISTS BUT RATING_COUNT IS 0/NULL  ")),
+             _msg("R8")),
         Rule("R9", ((c("rating") == 0) | c("rating").isNull()) & (c("rating_count") > 0),
-             F.lit("RATING_COUNT EXISTS BUT RATING IS 0/NULL  ")),
+             _msg("R9")),
         # NOT IN under three-valued logic: a NULL value does not fail
         Rule("R10", ~c("receive_marketing_txt").isin(*MARKETING_TRUE, *MARKETING_FALSE),
-             F.lit("INVALID RECEIVE_MARKETING ")),
-        Rule("R11", blank("country"), F.lit("NULL COUNTRY ")),
+             _msg("R10")),
+        Rule("R11", blank("country"), _msg("R11")),
         Rule("R12", c("country_code").isNull(),
-             F.concat(F.lit("UNMAPPED COUNTRY: "), F.coalesce(c("country"), F.lit("NULL")))),
+             _msg("R12", F.coalesce(c("country"), F.lit("NULL")))),
     ]
 
 
@@ -109,16 +115,16 @@ def booking_rules(cfg: EngagementConfig) -> list[Rule]:
     c = F.col
     now = _ts(cfg.as_of)
     return [
-        Rule("R13", blank("id"), F.lit("NULL/EMPTY ID")),
+        Rule("R13", blank("id"), _msg("R13")),
         Rule("R14", c("request_date").isNull() | (c("request_date") > now)
-             | (c("request_date") < _ts(cfg.booking_date_floor)), F.lit("INVALID REQUEST_DATE")),
+             | (c("request_date") < _ts(cfg.booking_date_floor)), _msg("R14")),
         Rule("R15", c("org_request_date").isNotNull() & c("request_date").isNull(),
-             F.concat(F.lit("REQUEST_DATE FORMAT ERROR: |"), c("org_request_date"))),
+             _msg("R15", c("org_request_date"))),
         Rule("R16", c("status").isNull() | ~c("status").isin(*BOOKING_STATUSES),
-             F.concat(F.lit("INVALID STATUS: |"), F.coalesce(c("status"), F.lit("NULL")))),
-        Rule("R17", c("estimated_route_fare") < 0, F.lit("INVALID ESTIMATED_ROUTE_FARE")),
+             _msg("R16", F.coalesce(c("status"), F.lit("NULL")))),
+        Rule("R17", c("estimated_route_fare") < 0, _msg("R17")),
         Rule("R18", c("org_estimated_route_fare").isNotNull() & c("estimated_route_fare").isNull(),
-             F.concat(F.lit("ESTIMATED_ROUTE_FARE FORMAT ERROR: |"), c("org_estimated_route_fare"))),
+             _msg("R18", c("org_estimated_route_fare"))),
     ]
 
 
@@ -135,7 +141,7 @@ def missing_ref(df: DataFrame, fk: str, ref_keys: DataFrame, ref_key: str, flag:
     """
     keys = ref_keys.select(F.col(ref_key).alias("_ref_key")).distinct().withColumn("_ref_hit", F.lit(True))
     present = F.col(fk).isNotNull() if fk_present is None else fk_present
-    spread = F.concat(F.lit("\u0000null-"), (F.rand(7) * 1e9).cast("bigint").cast("string"))
+    spread = _msg("R18", (F.rand(7) * 1e9).cast("bigint").cast("string"))
     return (df.withColumn("_fk", F.coalesce(F.col(fk), spread))
             .join(keys, F.col("_fk") == F.col("_ref_key"), "left")
             .withColumn(flag, F.col("_ref_hit").isNull() & present)
@@ -182,20 +188,20 @@ def offer_rules(cfg: EngagementConfig) -> list[Rule]:
     now = _ts(cfg.as_of)
     driver_for_rule = c("driverid_raw") if cfg.literal_offer_driver_text_null else c("driverid")
     return [
-        Rule("R19", blank("offer_id"), F.lit("INVALID ID")),
-        Rule("R20", driver_for_rule.isNull(), F.lit("Null in driverid")),
+        Rule("R19", blank("offer_id"), _msg("R19")),
+        Rule("R20", driver_for_rule.isNull(), _msg("R20")),
         Rule("R21", c("offer_created_date").isNull() | (c("offer_created_date") > now)
-             | (c("offer_created_date") < _ts(cfg.offer_date_floor)), F.lit("INVALID DATECREATED ")),
+             | (c("offer_created_date") < _ts(cfg.offer_date_floor)), _msg("R21")),
         Rule("R22", c("org_datecreated").isNotNull() & c("offer_created_date").isNull(),
-             F.concat(F.lit("DATE_CREATED FORMAT ERROR: "), c("org_datecreated"))),
-        Rule("R23", c("bookingid").isNull(), F.lit("NULL BOOKINGID  ")),
+             _msg("R22", c("org_datecreated"))),
+        Rule("R23", c("bookingid").isNull(), _msg("R23")),
         Rule("R24", (c("route_distance_2") < 0) | (c("route_distance_2") > cfg.max_route_distance),
-             F.lit("INVALID ROUTEDISTANCE")),
+             _msg("R24")),
         Rule("R25", c("org_routedistance").isNotNull() & c("route_distance_2").isNull(),
-             F.concat(F.lit("ROUTE_DISTANCE FORMAT ERROR: "), c("org_routedistance"))),
-        Rule("R26", c("offer_state").isNull() | ~c("offer_state").isin(*OFFER_STATES), F.lit("INVALID STATE")),
+             _msg("R25", c("org_routedistance"))),
+        Rule("R26", c("offer_state").isNull() | ~c("offer_state").isin(*OFFER_STATES), _msg("R26")),
         Rule("R27", c("driver_read_txt").isNull() | ~c("driver_read_txt").isin(*DRIVER_READ_VALID),
-             F.lit("INVALID DRIVERREAD ")),
+             _msg("R27")),
     ]
 
 

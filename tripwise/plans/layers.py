@@ -163,7 +163,7 @@ class Layers:
                                                  self.fact_bookings(), self.cfg)
 
     def spine(self) -> DataFrame:
-        return activity.driver_date_spine(self.population(), self.dim_date(), self.cfg)
+        return activity.driver_date_spine(self.population(), self.cfg)
 
     def offers_daily(self) -> DataFrame:
         return activity.offers_daily(self._offers_for_activity(), self.cfg)
@@ -173,8 +173,7 @@ class Layers:
 
     def agg_driver_activity(self) -> DataFrame:
         return self._layer("agg_driver_activity", lambda: activity.agg_driver_activity(
-            self.dim_drivers_active(), self._offers_for_activity(), self.fact_bookings(), self.dim_date(),
-            self.cfg))
+            self.dim_drivers_active(), self._offers_for_activity(), self.fact_bookings(), self.cfg))
 
     # ------------------------------------------------------------------ analyses
     def driver_kpi_summary(self) -> DataFrame:
