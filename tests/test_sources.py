@@ -3,7 +3,6 @@
 import gzip
 import os
 
-from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
 from tripwise.plans.layers import Layers

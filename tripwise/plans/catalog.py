@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import DEFAULT, EngagementConfig
-from ..operators import activity, analyses, audit, staging
+from ..operators import analyses, audit, staging
 from ..operators.dedup import latest_per_key
 from ..session import shared_dir
 from ..sources.csv import write_raw_csv
