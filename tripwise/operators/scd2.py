@@ -1,16 +1,19 @@
 """Driver dimension as slowly changing versions (SCD type 2) without MERGE.
 
 File tables cannot be updated in place, so one batch is a pure function
-``(dim, valid staged drivers, as_of) -> dim'`` with
-
-    changed   = active versions whose tracked attributes differ from the source
-    closed    = changed, ended one second before the source load, inactive
-    untouched = dim minus closed                     (anti join on the surrogate key)
-    opened    = source drivers without an active version left (anti join on driver_id)
-    dim'      = untouched + closed + opened
-
-and the caller writes ``dim'`` to a new location.  All steps are equi-joins /
-anti-joins on keys; nothing is collected.
+``(dim, valid staged drivers, as_of) -> dim'`` and the caller writes ``dim'``
+to a new location.  One full outer join of the *active* versions with the
+incoming drivers on ``driver_id`` classifies every pair:
+
+    active only                      -> kept as is
+    both, tracked attributes equal   -> kept as is
+    both, tracked attributes differ  -> closed (ends 1 s before the new load) + opened
+    incoming only                    -> opened
+
+Closed (inactive) versions never enter the join.  That is one shuffle of the
+active versions (the incoming side is already partitioned by driver from its
+per-driver dedup) instead of a join plus two anti joins.  The dimension keeps
+at most one active version per driver, which the classification relies on.
 """
 
 from __future__ import annotations
@@ -50,15 +53,22 @@ def _source(valid_drivers: DataFrame) -> DataFrame:
     return latest_per_key(src, "driver_id", newest_first="raw_load_tz")
 
 
-def changed_versions(dim: DataFrame, valid_drivers: DataFrame, cfg: EngagementConfig = DEFAULT) -> DataFrame:
-    """Active versions whose tracked attributes differ from the incoming row (+ source load time)."""
-    active = dim.filter(F.col("is_active"))
-    src = _source(valid_drivers).select(
-        "driver_id", "raw_load_tz", *[F.col(c).alias(f"_src_{c}") for c in cfg.scd2_tracked])
-    cond = reduce(lambda a, b: a | b, [_differs(F.col(c), F.col(f"_src_{c}"), cfg.literal_scd2_compare)
-                                       for c in cfg.scd2_tracked])
-    return (active.join(src, "driver_id").filter(cond)
-            .drop(*[f"_src_{c}" for c in cfg.scd2_tracked]))
+def classify(dim: DataFrame, valid_drivers: DataFrame, cfg: EngagementConfig = DEFAULT) -> DataFrame:
+    """Active versions full-outer-joined with the incoming drivers (``_s_*`` columns) plus ``_change``."""
+    src = _source(valid_drivers)
+    s = src.select(*[F.col(c).alias(f"_s_{c}") for c in src.columns])
+    j = dim.filter(F.col("is_active")).join(s, F.col("driver_id") == F.col("_s_driver_id"), "full_outer")
+    differs = reduce(lambda a, b: a | b, [_differs(F.col(c), F.col(f"_s_{c}"), cfg.literal_scd2_compare)
+                                          for c in cfg.scd2_tracked])
+    both = F.col("dim_driver_id").isNotNull() & F.col("_s_driver_id").isNotNull()
+    # a comparison with NULL (literal mode) is "unknown", i.e. no change
+    return j.withColumn("_change", F.coalesce(both & differs, F.lit(False)))
+
+
+def changed_versions(classified: DataFrame) -> DataFrame:
+    """Active versions whose tracked attributes differ from the incoming row (+ its load time)."""
+    return (classified.filter("_change")
+            .select(*DIM_COLUMNS, F.col("_s_raw_load_tz").alias("raw_load_tz")))
 
 
 def close_versions(changed: DataFrame, as_of: str) -> DataFrame:
@@ -69,12 +79,12 @@ def close_versions(changed: DataFrame, as_of: str) -> DataFrame:
             .select(*DIM_COLUMNS))
 
 
-def new_versions(dim: DataFrame, changed: DataFrame, valid_drivers: DataFrame,
-                 cfg: EngagementConfig = DEFAULT) -> DataFrame:
+def new_versions(classified: DataFrame) -> DataFrame:
     """Incoming drivers with no active version once the changed ones are closed (NOT EXISTS)."""
-    still_active = (dim.filter(F.col("is_active"))
-                    .join(changed.select("dim_driver_id"), "dim_driver_id", "left_anti"))
-    return _source(valid_drivers).join(still_active.select("driver_id"), "driver_id", "left_anti")
+    src_cols = [c[len("_s_"):] for c in classified.columns if c.startswith("_s_")]
+    return (classified.filter(F.col("_s_driver_id").isNotNull()
+                              & (F.col("dim_driver_id").isNull() | F.col("_change")))
+            .select(*[F.col(f"_s_{c}").alias(c) for c in src_cols]))
 
 
 def open_versions(new: DataFrame, start_id: int, as_of: str, cfg: EngagementConfig = DEFAULT) -> DataFrame:
@@ -92,12 +102,14 @@ def open_versions(new: DataFrame, start_id: int, as_of: str, cfg: EngagementConf
 def apply_batch(dim: DataFrame, valid_drivers: DataFrame, as_of: str,
                 cfg: EngagementConfig = DEFAULT) -> dict[str, DataFrame]:
     """One SCD2 load.  Returns ``dim`` (new full table), ``closed``, ``opened``."""
-    changed = changed_versions(dim, valid_drivers, cfg)
-    closed = close_versions(changed, as_of)
-    untouched = dim.join(changed.select("dim_driver_id"), "dim_driver_id", "left_anti").select(*DIM_COLUMNS)
+    classified = classify(dim, valid_drivers, cfg)
+    kept = classified.filter(F.col("dim_driver_id").isNotNull() & ~F.col("_change")).select(*DIM_COLUMNS)
+    closed = close_versions(changed_versions(classified), as_of)
     start = dim.agg(F.coalesce(F.max("dim_driver_id"), F.lit(0)).alias("m")).first()["m"]
-    opened = open_versions(new_versions(dim, changed, valid_drivers, cfg), int(start), as_of, cfg)
-    return {"dim": untouched.unionByName(closed).unionByName(opened), "closed": closed, "opened": opened}
+    opened = open_versions(new_versions(classified), int(start), as_of, cfg)
+    history = dim.filter(~F.col("is_active")).select(*DIM_COLUMNS)
+    return {"dim": history.unionByName(kept).unionByName(closed).unionByName(opened),
+            "closed": closed, "opened": opened}
 
 
 def active_view(dim: DataFrame, cal: DataFrame, cfg: EngagementConfig = DEFAULT) -> DataFrame:

@@ -136,9 +136,7 @@ class Layers:
         return self._memo["scd2_batch2"]
 
     def new_drivers_batch2(self) -> DataFrame:
-        b2 = self.valid_drivers_batch2()
-        changed = scd2.changed_versions(self.dim_drivers(), b2, self.cfg)
-        return scd2.new_versions(self.dim_drivers(), changed, b2, self.cfg)
+        return scd2.new_versions(scd2.classify(self.dim_drivers(), self.valid_drivers_batch2(), self.cfg))
 
     # ------------------------------------------------------------------ facts
     def fact_bookings(self) -> DataFrame:
