@@ -90,3 +90,46 @@ def test_stored_layers_equal_lazy_plan(spark, scratch):
     assert "offer_created_date_key" in fo.columns and fo.count() == lazy.fact_offers().count()
     import os
     assert any(d.startswith("offer_created_date_key=") for d in os.listdir(f"{scratch}/model/fact_offers"))
+
+
+def _joined_form(L):
+    """The original formulation: spine LEFT JOIN offers_daily LEFT JOIN bookings_daily, then KPIs."""
+    from tripwise.functions.ratios import half_up_ratio
+    keys = ["driver_id", "activity_date_key"]
+    o = L.offers_daily().filter(F.col("driver_id").isNotNull())
+    b = L.bookings_daily().filter(F.col("driver_id").isNotNull())
+    m = L.spine().join(o, keys, "left").join(b, keys, "left")
+    z = lambda c: F.coalesce(F.col(c), F.lit(0))
+
+    def rate(num, den, guard):
+        return F.when(z(guard) > 0, half_up_ratio(F.col(num), F.col(den), 2)).otherwise(0).cast("decimal(18,2)")
+
+    return m.select(
+        "driver_id", "activity_date_key",
+        z("route_distance").cast("decimal(18,0)").alias("total_route_distance"),
+        *[z(c).alias(c) for c in ("total_offers", "offers_accepted", "offers_cancelled", "offers_read",
+                                  "total_bookings", "completed_trips", "driver_abort_count",
+                                  "no_driver_found_count")],
+        z("total_est_revenue").cast("decimal(18,2)").alias("total_est_revenue"),
+        z("missing_driver_offers_records").alias("missing_driver_offers_records"),
+        z("missing_driver_bookings_records").alias("missing_driver_bookings_records"),
+        rate("offers_accepted", "total_offers", "total_offers").alias("offer_acceptance_rate"),
+        rate("completed_trips", "total_bookings", "total_bookings").alias("booking_completion_rate"),
+        rate("driver_abort_count", "total_bookings", "total_bookings").alias("driver_abort_rate"),
+        rate("total_est_revenue", "completed_trips", "completed_trips").alias("avg_est_revenue_per_trip"))
+
+
+def test_hot_driver_matches_joined_form(spark):
+    """A third of all bookings and offers on one driver: the fused plan equals the joined form."""
+    base = Layers(spark, SF_SMALL)
+    hot = F.when(F.xxhash64("id") % 3 == 0, F.lit("1"))
+    raw = {"bookings": base.raw_bookings().withColumn("id_driver", F.coalesce(hot, F.col("id_driver"))),
+           "offers": base.raw_offers().withColumn("driverid", F.coalesce(hot, F.col("driverid")))}
+    for L in (base, Layers(spark, SF_SMALL, raw=raw)):
+        fused = L.agg_driver_activity().drop("activity_date")
+        joined = _joined_form(L)
+        assert fused.count() == joined.count()
+        assert fused.exceptAll(joined).count() == 0 and joined.exceptAll(fused).count() == 0
+    top = (Layers(spark, SF_SMALL, raw=raw).agg_driver_activity().groupBy("driver_id")
+           .agg(F.sum("total_bookings").alias("n")).orderBy(F.desc("n")).first())
+    assert top.driver_id == "1"

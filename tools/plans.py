@@ -48,6 +48,7 @@ def main() -> None:
         "agg_driver_activity (flagship)": activity.agg_driver_activity(
             L.dim_drivers_active(), L.fact_offers(), L.fact_bookings(), L.cfg),
     }
+    steps["SCD2 second load (one full outer join)"] = L.scd2_batch2()["dim"]
     agg = L.agg_driver_activity()
     steps["driver_tenure_engagement (aggregate, then join)"] = analyses.driver_tenure_engagement(
         agg, L.dim_drivers_active())
