@@ -5,7 +5,8 @@ driver-day table) is written as parquet into a fresh folder under the shared
 checkpoint folder and read back by the next layer; analyses run on the stored
 driver-day table.  The activity window is widened to 365 days (the calendar
 covers it) so the dense table has drivers x 365 rows.  One warm-up, then the
-median of 3 runs per step.  Prints one JSON line.
+median of 3 runs per step.  Prints one JSON line.  ``BENCH_EVENT_LOG_DIR``
+writes Spark's event log there for stage and task times.
 """
 
 from __future__ import annotations
@@ -66,8 +67,11 @@ def one_run(spark, root: str) -> dict[str, float]:
 
 
 def main() -> None:
-    spark = build_session(f"local[{CPUS}]", shuffle_partitions=int(CPUS) * 2,
-                          extra={"spark.ui.showConsoleProgress": "false"})
+    extra = {"spark.ui.showConsoleProgress": "false"}
+    if os.environ.get("BENCH_EVENT_LOG_DIR"):
+        # stage / task times for offline inspection (no UI server)
+        extra.update({"spark.eventLog.enabled": "true", "spark.eventLog.dir": os.environ["BENCH_EVENT_LOG_DIR"]})
+    spark = build_session(f"local[{CPUS}]", shuffle_partitions=int(CPUS) * 2, extra=extra)
     root = f"{shared_dir(spark)}/bench"
     one_run(spark, root)  # warm-up
     runs = [one_run(spark, root) for _ in range(RUNS)]

@@ -21,3 +21,10 @@ def test_wall_date_ignores_offset(spark):
     rows = df.select(to_local_date("s").alias("d"), to_instant("s").alias("t")).collect()
     assert [r.d for r in rows] == [dt.date(2021, 6, 1), dt.date(2021, 6, 14), dt.date(2021, 6, 1), None]
     assert rows[0].t == dt.datetime(2021, 6, 2, 4, 30)     # instant in UTC is on the next day
+
+
+def test_digit_only_timestamps_are_format_errors(spark):
+    df = spark.createDataFrame([("2021",), ("1622505600",), (" 2021 ",), ("2021-06-01",)], "s string")
+    rows = df.select(to_instant("s").alias("t"), to_local_date("s").alias("d")).collect()
+    assert [r.t for r in rows[:3]] == [None, None, None] and [r.d for r in rows[:3]] == [None, None, None]
+    assert rows[3].d == dt.date(2021, 6, 1)

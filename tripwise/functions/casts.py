@@ -22,9 +22,16 @@ def to_decimal(c, precision: int = 38, scale: int = 2) -> Column:
     return col_(c).try_cast(f"decimal({precision},{scale})")
 
 
+def _digits_only(c: Column) -> Column:
+    # '2021' or an epoch number: Spark would read a year, the source system an
+    # epoch; both are treated as format errors (NULL)
+    return c.try_cast("bigint").isNotNull()
+
+
 def to_instant(c) -> Column:
     """Text -> timestamp instant (an offset in the text is honoured); NULL if unparsable."""
-    return F.try_to_timestamp(col_(c))
+    c = col_(c)
+    return F.when(~_digits_only(c), F.try_to_timestamp(c))
 
 
 def to_local_date(c) -> Column:
@@ -34,7 +41,8 @@ def to_local_date(c) -> Column:
     06-02 in UTC.  A cast to TIMESTAMP_NTZ keeps the written wall clock and
     drops the zone (offset or region name), so no pattern matching is needed.
     """
-    return F.to_date(col_(c).try_cast("timestamp_ntz"))
+    c = col_(c)
+    return F.when(~_digits_only(c), F.to_date(c.try_cast("timestamp_ntz")))
 
 
 def norm_upper(c) -> Column:
