@@ -7,9 +7,10 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Declared NOT NULL columns of the staged offers table (fixed values).
+# Declared constraints of the staged offers table.
 OFFER_NOT_NULL = ("offer_id", "offer_created_date", "booking_id", "driver_id", "offer_state", "driver_read",
                   "is_valid", "is_processed", "raw_load_tz")
+OFFER_MAX_LENGTH = {"offer_id": 64, "booking_id": 64, "driver_id": 64, "offer_state": 50, "error_reason": 500}
 
 
 def dq_rule_counts(staged: dict[str, DataFrame]) -> DataFrame:
@@ -30,9 +31,15 @@ def dq_rule_counts(staged: dict[str, DataFrame]) -> DataFrame:
 
 
 def constraint_audit(stg_offers: DataFrame, key: str = "offer_id",
-                     not_null=OFFER_NOT_NULL) -> DataFrame:
-    """Violations of the declared NOT NULL and UNIQUE constraints (file tables do not enforce them)."""
-    nulls = stg_offers.agg(*[F.count_if(F.col(c).isNull()).cast("bigint").alias(f"not_null:{c}") for c in not_null])
+                     not_null=OFFER_NOT_NULL, max_length=None) -> DataFrame:
+    """Violations of the declared NOT NULL, length and UNIQUE constraints (file tables enforce none).
+
+    One aggregate pass for the per-row checks plus one grouped count on the key.
+    """
+    max_length = OFFER_MAX_LENGTH if max_length is None else max_length
+    nulls = stg_offers.agg(
+        *[F.count_if(F.col(c).isNull()).cast("bigint").alias(f"not_null:{c}") for c in not_null],
+        *[F.count_if(F.length(c) > n).cast("bigint").alias(f"max_length:{c}") for c, n in max_length.items()])
     dup = (stg_offers.filter(F.col(key).isNotNull()).groupBy(key).count().filter(F.col("count") > 1)
            .agg(F.coalesce(F.sum("count"), F.lit(0)).cast("bigint").alias(f"unique:{key}")))
     return (nulls.unpivot([], nulls.columns, "check_name", "violations")
