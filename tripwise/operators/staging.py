@@ -128,7 +128,7 @@ def booking_rules(cfg: EngagementConfig) -> list[Rule]:
     ]
 
 
-def missing_ref(df: DataFrame, fk: str, ref_keys: DataFrame, ref_key: str, flag: str,
+def missing_ref(df: DataFrame, fk: str, ref_keys: DataFrame, ref_key: str, flag: str, row_id: str,
                 fk_present=None) -> DataFrame:
     """``flag`` = the (present) foreign key has no match among ``ref_keys``.
 
@@ -137,11 +137,12 @@ def missing_ref(df: DataFrame, fk: str, ref_keys: DataFrame, ref_key: str, flag:
     which broadcasts only when the measured key set is small.  A NULL key
     can never match; such rows (often a large share, e.g. unassigned
     bookings) would all hash to one shuffle partition, so their join key is
-    replaced by a random value that matches nothing and spreads them out.
+    replaced by the row's own id behind a prefix no real key carries: unique
+    per row (ids are deduplicated), deterministic, and matching nothing.
     """
     keys = ref_keys.select(F.col(ref_key).alias("_ref_key")).distinct().withColumn("_ref_hit", F.lit(True))
     present = F.col(fk).isNotNull() if fk_present is None else fk_present
-    spread = _msg("R18", (F.rand(7) * 1e9).cast("bigint").cast("string"))
+    spread = F.concat(F.lit("\u0000"), F.coalesce(F.col(row_id), F.lit("")))
     return (df.withColumn("_fk", F.coalesce(F.col(fk), spread))
             .join(keys, F.col("_fk") == F.col("_ref_key"), "left")
             .withColumn(flag, F.col("_ref_hit").isNull() & present)
@@ -162,7 +163,7 @@ def clean_bookings(raw: DataFrame, drivers_valid: DataFrame, cfg: EngagementConf
         "load_tz",
     )
     checked = apply_rules(typed, booking_rules(cfg))
-    flagged = missing_ref(checked, "id_driver", drivers_valid, "driver_id", "is_missing_driver")
+    flagged = missing_ref(checked, "id_driver", drivers_valid, "driver_id", "is_missing_driver", "id")
     return flagged.select(
         F.col("id").alias("booking_id"),
         F.col("request_date").alias("booking_request_date"),
@@ -224,8 +225,8 @@ def clean_offers(raw: DataFrame, bookings_valid: DataFrame, drivers_valid: DataF
     )
     checked = apply_rules(typed, offer_rules(cfg))
     drv_present = (F.col("driverid_raw") if cfg.literal_offer_driver_text_null else F.col("driverid")).isNotNull()
-    flagged = missing_ref(checked, "bookingid", bookings_valid, "booking_id", "is_missing_booking")
-    flagged = missing_ref(flagged, "driverid", drivers_valid, "driver_id", "is_missing_driver",
+    flagged = missing_ref(checked, "bookingid", bookings_valid, "booking_id", "is_missing_booking", "offer_id")
+    flagged = missing_ref(flagged, "driverid", drivers_valid, "driver_id", "is_missing_driver", "offer_id",
                           fk_present=drv_present)
     return flagged.select(
         "offer_id", "offer_created_date", "offer_created_local_date",
