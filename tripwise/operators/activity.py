@@ -144,48 +144,48 @@ OUTPUT_MEASURES = ("total_route_distance", "total_offers", "offers_accepted", "o
                    "avg_est_revenue_per_trip")
 
 
+def _key_to_date(key: Column) -> Column:
+    """yyyymmdd integer key -> date, by arithmetic (no string parsing per row)."""
+    return F.make_date((key / 10000).cast("int"), (key / 100 % 100).cast("int"), (key % 100).cast("int"))
+
+
 def agg_driver_activity(dim_active: DataFrame, fact_offers: DataFrame, fact_bookings: DataFrame,
                         cfg: EngagementConfig = DEFAULT) -> DataFrame:
     """One row per population driver and window day, measures 0 when idle.
 
     Plan (the dense rows never cross a shuffle):
 
-    1. sparse daily measures: offer and booking rows aggregated on
-       (driver_id, day), partial aggregation map-side;
-    2. one row per driver: the sparse days gathered into a day -> measures map
-       together with the registered-driver ids (the population).  A driver
-       has at most one entry per window day, so the map is bounded by the
-       window length however active the driver is;
-    3. each driver row is expanded over the window's days (a literal list)
-       and looks its measures up in the map; idle days get zeros.
-
-    Equal to "population x days LEFT JOIN offers_daily LEFT JOIN
-    bookings_daily": every in-window fact's driver is in the population and
-    every in-window day is a spine day.
+    1. active rows: offer and booking rows aggregated on (driver_id, day), with
+       map-side partial aggregation -- these are the output rows of days with
+       activity;
+    2. one row per driver: the driver's active days gathered into a list
+       together with the registered drivers (the population).  A driver has at
+       most one entry per window day, so the list is bounded by the window
+       length however active the driver is;
+    3. idle rows: each driver row expands to the window days missing from its
+       list (``array_except``, hash based) with zero measures.
+
+    Active rows + idle rows equal "population x days LEFT JOIN offers_daily
+    LEFT JOIN bookings_daily": every in-window fact's driver is in the
+    population and every in-window day is a spine day.
     """
     fo = offers_in_window(fact_offers, cfg).filter(F.col("driver_id").isNotNull())
     fb = bookings_in_window(fact_bookings, cfg).filter(F.col("driver_id").isNotNull())
-    daily = _daily_measures(fo, fb)
-    entries = daily.select("driver_id", F.struct(
-        F.col("activity_date_key").alias("key"),
-        F.struct(*OUTPUT_MEASURES).alias("m")).alias("e"))
+    active = _daily_measures(fo, fb)
     registered = (registered_by_window_end(dim_active, cfg).filter(F.col("driver_id").isNotNull())
-                  .select("driver_id", F.lit(None).cast(entries.schema["e"].dataType).alias("e")))
-    # The exchange carries sparse rows but feeds a window-days-times larger output:
-    # fix its width to the configured shuffle partitions instead of letting AQE
-    # shrink it to fit the (small) shuffled bytes.
+                  .select("driver_id", F.lit(None).cast("int").alias("activity_date_key")))
+    # The exchange carries (driver, day) pairs but feeds a window-days-times larger
+    # output: fix its width to the configured shuffle partitions instead of letting
+    # AQE shrink it to fit the (small) shuffled bytes.
     parts = int(dim_active.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    per_driver = (entries.unionByName(registered).repartition(parts, "driver_id").groupBy("driver_id")
-                  .agg(F.map_from_entries(F.collect_list("e")).alias("days")))
-    days = F.array(*[F.struct(F.lit(k).alias("activity_date_key"),
-                              F.lit(f"{str(k)[:4]}-{str(k)[4:6]}-{str(k)[6:]}").cast("date").alias("activity_date"))
-                     for k in cfg.window_day_keys()])
-    dense = (per_driver.select("driver_id", "days", F.inline(days))
-             .withColumn("_m", F.try_element_at("days", F.col("activity_date_key"))))
-    zeros = {c: F.lit(0) for c in OUTPUT_MEASURES}
-    dtypes = dict((f.name, f.dataType) for f in daily.schema.fields)
-    return dense.select(
-        "driver_id", "activity_date_key", "activity_date",
-        # idle day -> zeros; an active day keeps its values (revenue per trip may be NULL)
-        *[F.when(F.col("_m").isNull(), zeros[c]).otherwise(F.col(f"_m.{c}")).cast(dtypes[c]).alias(c)
-          for c in OUTPUT_MEASURES])
+    per_driver = (active.select("driver_id", "activity_date_key").unionByName(registered)
+                  .repartition(parts, "driver_id").groupBy("driver_id")
+                  .agg(F.collect_list("activity_date_key").alias("active_days")))  # NULLs are skipped
+    window = F.array(*[F.lit(k) for k in cfg.window_day_keys()]).cast("array<int>")
+    dtypes = {f.name: f.dataType for f in active.schema.fields}
+    idle = per_driver.select("driver_id", F.explode(F.array_except(window, "active_days")).alias("activity_date_key"))
+    idle = idle.select("driver_id", "activity_date_key",
+                       *[F.lit(0).cast(dtypes[c]).alias(c) for c in OUTPUT_MEASURES])
+    return (active.select("driver_id", "activity_date_key", *OUTPUT_MEASURES).unionByName(idle)
+            .select("driver_id", "activity_date_key", _key_to_date(F.col("activity_date_key")).alias("activity_date"),
+                    *OUTPUT_MEASURES))
