@@ -65,9 +65,11 @@ OPEN_END_TS = "9999-12-31 00:00:00"
 class EngagementConfig:
     # "now" used inside validity rules and audit columns
     as_of: str = "2026-06-01 00:00:00"
-    # calendar (dim_date): 30 days from 2021-06-01
+    # calendar (dim_date): 30 days from 2021-06-01, extended to cover the valid
+    # booking / offer / registration dates unless the literal calendar is asked for
     calendar_start: str = "2021-06-01"
     calendar_days: int = 30
+    calendar_covers_data: bool = True
     # activity window (inclusive)
     window_start: str = "2021-06-01"
     window_end: str = "2021-06-14"
@@ -86,7 +88,7 @@ class EngagementConfig:
     literal_offer_driver_text_null: bool = False
     # SCD2: plain '!=' on tracked columns (misses NULL<->value) and no marketing carried.
     literal_scd2_compare: bool = False
-    # Tenure and population use the calendar key (NULL before the calendar start).
+    # Fixed 30-day calendar; tenure and population use its key (NULL before its start).
     literal_calendar_tenure: bool = False
     # Revenue per trip in the KPI summary multiplied by 100.
     literal_revenue_pct: bool = False
@@ -121,6 +123,17 @@ class EngagementConfig:
         n = (hi - lo).days + 1
         return [date_key(lo + _dt.timedelta(days=i)) for i in range(max(n, 0))]
 
+    @property
+    def extends_calendar(self) -> bool:
+        return self.calendar_covers_data and not self.literal_calendar_tenure
+
+    def with_calendar_covering(self, lo: _dt.date | None, hi: _dt.date | None) -> "EngagementConfig":
+        """Resolved config whose calendar also spans [lo, hi] (the data's date range)."""
+        start = min([_d(self.calendar_start)] + ([lo] if lo else []))
+        end = max([_d(self.calendar_end)] + ([hi] if hi else []))
+        return replace(self, calendar_start=start.isoformat(), calendar_days=(end - start).days + 1,
+                       calendar_covers_data=False)
+
     def with_(self, **kw) -> "EngagementConfig":
         return replace(self, **kw)
 

@@ -15,6 +15,7 @@ Each layer is built once per instance (memoised).  Two modes:
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..config import BATCH2_AS_OF, DEFAULT, EngagementConfig
 from ..operators import activity, analyses, calendar, facts, scd2, staging
@@ -31,6 +32,26 @@ class Layers:
         self.store = store.rstrip("/") if store else None
         self._raw = raw or {}
         self._memo: dict[str, DataFrame] = {}
+        self._ccfg: EngagementConfig | None = None
+
+    @property
+    def ccfg(self) -> EngagementConfig:
+        """Config with the calendar resolved: extended to the valid rows' dates.
+
+        One aggregate (min / max of three date columns) over the staged valid
+        rows.  Valid dates lie between the rule floors and ``as_of``, and the
+        calendar keeps 2020-2030 only, so its size has a fixed upper bound.
+        """
+        if self._ccfg is None:
+            if not self.cfg.extends_calendar:
+                self._ccfg = self.cfg
+            else:
+                dates = (self.valid_drivers().select(F.col("registration_local_date").alias("d"))
+                         .unionByName(self.valid_bookings().select(F.col("booking_request_local_date").alias("d")))
+                         .unionByName(self.valid_offers().select(F.col("offer_created_local_date").alias("d"))))
+                lo, hi = dates.agg(F.min("d"), F.max("d")).first()
+                self._ccfg = self.cfg.with_calendar_covering(lo, hi)
+        return self._ccfg
 
     # ------------------------------------------------------------------ plumbing
     # A day partition is worth its own folder of files from this many rows on
@@ -55,7 +76,7 @@ class Layers:
                     df.write.mode("overwrite").parquet(path)
                 else:
                     day, source = by_day
-                    rows_per_day = source.count() / max(1, self.cfg.calendar_days)
+                    rows_per_day = source.count() / max(1, self.ccfg.calendar_days)
                     if rows_per_day >= self.DAY_PARTITION_MIN_ROWS:
                         (df.repartitionByRange(day, "driver_id").write.mode("overwrite")
                          .partitionBy(day).parquet(path))
@@ -102,7 +123,7 @@ class Layers:
 
     # ------------------------------------------------------------------ dimensions
     def dim_date(self) -> DataFrame:
-        return self._layer("dim_date", lambda: calendar.dim_date(self.spark, self.cfg), materialize=False)
+        return self._layer("dim_date", lambda: calendar.dim_date(self.spark, self.ccfg), materialize=False)
 
     def scd2_batch1(self) -> dict[str, DataFrame]:
         if "scd2_batch1" not in self._memo:
@@ -158,20 +179,20 @@ class Layers:
     # ------------------------------------------------------------------ driver-day
     def population(self) -> DataFrame:
         return activity.active_driver_population(self.dim_drivers_active(), self._offers_for_activity(),
-                                                 self.fact_bookings(), self.cfg)
+                                                 self.fact_bookings(), self.ccfg)
 
     def spine(self) -> DataFrame:
-        return activity.driver_date_spine(self.population(), self.cfg)
+        return activity.driver_date_spine(self.population(), self.ccfg)
 
     def offers_daily(self) -> DataFrame:
-        return activity.offers_daily(self._offers_for_activity(), self.cfg)
+        return activity.offers_daily(self._offers_for_activity(), self.ccfg)
 
     def bookings_daily(self) -> DataFrame:
-        return activity.bookings_daily(self.fact_bookings(), self.cfg)
+        return activity.bookings_daily(self.fact_bookings(), self.ccfg)
 
     def agg_driver_activity(self) -> DataFrame:
         return self._layer("agg_driver_activity", lambda: activity.agg_driver_activity(
-            self.dim_drivers_active(), self._offers_for_activity(), self.fact_bookings(), self.cfg))
+            self.dim_drivers_active(), self._offers_for_activity(), self.fact_bookings(), self.ccfg))
 
     # ------------------------------------------------------------------ analyses
     def driver_kpi_summary(self) -> DataFrame:
