@@ -88,3 +88,21 @@ def test_dimension_loads_each_staged_batch_once(spark, scratch):
     want = L.scd2_batch2()["dim"]
     assert got.count() == want.count()
     assert got.exceptAll(want).count() == 0
+
+
+def test_streaming_offers_against_staged_references(spark, scratch):
+    """Offer extracts streamed in two batches, checked against staged drivers and bookings tables."""
+    L0 = Layers(spark, SF_SMALL)
+    # all rows of one offer id in the same extract file, so per-batch dedup = full dedup
+    write_raw_csv(L0.raw_offers().repartition(2, "id"), f"{scratch}/raw", "offers")
+    ts = "2026-06-01 00:00:00"
+    L = Layers(spark, SF_SMALL, raw={"offers": read_raw_csv(spark, f"{scratch}/raw", "offers", load_tz=ts)})
+    L.stg_drivers().write.parquet(f"{scratch}/stg_drivers")
+    L.stg_bookings().write.parquet(f"{scratch}/stg_bookings")
+    run_ingest(spark, f"{scratch}/raw", "offers", f"{scratch}/stg", f"{scratch}/ck", load_tz=ts,
+               drivers_staged_path=f"{scratch}/stg_drivers", bookings_staged_path=f"{scratch}/stg_bookings",
+               max_files_per_batch=1)
+    got = spark.read.parquet(f"{scratch}/stg").drop("batch_id")
+    want = L.stg_offers()
+    assert got.count() == want.count()
+    assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0

@@ -26,13 +26,18 @@ from ..sources.csv import CSV_OPTIONS, RAW_COLUMNS, text_schema, with_load_defau
 
 def _cleaner(kind: str, spark: SparkSession, cfg: EngagementConfig,
              drivers_valid_path: str | None, bookings_valid_path: str | None) -> Callable[[DataFrame], DataFrame]:
+    """Batch cleaning function; reference tables are read per batch, so each
+    micro-batch checks against their current contents."""
     if kind == "drivers":
         return lambda raw: staging.clean_drivers(raw, cfg)
-    drivers_valid = staging.valid_drivers(spark.read.parquet(drivers_valid_path))
+
+    def drivers_valid() -> DataFrame:
+        return staging.valid_drivers(spark.read.parquet(drivers_valid_path))
+
     if kind == "bookings":
-        return lambda raw: staging.clean_bookings(raw, drivers_valid, cfg)
-    bookings_valid = staging.valid_bookings(spark.read.parquet(bookings_valid_path))
-    return lambda raw: staging.clean_offers(raw, bookings_valid, drivers_valid, cfg)
+        return lambda raw: staging.clean_bookings(raw, drivers_valid(), cfg)
+    return lambda raw: staging.clean_offers(
+        raw, staging.valid_bookings(spark.read.parquet(bookings_valid_path)), drivers_valid(), cfg)
 
 
 def start_ingest(spark: SparkSession, source_dir: str, kind: str, staged_path: str, checkpoint_path: str,
