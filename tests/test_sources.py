@@ -4,6 +4,8 @@ import gzip
 import os
 
 
+from pyspark.sql import functions as F
+
 from conftest import SF_SMALL
 from tripwise.plans.layers import Layers
 from tripwise.sources.csv import read_raw_csv, write_raw_csv
@@ -106,3 +108,21 @@ def test_streaming_offers_against_staged_references(spark, scratch):
     want = L.stg_offers()
     assert got.count() == want.count()
     assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+
+
+def test_latest_staged_across_loads(spark, scratch):
+    """A booking re-sent in a later load: the accumulated staged table keeps both, the view the newest."""
+    from tripwise.operators.staging import latest_staged
+    from tripwise.sources.csv import with_load_defaults
+    L = Layers(spark, SF_SMALL)
+    raw = L.raw_bookings().drop("is_processed", "load_tz")
+    first = with_load_defaults(raw, "2026-06-01 00:00:00")
+    resent = with_load_defaults(raw.limit(5).withColumn("status", F.lit("DRIVER_ABORT")), "2026-06-02 00:00:00")
+    from tripwise.operators import staging
+    stg = (staging.clean_bookings(first, L.valid_drivers())
+           .unionByName(staging.clean_bookings(resent, L.valid_drivers())))
+    assert stg.count() == raw.count() + 5
+    latest = latest_staged(stg, "bookings")
+    assert latest.count() == raw.count()
+    assert latest.filter(F.col("raw_load_tz") == F.lit("2026-06-02 00:00:00").cast("timestamp")) \
+        .filter(F.col("booking_status") == "DRIVER_ABORT").count() == 5

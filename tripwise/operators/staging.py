@@ -247,3 +247,18 @@ def valid_offers(stg: DataFrame) -> DataFrame:
         "offer_id", "offer_created_date", "offer_created_local_date", "booking_id", "driver_id",
         "route_distance", "offer_state", "driver_read", "is_processed", "raw_load_tz",
         "is_missing_driver", "is_missing_booking")
+
+
+# --------------------------------------------------------------------------- across batches
+STAGED_KEYS = {"drivers": "driver_id", "bookings": "booking_id", "offers": "offer_id"}
+
+
+def latest_staged(staged: DataFrame, kind: str) -> DataFrame:
+    """Latest staged row per key across loads (Q3).
+
+    Each load deduplicates only its own batch, so a re-sent id is staged once
+    per load; consumers that join on the key (facts, reference checks) should
+    read this view of the accumulated staged table.  Newest load wins; ties
+    are broken on the other columns as in ``latest_per_key``.
+    """
+    return latest_per_key(staged, STAGED_KEYS[kind], newest_first="raw_load_tz")
