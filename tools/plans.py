@@ -46,7 +46,7 @@ def main() -> None:
             L.raw_offers(), L.valid_bookings(), L.valid_drivers(), L.cfg),
         "fact_offers": facts.fact_offers(L.valid_offers(), L.valid_bookings(), L.dim_drivers_active(), L.dim_date()),
         "agg_driver_activity (flagship)": activity.agg_driver_activity(
-            L.dim_drivers_active(), L.fact_offers(), L.fact_bookings(), L.cfg),
+            L.registered_drivers(), L.fact_offers(), L.fact_bookings(), L.ccfg),
     }
     steps["SCD2 second load (one full outer join)"] = L.scd2_batch2()["dim"]
     agg = L.agg_driver_activity()

@@ -177,8 +177,14 @@ class Layers:
         return facts.fact_offers(self.valid_offers(), None, self.dim_drivers_active(), self.dim_date())
 
     # ------------------------------------------------------------------ driver-day
+    def registered_drivers(self) -> DataFrame:
+        # the population reads registration dates; only the literal variant needs the calendar key
+        if self.cfg.literal_calendar_tenure:
+            return self.dim_drivers_active()
+        return self.dim_drivers().filter("is_active")
+
     def population(self) -> DataFrame:
-        return activity.active_driver_population(self.dim_drivers_active(), self._offers_for_activity(),
+        return activity.active_driver_population(self.registered_drivers(), self._offers_for_activity(),
                                                  self.fact_bookings(), self.ccfg)
 
     def spine(self) -> DataFrame:
@@ -192,7 +198,7 @@ class Layers:
 
     def agg_driver_activity(self) -> DataFrame:
         return self._layer("agg_driver_activity", lambda: activity.agg_driver_activity(
-            self.dim_drivers_active(), self._offers_for_activity(), self.fact_bookings(), self.ccfg))
+            self.registered_drivers(), self._offers_for_activity(), self.fact_bookings(), self.ccfg))
 
     # ------------------------------------------------------------------ analyses
     def driver_kpi_summary(self) -> DataFrame:
