@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from tripwise.llm import ann, decontaminate
+from tripwise.llm import ann, decontaminate, quality
 
 QUERIES = {
     "op3_decontamination": decontaminate.op3_decontamination,
+    "op5_quality": quality.op5_quality,
     "op6_block_search": ann.op6_block_search,
 }
 
