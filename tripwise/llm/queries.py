@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
-from tripwise.llm import ann, decontaminate, quality
+from tripwise.llm import ann, decontaminate, quality, secret_scan, sentencepiece_codec
 
 QUERIES = {
     "op3_decontamination": decontaminate.op3_decontamination,
     "op5_quality": quality.op5_quality,
     "op6_block_search": ann.op6_block_search,
+    "op9_secret_scan": secret_scan.op9_secret_scan,
+    "op10_sentencepiece": sentencepiece_codec.op10_sentencepiece,
 }
 
 ORACLE_SQL = {
     "op3_decontamination": decontaminate.ORACLE,
     "op6_block_search": ann.ORACLE,
+    "op9_secret_scan": secret_scan.ORACLE,
 }
