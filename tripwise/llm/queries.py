@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from tripwise.llm import ann, decontaminate, quality, secret_scan, sentencepiece_codec, url_rules, warc
+from tripwise.llm import ann, decontaminate, ngram_join, quality, secret_scan, sentencepiece_codec, url_rules, warc
 
 QUERIES = {
     "op3_decontamination": decontaminate.op3_decontamination,
     "op4_warc": warc.op4_warc,
     "op5_quality": quality.op5_quality,
     "op6_block_search": ann.op6_block_search,
+    "op7_ngram_join": ngram_join.op7_ngram_join,
     "op8_url_rules": url_rules.op8_url_rules,
     "op9_secret_scan": secret_scan.op9_secret_scan,
     "op10_sentencepiece": sentencepiece_codec.op10_sentencepiece,
