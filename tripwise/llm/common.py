@@ -6,7 +6,7 @@ import uuid
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -64,3 +64,32 @@ def not_null(name: str, kind: T.DataType) -> T.StructField:
 def hashed_fold(column: str, folds: int):
     """crc32 of the value as text, modulo ``folds``; null for null."""
     return F.crc32(F.col(column).cast("string").cast("binary")) % folds
+
+
+def fixed_array(values: DataFrame, size: int) -> Column:
+    """Numbers (i, value) as one array of ``size`` elements with 0 where there is none, for use in any expression.
+
+    The array is a session variable, computed at once.  ``size`` is a constant of
+    the caller, so what all tasks get has a fixed size.
+    """
+    spark = values.sparkSession
+    every = spark.range(size).select(F.col("id").cast("int").alias("i"))
+    filled = every.join(values, "i", "left").agg(F.sort_array(F.collect_list(F.struct(
+        "i", F.coalesce("value", F.lit(0).cast(values.schema["value"].dataType)).alias("value")))).alias("all"))
+    name = f"tw_array_{uuid.uuid4().hex}"
+    filled.select(F.col("all.value").alias("value")).createOrReplaceTempView(name)
+    spark.sql(f"DECLARE OR REPLACE VARIABLE {name} ARRAY<BIGINT>")
+    spark.sql(f"SET VAR {name} = (SELECT CAST(value AS ARRAY<BIGINT>) FROM {name})")
+    spark.catalog.dropTempView(name)
+    return F.expr(name)
+
+
+def bit_filter(values: DataFrame, column: str, words: int = 1 << 14) -> Column:
+    """Whether a row's ``column`` may be among the values of ``values``: one bit per hash, in an array of fixed size.
+
+    Passes every given value; the more of them there are, the more others pass too.
+    """
+    word = (F.pmod(F.xxhash64(column), F.lit(64 * words)) / 64).cast("int")
+    bit = F.expr(f"shiftleft(1L, cast(pmod(xxhash64({column}), 64) as int))")
+    bits = values.groupBy(word.alias("i")).agg(F.bit_or(bit).alias("value"))
+    return F.element_at(fixed_array(bits, words), word + 1).bitwiseAND(bit) != 0

@@ -25,19 +25,18 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tripwise.llm.common import add_columns, stored, table, utf8
 from tripwise.llm.components import connected_components
+from tripwise.llm.set_pairs import least_overlap, linked, needed_overlap
 from tripwise.llm.words import distinct, mix, shingles, white_space_splitter
 
 NGRAM, PERCENT = 3, 90
 #: one in so many columns is looked at first
 FIRST_SHARE = 4
-#: pairs of one partner that one task joins
-PAIRS_PER_TASK = 512
 #: blocks of columns of the coarse product
 COLUMN_BLOCKS = 64
 
@@ -83,11 +82,6 @@ def ngram_sets(docs: DataFrame, ngram: int, share: int | None, text: str = "text
     return add_columns(docs, fields, make, drop=(text,))
 
 
-def _least(size: Column, percent: int) -> Column:
-    """The overlap that a row needs at least: ceil(percent * size / 100)."""
-    return F.floor((size * percent + 99) / F.lit(100)).cast("long")
-
-
 def _alone(cells: DataFrame) -> DataFrame:
     """(key, own): how many columns of a row hold no other row; rows without such columns are absent."""
     # all partial aggregates: a column that very many rows share is one row per task
@@ -98,20 +92,7 @@ def _alone(cells: DataFrame) -> DataFrame:
 def _within_bound(rows: DataFrame, cells: DataFrame, percent: int) -> DataFrame:
     """Rows (key, size) whose own columns leave enough for the overlap."""
     return (rows.join(_alone(cells), "key", "left")
-            .where(F.coalesce("own", F.lit(0)) <= F.col("size") - _least(F.col("size"), percent)).select("key", "size"))
-
-
-def _linked(pairs: DataFrame, rows: DataFrame, percent: int) -> DataFrame:
-    """Of the pairs (a, b) of keys those whose rows (key, size, columns) link; blocks of pairs share a partner's row."""
-    counted = pairs.join(pairs.groupBy("a").agg(F.floor((F.count("*") - 1) / PAIRS_PER_TASK).cast("int").alias("last")), "a")
-    dealt = counted.withColumn("block", F.pmod(F.xxhash64("b"), F.col("last") + 1).cast("int"))
-    blocks = dealt.select("a", "block").distinct()
-    of = lambda name: rows.select(F.col("key").alias(name), F.col("columns").alias("columns_" + name), F.col("size").alias("size_" + name))
-    first = blocks.join(of("a"), "a")
-    both = dealt.select("a", "block", "b").join(of("b"), "b").join(first, ["a", "block"])
-    overlap = F.size(F.array_intersect("columns_a", "columns_b"))
-    return (both.withColumn("overlap", overlap)
-            .where(100 * F.col("overlap") >= percent * (F.col("size_a") + F.col("size_b") - F.col("overlap"))).select("a", "b"))
+            .where(F.coalesce("own", F.lit(0)) <= F.col("size") - least_overlap(F.col("size"), percent)).select("key", "size"))
 
 
 def link_rows(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", ngram: int = NGRAM, percent: int = PERCENT) -> tuple[DataFrame, DataFrame]:
@@ -138,7 +119,7 @@ def link_rows(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", ngram
     shared = cells.groupBy("column").agg(F.count("*").alias("rows")).where("rows > 1")
     ranked = cells.join(shared, "column").groupBy("key").agg(F.sort_array(F.collect_list(F.struct("rows", "column"))).alias("ranked"))
     ranked = ranked.join(left, "key").withColumn("own", F.col("size") - F.size("ranked")).withColumn(
-        "taken", (F.col("size") - _least(F.col("size"), percent) + 1 - F.col("own")).cast("int"))
+        "taken", (F.col("size") - least_overlap(F.col("size"), percent) + 1 - F.col("own")).cast("int"))
     rare = (ranked.where("taken > 0").select("key", "size", "own", F.posexplode(F.slice("ranked", F.lit(1), F.col("taken"))).alias("rank", "cell"))
             .select(F.col("cell.column").alias("column"), "key", "size", (F.col("own") + F.col("rank")).alias("place")))
     rare = stored(rare, "ngram-rare")
@@ -148,7 +129,7 @@ def link_rows(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", ngram
     chief = rare.groupBy("column").agg(F.min(order).alias("chief")).select("column", F.col("chief.key").alias("a"), F.col("chief.size").alias("size_a"))
     near = (100 * F.least("size", "size_a") >= percent * F.greatest("size", "size_a"))
     pairs = stored(rare.join(chief, "column").where((F.col("key") != F.col("a")) & near).select("a", F.col("key").alias("b")).distinct(), "ngram-pairs")
-    links = stored(_linked(pairs, whole, percent), "ngram-links")
+    links = stored(linked(pairs, whole, percent), "ngram-links")
 
     # pairs across components, where bounds from sizes, places and blocks of columns leave a link possible
     named = connected_components(links)
@@ -156,7 +137,7 @@ def link_rows(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", ngram
     mixed = placed.groupBy("column").agg(F.min("component").alias("one"), F.max("component").alias("two")).where("one <> two").select("column")
     placed = stored(placed.join(mixed, "column", "left_semi").join(whole.select("key", "blocks"), "key"), "ngram-mixed")
     other = placed.select("column", *[F.col(c).alias(c + "_b") for c in ("key", "size", "place", "component", "blocks")])
-    needed = F.floor(((F.col("size") + F.col("size_b")) * percent + 99 + percent) / F.lit(100 + percent))
+    needed = needed_overlap(F.col("size"), F.col("size_b"), percent)
     at_most = F.aggregate(F.zip_with("blocks", "blocks_b", lambda x, y: F.least(x, y)), F.lit(0), lambda total, x: total + x)
     rest = (placed.join(other, "column")
             .where((F.col("key") < F.col("key_b")) & (F.col("component") != F.col("component_b"))
@@ -165,7 +146,7 @@ def link_rows(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", ngram
             .select(F.col("key").alias("a"), F.col("key_b").alias("b")).distinct())
     tested = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     rest = stored(rest.join(tested, ["a", "b"], "left_anti"), "ngram-rest")
-    more = stored(_linked(rest, whole, percent), "ngram-links")
+    more = stored(linked(rest, whole, percent), "ngram-links")
     found = connected_components(links.union(more)) if more.head(1) else named
     return seen, found.select(F.col("vertex").alias("key"), "component")
 

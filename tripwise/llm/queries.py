@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from tripwise.llm import ann, decontaminate, ngram_join, quality, secret_scan, sentencepiece_codec, url_rules, warc
+from tripwise.llm import ann, decontaminate, line_dedup, ngram_join, quality, secret_scan, sentencepiece_codec, url_rules, warc
 
 QUERIES = {
+    "op2_line_dedup": line_dedup.op2_line_dedup,
     "op3_decontamination": decontaminate.op3_decontamination,
     "op4_warc": warc.op4_warc,
     "op5_quality": quality.op5_quality,
@@ -16,6 +17,7 @@ QUERIES = {
 }
 
 ORACLE_SQL = {
+    "op2_line_dedup": line_dedup.ORACLE,
     "op3_decontamination": decontaminate.ORACLE,
     "op4_warc": warc.ORACLE,
     "op6_block_search": ann.ORACLE,

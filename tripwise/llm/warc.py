@@ -33,7 +33,7 @@ import pyarrow.fs as pafs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripwise.llm.common import scratch_path, stored, table
+from tripwise.llm.common import bit_filter, scratch_path, stored, table
 
 #: payloads from this many bytes on are stored once
 LEAST_BYTES = 100
@@ -42,8 +42,6 @@ RECORDS_PER_FILE = 20_000
 BLOCK = 8 << 20
 #: rows of one payload that one task joins
 COPIES_PER_TASK = 4096
-#: 64-bit words of the filter that tells which payloads may have copies (128 KB)
-FILTER_WORDS = 1 << 14
 MAGIC = b"WARC/1.0\r\n"
 _DATE = "2026-01-01T00:00:00Z"
 _RECORD = re.compile(rb"WARC/1\.0\r\n((?:[!-9;-~]+:[^\r\n]*\r\n)+)\r\n")
@@ -70,27 +68,13 @@ def with_responses(pages: DataFrame, page_id: str = "page_id", html: str = "html
         last = F.element_at(F.create_map(*[x for k, v in large.items() for x in (F.lit(k), F.lit(v))]), F.col("digest"))
         dealt = F.when(last.isNotNull(), F.pmod(F.xxhash64(page_id, F.monotonically_increasing_id()), last + 1).cast("int")).otherwise(F.lit(0))
     # payloads whose digest cannot be in a group stay where they are; only the others are shuffled
-    shared = _filter_of(groups.select("digest").distinct())
+    shared = bit_filter(groups.select("digest").distinct(), "digest")
     alone = rows.where(~shared).withColumn("refers_to", F.lit(None).cast(rows.schema[page_id].dataType))
     copies = (rows.where(shared).withColumn("part", dealt).join(groups.select("digest", "part", "first_id"), ["digest", "part"], "left").drop("part")
               .withColumn("refers_to", F.when(F.col("first_id") != F.col(page_id), F.col("first_id"))).drop("first_id"))
     return copies.unionByName(alone)
 
 
-def _filter_of(digests: DataFrame) -> Column:
-    """Whether a row's digest may be among the given ones: one bit per hash, in an array of fixed size.
-
-    Passes every given digest; the more of them there are, the more others pass too.
-    """
-    place = lambda column: F.pmod(F.xxhash64(column), F.lit(64 * FILTER_WORDS))
-    bit = lambda column: F.expr(f"shiftleft(1L, cast(pmod(xxhash64({column}), 64) as int))")
-    words = digests.groupBy((place("digest") / 64).cast("int").alias("i")).agg(F.bit_or(bit("digest")).alias("bits"))
-    every = digests.sparkSession.range(FILTER_WORDS).select(F.col("id").cast("int").alias("i"))
-    array = every.join(words, "i", "left").agg(F.sort_array(F.collect_list(F.struct("i", F.coalesce("bits", F.lit(0)).alias("bits")))).alias("a"))
-    filled = array.select(F.col("a.bits")).scalar()
-    return F.element_at(filled, (place("digest") / 64).cast("int") + 1).bitwiseAND(bit("digest")) != 0
-
-
 def _encoded(url: Column) -> Column:
     return F.replace(F.regexp_replace(F.url_encode(url), r"%(21|23|24|26|27|28|29|2A|2B|2C|2F|3A|3B|3D|3F|40|7E)", "%$1"), F.lit("+"), F.lit("%20"))
 
