@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from tripwise.llm import ann, decontaminate, line_dedup, ngram_join, quality, secret_scan, sentencepiece_codec, url_rules, warc
+from tripwise.llm import ann, decontaminate, line_dedup, ngram_join, paragraph_dedup, quality, secret_scan, sentencepiece_codec, url_rules, warc
 
 QUERIES = {
+    "op1_paragraph_dedup": paragraph_dedup.op1_paragraph_dedup,
     "op2_line_dedup": line_dedup.op2_line_dedup,
     "op3_decontamination": decontaminate.op3_decontamination,
     "op4_warc": warc.op4_warc,
