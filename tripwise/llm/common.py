@@ -93,3 +93,15 @@ def bit_filter(values: DataFrame, column: str, words: int = 1 << 14) -> Column:
     bit = F.expr(f"shiftleft(1L, cast(pmod(xxhash64({column}), 64) as int))")
     bits = values.groupBy(word.alias("i")).agg(F.bit_or(bit).alias("value"))
     return F.element_at(fixed_array(bits, words), word + 1).bitwiseAND(bit) != 0
+
+
+def split_by(df: DataFrame, keys: DataFrame, column: str, words: int = 1 << 14) -> tuple[DataFrame, DataFrame]:
+    """(rows whose ``column`` may be among ``keys``, rows that surely aren't), so that a join shuffles the former only."""
+    may = F.coalesce(bit_filter(keys.select(column).distinct(), column, words), F.lit(False))
+    return df.where(may), df.where(~may)
+
+
+def without_ids(df: DataFrame, ids: DataFrame, column: str) -> DataFrame:
+    """The rows whose ``column`` is not among ``ids``; rows with a null there stay."""
+    may, rest = split_by(df, ids, column)
+    return may.join(ids.select(column).distinct(), column, "left_anti").select(*df.columns).unionByName(rest)
