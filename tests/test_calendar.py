@@ -21,4 +21,13 @@ def test_outside_calendar_gets_null_key(spark):
 
 def test_window_day_keys():
     assert DEFAULT.window_day_keys()[0] == 20210601 and len(DEFAULT.window_day_keys()) == 14
-    assert len(DEFAULT.with_(window_end="2021-12-31").window_day_keys()) == 30   # clipped to the calendar
+    assert len(DEFAULT.with_(window_end="2021-12-31").window_day_keys()) == 214
+    literal = DEFAULT.with_(literal_calendar_tenure=True)
+    assert len(literal.with_(window_end="2021-12-31").window_day_keys()) == 30   # has its own days only
+
+
+def test_calendar_covers_window_and_valid_dates(spark):
+    cfg = DEFAULT.with_(window_start="2008-05-01", window_end="2031-02-01").with_calendar()
+    days = [r.date for r in dim_date(spark, cfg).collect()]
+    assert (min(days), max(days)) == (dt.date(2008, 5, 1), dt.date(2031, 2, 1))
+    assert len(days) == (days[-1] - days[0]).days + 1 and len(cfg.window_day_keys()) == len(days)

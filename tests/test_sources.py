@@ -38,12 +38,12 @@ def test_streaming_two_batches_equal_full_load(spark, scratch):
     L = Layers(spark, SF_SMALL)
     L.stg_drivers().write.parquet(f"{scratch}/stg_drivers")
     write_raw_csv(L.raw_bookings().repartition(2), f"{scratch}/raw", "bookings", compression="gzip")
-    kw = dict(load_tz="2026-06-01 00:00:00", drivers_staged_path=f"{scratch}/stg_drivers", max_files_per_batch=1)
+    kw = dict(cfg=DEFAULT, load_tz="2026-06-01 00:00:00", drivers_staged_path=f"{scratch}/stg_drivers", max_files_per_batch=1)
     run_ingest(spark, f"{scratch}/raw", "bookings", f"{scratch}/stg", f"{scratch}/ck", **kw)
     staged = spark.read.parquet(f"{scratch}/stg")
     assert staged.select("batch_id").distinct().count() == 2
     full = L.stg_bookings()
-    got = staged.drop("batch_id")
+    got = staged.drop("load_run", "batch_id")
     assert got.exceptAll(full).count() == 0 and full.exceptAll(got).count() == 0
     # same checkpoint, no new files: nothing is loaded twice
     run_ingest(spark, f"{scratch}/raw", "bookings", f"{scratch}/stg", f"{scratch}/ck", **kw)
@@ -57,7 +57,7 @@ def test_runner_from_csv_extracts(spark, scratch):
     L = Layers(spark, SF_SMALL)
     for kind, df in (("drivers", L.raw_drivers()), ("bookings", L.raw_bookings()), ("offers", L.raw_offers())):
         write_raw_csv(df, f"{scratch}/csv/{kind}", kind, compression="gzip")
-    paths = runner.run(spark, f"{scratch}/model", raw_csv=f"{scratch}/csv", load_tz="2026-06-01 00:00:00")
+    paths = runner.run(spark, f"{scratch}/model", raw_csv=f"{scratch}/csv", load_tz="2026-06-01 00:00:00", as_of=DEFAULT.as_of)
     assert spark.read.parquet(paths["abort_segments"]).count() >= 1
     stored = spark.read.parquet(f"{scratch}/model/agg_driver_activity")
     raw = {k: read_raw_csv(spark, f"{scratch}/csv/{k}", k, load_tz="2026-06-01 00:00:00")
@@ -69,9 +69,9 @@ def test_runner_from_csv_extracts(spark, scratch):
 
 def test_dimension_loads_each_staged_batch_once(spark, scratch):
     """raw CSV batches -> streaming staging -> ledger-driven SCD2 loads == the one-shot SCD2 result."""
-    from tripwise.config import BATCH2_AS_OF, BATCH2_LOAD_TZ, DEFAULT
+    from tripwise.config import BATCH2_AS_OF, BATCH2_LOAD_TZ
     from tripwise.sources import fixtures
-    from tripwise.streaming.dim_load import load_pending
+    from tripwise.streaming.dim_load import current_dimension, load_pending
     write_raw_csv(Layers(spark, SF_SMALL).raw_drivers(), f"{scratch}/src/b1", "drivers")
     # reference: the same extract through the lazy layers (one load time for all rows of the file)
     L = Layers(spark, SF_SMALL, raw={"drivers": read_raw_csv(spark, f"{scratch}/src/b1", "drivers",
@@ -85,8 +85,8 @@ def test_dimension_loads_each_staged_batch_once(spark, scratch):
     write_raw_csv(fixtures.raw_drivers_batch2(L.valid_drivers()), f"{scratch}/src/b2", "drivers")
     run_ingest(spark, cfg=DEFAULT.with_(as_of=BATCH2_AS_OF), load_tz=BATCH2_LOAD_TZ, **ingest)
     second = load_pending(spark, f"{scratch}/stg", f"{scratch}/dim", as_of=BATCH2_AS_OF)
-    assert second["version"] == 2 and second["max_batch_id"] == 1
-    got = spark.read.parquet(f"{scratch}/dim/v=2")
+    assert second["version"] == 2 and second["batches"] == 1
+    got, _ = current_dimension(spark, f"{scratch}/dim")
     want = L.scd2_batch2()["dim"]
     assert got.count() == want.count()
     assert got.exceptAll(want).count() == 0
@@ -101,10 +101,10 @@ def test_streaming_offers_against_staged_references(spark, scratch):
     L = Layers(spark, SF_SMALL, raw={"offers": read_raw_csv(spark, f"{scratch}/raw", "offers", load_tz=ts)})
     L.stg_drivers().write.parquet(f"{scratch}/stg_drivers")
     L.stg_bookings().write.parquet(f"{scratch}/stg_bookings")
-    run_ingest(spark, f"{scratch}/raw", "offers", f"{scratch}/stg", f"{scratch}/ck", load_tz=ts,
+    run_ingest(spark, f"{scratch}/raw", "offers", f"{scratch}/stg", f"{scratch}/ck", cfg=DEFAULT, load_tz=ts,
                drivers_staged_path=f"{scratch}/stg_drivers", bookings_staged_path=f"{scratch}/stg_bookings",
                max_files_per_batch=1)
-    got = spark.read.parquet(f"{scratch}/stg").drop("batch_id")
+    got = spark.read.parquet(f"{scratch}/stg").drop("load_run", "batch_id")
     want = L.stg_offers()
     assert got.count() == want.count()
     assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
@@ -126,3 +126,53 @@ def test_latest_staged_across_loads(spark, scratch):
     assert latest.count() == raw.count()
     assert latest.filter(F.col("raw_load_tz") == F.lit("2026-06-02 00:00:00").cast("timestamp")) \
         .filter(F.col("booking_status") == "DRIVER_ABORT").count() == 5
+
+
+def _driver(rating):
+    return {"id": "d1", "date_registration": "2021-01-01 00:00:00", "driver_rating": rating, "rating_count": "5",
+            "receive_marketing": "true", "country": "France"}
+
+
+def test_pending_batches_keep_every_version_and_fresh_checkpoints_keep_staged_rows(spark, scratch):
+    """Three extracts, the last two pending together; the third comes through a stream of its own."""
+    from tripwise.sources.csv import RAW_COLUMNS
+    from tripwise.streaming.dim_load import current_dimension, ledger, load_pending
+    first = Layers(spark, SF_SMALL).raw_drivers().limit(1).collect()[0].asDict()
+    rating = [c for c in RAW_COLUMNS["drivers"] if c.endswith("rating")][0]
+    for n, (value, checkpoint) in enumerate((("4.0", "ck1"), ("4.5", "ck1"), ("4.8", "ck2")), start=1):
+        row = {**first, **{k: v for k, v in _driver(value).items() if k in first}, rating: value}
+        df = spark.createDataFrame([tuple(row[c] for c in RAW_COLUMNS["drivers"])], ", ".join(f"{c} string" for c in RAW_COLUMNS["drivers"]))
+        write_raw_csv(df, f"{scratch}/src{checkpoint}/b{n}", "drivers")
+        run_ingest(spark, f"{scratch}/src{checkpoint}/*", "drivers", f"{scratch}/stg", f"{scratch}/{checkpoint}", cfg=DEFAULT,
+                   load_tz=f"2026-05-0{n} 00:00:00")
+        if n == 1:
+            load_pending(spark, f"{scratch}/stg", f"{scratch}/dim", as_of=DEFAULT.as_of)
+    assert spark.read.parquet(f"{scratch}/stg").count() == 3
+    assert load_pending(spark, f"{scratch}/stg", f"{scratch}/dim", as_of=DEFAULT.as_of)["batches"] == 2
+    dim, version = current_dimension(spark, f"{scratch}/dim")
+    assert version == 3 and ledger(spark, f"{scratch}/dim").count() == 3
+    got = [(float(r.driver_rating), r.is_active) for r in dim.orderBy("start_eff_ts").collect()]
+    assert got == [(4.0, False), (4.5, False), (4.8, True)]
+
+
+def test_unreadable_ledger_is_an_error(spark, scratch):
+    from tripwise.streaming.dim_load import current_dimension
+    assert current_dimension(spark, f"{scratch}/none")[1] == 0
+    os.makedirs(f"{scratch}/dim/_ledger")
+    with open(f"{scratch}/dim/_ledger/part-0.parquet", "w") as f:
+        f.write("not parquet")
+    with pytest.raises(Exception):
+        current_dimension(spark, f"{scratch}/dim")
+
+
+def test_large_fare_reaches_the_driver_day_table(spark):
+    """Fares may have 36 whole digits; nothing on the way narrows them."""
+    from decimal import Decimal
+    L = Layers(spark, SF_SMALL)
+    raw = L.raw_bookings()
+    big = (raw.filter("upper(trim(status)) = 'SUCCESS' AND id_driver IS NOT NULL AND id_driver <> 'null'").limit(1)
+           .withColumn("id", F.lit("big")).withColumn("request_date", F.lit("2021-06-03 10:00:00"))
+           .withColumn("estimated_route_fare", F.lit("100000000000000000.00")))
+    agg = Layers(spark, SF_SMALL, raw={"bookings": raw.unionByName(big)}).agg_driver_activity()
+    top = agg.agg(F.max("total_est_revenue").alias("r"), F.max("avg_est_revenue_per_trip").alias("a")).first()
+    assert top.r >= Decimal("1e17") and top.a > Decimal("1e16")

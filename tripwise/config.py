@@ -65,8 +65,8 @@ OPEN_END_TS = "9999-12-31 00:00:00"
 class EngagementConfig:
     # "now" used inside validity rules and audit columns
     as_of: str = "2026-06-01 00:00:00"
-    # calendar (dim_date): 30 days from 2021-06-01, extended to cover the valid
-    # booking / offer / registration dates unless the literal calendar is asked for
+    # calendar (dim_date): 30 days from 2021-06-01, extended to cover every date that can be
+    # valid (from the date floors to ``as_of``) and the window, unless the literal calendar is asked for
     calendar_start: str = "2021-06-01"
     calendar_days: int = 30
     calendar_covers_data: bool = True
@@ -88,7 +88,7 @@ class EngagementConfig:
     literal_offer_driver_text_null: bool = False
     # SCD2: plain '!=' on tracked columns (misses NULL<->value) and no marketing carried.
     literal_scd2_compare: bool = False
-    # Fixed 30-day calendar; tenure and population use its key (NULL before its start).
+    # Fixed 30-day calendar inside 2020-2030; tenure and population use its key (NULL before its start).
     literal_calendar_tenure: bool = False
     # Revenue per trip in the KPI summary multiplied by 100.
     literal_revenue_pct: bool = False
@@ -117,9 +117,11 @@ class EngagementConfig:
         return (_d(self.window_end) - _d(self.window_start)).days + 1
 
     def window_day_keys(self) -> list[int]:
-        """Keys of the calendar days inside the window (the calendar keeps 2020-2030 only)."""
-        lo = max(_d(self.window_start), _d(self.calendar_start), _d("2020-01-01"))
-        hi = min(_d(self.window_end), _d(self.calendar_end), _d("2030-12-31"))
+        """Keys of the window's days; the literal calendar has only its own days in 2020-2030."""
+        lo, hi = _d(self.window_start), _d(self.window_end)
+        if self.literal_calendar_tenure:
+            lo = max(lo, _d(self.calendar_start), _d("2020-01-01"))
+            hi = min(hi, _d(self.calendar_end), _d("2030-12-31"))
         n = (hi - lo).days + 1
         return [date_key(lo + _dt.timedelta(days=i)) for i in range(max(n, 0))]
 
@@ -127,10 +129,13 @@ class EngagementConfig:
     def extends_calendar(self) -> bool:
         return self.calendar_covers_data and not self.literal_calendar_tenure
 
-    def with_calendar_covering(self, lo: _dt.date | None, hi: _dt.date | None) -> "EngagementConfig":
-        """Resolved config whose calendar also spans [lo, hi] (the data's date range)."""
-        start = min([_d(self.calendar_start)] + ([lo] if lo else []))
-        end = max([_d(self.calendar_end)] + ([hi] if hi else []))
+    def with_calendar(self) -> "EngagementConfig":
+        """Config whose calendar spans every date that can be valid, and the window (a few thousand days)."""
+        if not self.extends_calendar:
+            return self
+        start = min(map(_d, (self.calendar_start, self.window_start, self.driver_date_floor,
+                             self.booking_date_floor, self.offer_date_floor)))
+        end = max(map(_d, (self.calendar_end, self.window_end, self.as_of[:10])))
         return replace(self, calendar_start=start.isoformat(), calendar_days=(end - start).days + 1,
                        calendar_covers_data=False)
 

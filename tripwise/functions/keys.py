@@ -1,11 +1,10 @@
 """Consecutive surrogate keys without moving all rows into one task.
 
 ``row_number() over (order by k)`` with no partition would sort the whole
-input in one task.  Instead the key space is cut into ranges at sampled
-boundaries (a bounded list, fixed as literals, so re-running a lost task puts
-every row into the same range), rows are numbered inside their range, and each
-range is shifted by the row count of the ranges before it (one small count per
-range).
+input in one task.  Instead the rows are dealt into ranges of the order column
+and sorted inside each; a row's place in its range comes with the scan, and a
+small table (one row per range) holds how many rows stand in the ranges before.
+The dealt rows are checkpointed, so a re-run task cannot number them otherwise.
 """
 
 from __future__ import annotations
@@ -15,42 +14,19 @@ from pyspark.sql import functions as F
 
 from ..session import cut_lineage
 
-_ROWS_PER_RANGE = 2_000_000
-_SAMPLES_PER_RANGE = 20
-
-
-def with_consecutive_ids(df: DataFrame, order_col: str, id_col: str, start: int = 0,
-                         rows_per_range: int = _ROWS_PER_RANGE) -> DataFrame:
-    """Add ``id_col`` = start + 1, start + 2, ... in ``order_col`` order (NULLs first).
-
-    The input is checkpointed first: it is read three times (count, sample +
-    range counts, numbering) and must not be recomputed from its lineage.
-    """
-    df = cut_lineage(df)
-    n = df.count()
-    if n == 0:
-        return df.withColumn(id_col, F.lit(None).cast("bigint"))
-    ranges = max(1, -(-n // rows_per_range))
-    bounds: list = []
-    if ranges > 1:
-        fraction = min(1.0, ranges * _SAMPLES_PER_RANGE / n)
-        sample = sorted(r[0] for r in df.select(order_col).sample(False, fraction, seed=17)
-                        .filter(F.col(order_col).isNotNull()).distinct().collect())
-        step = max(1, len(sample) // ranges)
-        bounds = sorted(set(sample[step::step][: ranges - 1]))
-    if bounds:
-        arr = F.array(*[F.lit(b) for b in bounds])
-        rng = F.size(F.filter(arr, lambda b: b <= F.col(order_col)))
-        rng = F.when(F.col(order_col).isNull(), F.lit(0)).otherwise(rng)
-    else:
-        rng = F.lit(0)
-    tagged = df.withColumn("_rng", rng)
-    counts = dict(tagged.groupBy("_rng").count().collect())  # one row per range: bounded
-    offsets, acc = {}, start
-    for r in sorted(counts):
-        offsets[r] = acc
-        acc += counts[r]
-    offset_map = F.create_map(*[x for r, o in offsets.items() for x in (F.lit(r), F.lit(o))])
-    w = Window.partitionBy("_rng").orderBy(F.col(order_col).asc_nulls_first())
-    return (tagged.withColumn(id_col, (offset_map[F.col("_rng")] + F.row_number().over(w)).cast("bigint"))
-            .drop("_rng"))
+# monotonically_increasing_id: the partition above these bits, the row within it below
+_ROW_BITS = 33
+
+
+def with_consecutive_ids(df: DataFrame, order_col: str, id_col: str, start: int = 0) -> DataFrame:
+    """Add ``id_col`` = start + 1, start + 2, ... in ``order_col`` order (NULLs first)."""
+    dealt = cut_lineage(df.repartitionByRange(order_col).sortWithinPartitions(order_col)
+                        .withColumn("_place", F.monotonically_increasing_id()))
+    dealt = (dealt.withColumn("_range", F.shiftright("_place", _ROW_BITS))
+             .withColumn("_row", F.col("_place").bitwiseAND(F.lit((1 << _ROW_BITS) - 1))))
+    before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = (dealt.groupBy("_range").count()
+               .select("_range", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("_offset")))
+    return (dealt.join(offsets, "_range")
+            .withColumn(id_col, (F.col("_offset") + F.col("_row") + F.lit(start + 1)).cast("bigint"))
+            .drop("_range", "_offset", "_row", "_place"))

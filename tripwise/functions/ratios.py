@@ -4,7 +4,8 @@
 moderate-precision decimals keeps 14 fractional digits in the quotient, so
 the final ``round`` sees the exact value (a ratio with an integer denominator
 ``b`` lies either on a rounding edge or at least 1/(2*10^s*b) away from it,
-far above that precision).
+far above that precision).  Numerators of 10^20 and more keep 6 fractional
+digits, which the 38 digits of a decimal leave room for.
 """
 
 from __future__ import annotations
@@ -18,8 +19,13 @@ def half_up_ratio(num: Column, den: Column, scale: int, times: int = 1, num_scal
 
     ``num`` may carry up to ``num_scale`` fractional digits.
     """
-    n = num.cast(f"decimal({24 + num_scale},{num_scale})")
-    if times != 1:
-        n = (n * F.lit(times).cast("decimal(4,0)")).cast(f"decimal({24 + num_scale},{num_scale})")
     d = F.nullif(den.cast("decimal(20,0)"), F.lit(0).cast("decimal(20,0)"))
-    return F.round(n / d, scale).cast(f"decimal(38,{scale})")
+
+    def quotient(digits: int, fraction: int) -> Column:
+        n = num.cast(f"decimal({digits},{fraction})")
+        if times != 1:
+            n = (n * F.lit(times).cast("decimal(4,0)")).cast(f"decimal({digits},{fraction})")
+        return F.round(n / d, scale).cast(f"decimal(38,{scale})")
+
+    return (F.when(F.abs(num) < F.lit("1e20").cast("double"), quotient(24 + num_scale, num_scale))
+            .otherwise(quotient(38, 2)))

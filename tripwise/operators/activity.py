@@ -16,9 +16,8 @@ from pyspark.sql import functions as F
 from ..config import DEFAULT, EngagementConfig
 from ..functions.ratios import half_up_ratio
 
-# Stored types of the driver-day table: 18 digits hold any daily per-driver
-# value and encode as 64-bit integers in parquet (38 digits need 16-byte binaries).
-MONEY, DISTANCE, RATE = "decimal(18,2)", "decimal(18,0)", "decimal(18,2)"
+# Stored types of the driver-day table: as wide as the staged fares, so no valid sum overflows.
+MONEY, DISTANCE, RATE = "decimal(38,2)", "decimal(38,0)", "decimal(38,2)"
 
 def offers_in_window(fact_offers: DataFrame, cfg: EngagementConfig = DEFAULT) -> DataFrame:
     return fact_offers.filter(F.col("offer_created_date_key").between(cfg.window_start_key, cfg.window_end_key))

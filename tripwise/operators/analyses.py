@@ -109,7 +109,7 @@ def _kpi_long(summary: DataFrame) -> DataFrame:
 
 
 def kpi_histogram(summary: DataFrame, cfg: EngagementConfig = DEFAULT) -> DataFrame:
-    """Equal-width bins between each KPI's min and max (last bin closed), all bins listed.
+    """Equal-width bins between each KPI's min and max (last bin closed), all bins listed, with the KPI's mean.
 
     Driver counts per bin are a grouped count (partial aggregation, no data to
     the driver); min/max are a 3-row aggregate broadcast back.  When all values
@@ -117,16 +117,17 @@ def kpi_histogram(summary: DataFrame, cfg: EngagementConfig = DEFAULT) -> DataFr
     """
     bins = cfg.histogram_bins
     long = _kpi_long(summary)
-    stats = long.groupBy("kpi").agg(F.min("value").alias("kpi_min"), F.max("value").alias("kpi_max"))
+    stats = long.groupBy("kpi").agg(F.min("value").alias("kpi_min"), F.max("value").alias("kpi_max"),
+                                    _mean(F.col("value"), 2).alias("kpi_mean"))
     width = F.col("kpi_max") - F.col("kpi_min")
     pos = F.floor((F.col("value") - F.col("kpi_min")) * bins / F.nullif(width, F.lit(0))).cast("int") + 1
     counted = (long.join(F.broadcast(stats), "kpi")
                .withColumn("bin", F.when(width == 0, 1).otherwise(F.least(pos, F.lit(bins))))
                .groupBy("kpi", "bin").agg(F.count(F.lit(1)).alias("driver_count")))
-    all_bins = stats.select("kpi", "kpi_min", "kpi_max", F.explode(F.sequence(
+    all_bins = stats.select("kpi", "kpi_min", "kpi_max", "kpi_mean", F.explode(F.sequence(
         F.lit(1), F.when(width == 0, 1).otherwise(bins))).alias("bin"))
     return (all_bins.join(counted, ["kpi", "bin"], "left")
-            .select("kpi", "bin", "kpi_min", "kpi_max",
+            .select("kpi", "bin", "kpi_min", "kpi_max", "kpi_mean",
                     F.coalesce(F.col("driver_count"), F.lit(0)).cast("bigint").alias("driver_count"))
             .orderBy("kpi", "bin"))
 

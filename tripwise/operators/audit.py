@@ -13,8 +13,12 @@ OFFER_NOT_NULL = ("offer_id", "offer_created_date", "booking_id", "driver_id", "
 OFFER_MAX_LENGTH = {"offer_id": 64, "booking_id": 64, "driver_id": 64, "offer_state": 50, "error_reason": 500}
 
 
+# Which rules check which staged table.
+TABLE_RULES = {"stg_drivers": range(1, 13), "stg_bookings": range(13, 19), "stg_offers": range(19, 28)}
+
+
 def dq_rule_counts(staged: dict[str, DataFrame]) -> DataFrame:
-    """Per staged table: row / valid / invalid counts and hits per rule code.
+    """Per staged table: row / valid / invalid counts and hits per rule code, 0 where there are none.
 
     One narrow pass per table (explode of the failed-rule list) and a grouped
     count; partial aggregation keeps the exchange at one row per rule and task.
@@ -25,9 +29,13 @@ def dq_rule_counts(staged: dict[str, DataFrame]) -> DataFrame:
                  .otherwise(F.split("error_codes", ","))
         status = F.array(F.lit("_rows"), F.when(F.col("is_valid"), "_valid").otherwise("_invalid"))
         parts.append(df.select(F.lit(name).alias("table_name"),
-                               F.explode(F.concat(status, codes)).alias("rule")))
+                               F.explode(F.concat(status, codes)).alias("rule"), F.lit(1).alias("hit")))
+    spark = next(iter(staged.values())).sparkSession
+    every = [(name, rule, 0) for name in staged
+             for rule in ["_rows", "_valid", "_invalid", *(f"R{n}" for n in TABLE_RULES.get(name, ()))]]
+    parts.append(spark.createDataFrame(every, "table_name string, rule string, hit int"))
     return (reduce(DataFrame.unionByName, parts)
-            .groupBy("table_name", "rule").agg(F.count(F.lit(1)).alias("hits")))
+            .groupBy("table_name", "rule").agg(F.sum("hit").alias("hits")))
 
 
 def constraint_audit(stg_offers: DataFrame, key: str = "offer_id",

@@ -23,9 +23,9 @@ def dim_date(spark: SparkSession, cfg: EngagementConfig = DEFAULT) -> DataFrame:
     start = F.to_date(F.lit(cfg.calendar_start))
     days = spark.range(0, cfg.calendar_days, 1, 1).select(F.date_add(start, F.col("id").cast("int")).alias("d"))
     dow = F.dayofweek("d") - 1  # 0 = Sunday ... 6 = Saturday
-    # the original keeps only days in 2020-2030 (a no-op for the default calendar)
-    return (days.filter(F.col("d").between(F.to_date(F.lit("2020-01-01")), F.to_date(F.lit("2030-12-31"))))
-            .select(
+    if cfg.literal_calendar_tenure:  # keeps only days in 2020-2030
+        days = days.filter(F.col("d").between(F.to_date(F.lit("2020-01-01")), F.to_date(F.lit("2030-12-31"))))
+    return (days.select(
                 F.col("d").alias("date"),
                 date_key_of(F.col("d")).alias("date_key"),
                 F.year("d").alias("year"),
@@ -45,10 +45,15 @@ def key_lookup(cal: DataFrame) -> DataFrame:
     return cal.select(F.col("date").alias("_cal_date"), F.col("date_key").alias("_cal_key"))
 
 
-def with_date_key(df: DataFrame, date_col: str, key_name: str, cal: DataFrame) -> DataFrame:
-    """Left join a wall-clock date to the calendar; dates outside it get a NULL key.
+def with_date_key(df: DataFrame, date_col: str, key_name: str, cal: DataFrame | None) -> DataFrame:
+    """Calendar key of a wall-clock date.
 
-    The calendar is bounded by ``calendar_days`` rows, so the broadcast is safe.
+    Without ``cal`` the key follows from the date by arithmetic: the calendar
+    covers every date that can be valid.  With a calendar (the literal one of 30
+    days) it is a left join, and dates outside get a NULL key; the calendar is
+    bounded by ``calendar_days`` rows, so the broadcast is safe.
     """
+    if cal is None:
+        return df.withColumn(key_name, date_key_of(F.col(date_col)))
     return (df.join(F.broadcast(key_lookup(cal)), F.col(date_col) == F.col("_cal_date"), "left")
             .withColumnRenamed("_cal_key", key_name).drop("_cal_date"))

@@ -1,9 +1,10 @@
 """Booking and offer facts (B1, B2).
 
 Facts resolve a driver against the *current* dimension version and a wall
-date against the calendar.  The calendar is bounded and broadcast; the
-dimension / booking lookups are plain left joins on de-duplicated keys and AQE
-picks broadcast or shuffle from their measured size.
+date against the calendar.  The dimension / booking lookups are plain left joins
+on de-duplicated keys and AQE picks broadcast or shuffle from their measured size.
+A NULL key matches nothing; such rows (often a large share) would all meet in one
+shuffle partition, so each joins by its own id behind a prefix no real key carries.
 """
 
 from __future__ import annotations
@@ -24,8 +25,12 @@ def _driver_keys(dim_active: DataFrame) -> DataFrame:
             .dropDuplicates(["_d_driver_id"]))
 
 
-def fact_bookings(bookings_valid: DataFrame, dim_active: DataFrame, cal: DataFrame) -> DataFrame:
-    b = bookings_valid.join(_driver_keys(dim_active), F.col("driver_id") == F.col("_d_driver_id"), "left")
+def _spread(key: str, row_id: str) -> F.Column:
+    return F.coalesce(F.col(key), F.concat(F.lit("\u0000"), F.coalesce(F.col(row_id), F.lit(""))))
+
+
+def fact_bookings(bookings_valid: DataFrame, dim_active: DataFrame, cal: DataFrame | None) -> DataFrame:
+    b = bookings_valid.join(_driver_keys(dim_active), _spread("driver_id", "booking_id") == F.col("_d_driver_id"), "left")
     b = with_date_key(b, "booking_request_local_date", "booking_request_date_key", cal)
     return b.select(
         "booking_id", "booking_request_date", "booking_request_date_key", "booking_status",
@@ -34,13 +39,13 @@ def fact_bookings(bookings_valid: DataFrame, dim_active: DataFrame, cal: DataFra
 
 
 def fact_offers(offers_valid: DataFrame, bookings_valid: DataFrame | None, dim_active: DataFrame,
-                cal: DataFrame) -> DataFrame:
+                cal: DataFrame | None) -> DataFrame:
     """``bookings_valid=None`` skips the booking check (for consumers that do not read it)."""
     o = offers_valid
     if bookings_valid is not None:
         bk = (bookings_valid.select(F.col("booking_id").alias("_b_booking_id")).distinct())
-        o = o.join(bk, F.col("booking_id") == F.col("_b_booking_id"), "left")
-    o = o.join(_driver_keys(dim_active), F.col("driver_id") == F.col("_d_driver_id"), "left")
+        o = o.join(bk, _spread("booking_id", "offer_id") == F.col("_b_booking_id"), "left")
+    o = o.join(_driver_keys(dim_active), _spread("driver_id", "offer_id") == F.col("_d_driver_id"), "left")
     o = with_date_key(o, "offer_created_local_date", "offer_created_date_key", cal)
     cols = ["offer_id", "offer_created_date", "offer_created_date_key", "booking_id", "driver_id",
             "dim_driver_id", "route_distance", "offer_state", "driver_read",

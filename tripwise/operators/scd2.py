@@ -112,7 +112,7 @@ def apply_batch(dim: DataFrame, valid_drivers: DataFrame, as_of: str,
             "closed": closed, "opened": opened}
 
 
-def active_view(dim: DataFrame, cal: DataFrame, cfg: EngagementConfig = DEFAULT) -> DataFrame:
+def active_view(dim: DataFrame, cal: DataFrame | None, cfg: EngagementConfig = DEFAULT) -> DataFrame:
     """Current version per driver with calendar key of registration and tenure label."""
     act = with_date_key(dim.filter(F.col("is_active")), "registration_local_date", "registration_date_key", cal)
     if cfg.literal_calendar_tenure:

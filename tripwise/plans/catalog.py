@@ -64,7 +64,7 @@ def _incremental_ingest(L: Layers) -> DataFrame:
     run_ingest(L.spark, f"{root}/raw_bookings", "bookings", f"{root}/stg_bookings", f"{root}/_checkpoint",
                L.cfg, load_tz="2026-06-01 00:00:00", drivers_staged_path=f"{root}/stg_drivers",
                max_files_per_batch=max(1, -(-files // 2)))
-    return L.spark.read.parquet(f"{root}/stg_bookings").drop("batch_id")
+    return L.spark.read.parquet(f"{root}/stg_bookings").drop("load_run", "batch_id")
 
 
 def _dq_rule_counts(L: Layers) -> DataFrame:

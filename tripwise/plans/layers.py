@@ -15,7 +15,6 @@ Each layer is built once per instance (memoised).  Two modes:
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from ..config import BATCH2_AS_OF, DEFAULT, EngagementConfig
 from ..operators import activity, analyses, calendar, facts, scd2, staging
@@ -36,52 +35,30 @@ class Layers:
 
     @property
     def ccfg(self) -> EngagementConfig:
-        """Config with the calendar resolved: extended to the valid rows' dates.
-
-        One aggregate (min / max of three date columns) over the staged valid
-        rows.  Valid dates lie between the rule floors and ``as_of``, and the
-        calendar keeps 2020-2030 only, so its size has a fixed upper bound.
-        """
+        """Config with the calendar resolved: all dates the rules admit, and the window (D5, Q6); no data is read."""
         if self._ccfg is None:
-            if not self.cfg.extends_calendar:
-                self._ccfg = self.cfg
-            else:
-                dates = (self.valid_drivers().select(F.col("registration_local_date").alias("d"))
-                         .unionByName(self.valid_bookings().select(F.col("booking_request_local_date").alias("d")))
-                         .unionByName(self.valid_offers().select(F.col("offer_created_local_date").alias("d"))))
-                lo, hi = dates.agg(F.min("d"), F.max("d")).first()
-                self._ccfg = self.cfg.with_calendar_covering(lo, hi)
+            self._ccfg = self.cfg.with_calendar()
         return self._ccfg
 
-    # ------------------------------------------------------------------ plumbing
-    # A day partition is worth its own folder of files from this many rows on
-    # (~100 MB of fact rows); below it the folder overhead dominates.
-    DAY_PARTITION_MIN_ROWS = 1_000_000
+    def _key_calendar(self) -> DataFrame | None:
+        """The calendar that dates are looked up in; None where the key is arithmetic (see ``with_date_key``)."""
+        return None if self.cfg.extends_calendar else self.dim_date()
 
-    def _layer(self, name: str, build, materialize: bool = True, by_day: tuple | None = None) -> DataFrame:
+    # ------------------------------------------------------------------ plumbing
+    def _layer(self, name: str, build, materialize: bool = True, by_day: str | None = None) -> DataFrame:
         """Build (and in store mode write + re-read) one layer.
 
-        ``by_day = (day column, source rows)`` marks a fact table: large ones are
-        written partitioned by day (window reads prune folders; range
-        partitioning on (day, driver) first gives each task a contiguous slice
-        of days and splits a hot day over several tasks); small ones are written
-        sorted by day so parquet row-group statistics still skip
-        out-of-window rows, without a shuffle or thousands of tiny files.
+        ``by_day`` names a fact table's day column: each file is sorted by (day,
+        driver), so parquet row-group statistics skip out-of-window rows.  The
+        layout is the same at every size and needs no shuffle or counting pass.
         """
         if name not in self._memo:
             df = build()
             if self.store and materialize:
                 path = f"{self.store}/{name}"
-                if by_day is None:
-                    df.write.mode("overwrite").parquet(path)
-                else:
-                    day, source = by_day
-                    rows_per_day = source.count() / max(1, self.ccfg.calendar_days)
-                    if rows_per_day >= self.DAY_PARTITION_MIN_ROWS:
-                        (df.repartitionByRange(day, "driver_id").write.mode("overwrite")
-                         .partitionBy(day).parquet(path))
-                    else:
-                        df.sortWithinPartitions(day, "driver_id").write.mode("overwrite").parquet(path)
+                if by_day:
+                    df = df.sortWithinPartitions(by_day, "driver_id")
+                df.write.mode("overwrite").parquet(path)
                 df = self.spark.read.parquet(path).select(*df.columns)
             self._memo[name] = df
         return self._memo[name]
@@ -139,7 +116,7 @@ class Layers:
         return df if self.store else cut_lineage(df)
 
     def dim_drivers_active(self) -> DataFrame:
-        return scd2.active_view(self.dim_drivers(), self.dim_date(), self.cfg)
+        return scd2.active_view(self.dim_drivers(), self._key_calendar(), self.cfg)
 
     # second driver batch on top of the first (SCD2 change handling)
     def raw_drivers_batch2(self) -> DataFrame:
@@ -162,19 +139,19 @@ class Layers:
     # ------------------------------------------------------------------ facts
     def fact_bookings(self) -> DataFrame:
         return self._layer("fact_bookings", lambda: facts.fact_bookings(
-            self.valid_bookings(), self.dim_drivers_active(), self.dim_date()),
-            by_day=("booking_request_date_key", self.valid_bookings()))
+            self.valid_bookings(), self.dim_drivers_active(), self._key_calendar()),
+            by_day="booking_request_date_key")
 
     def fact_offers(self) -> DataFrame:
         return self._layer("fact_offers", lambda: facts.fact_offers(
-            self.valid_offers(), self.valid_bookings(), self.dim_drivers_active(), self.dim_date()),
-            by_day=("offer_created_date_key", self.valid_offers()))
+            self.valid_offers(), self.valid_bookings(), self.dim_drivers_active(), self._key_calendar()),
+            by_day="offer_created_date_key")
 
     def _offers_for_activity(self) -> DataFrame:
         # the driver-day table does not read the booking check; in lazy mode skip that join
         if self.store:
             return self.fact_offers()
-        return facts.fact_offers(self.valid_offers(), None, self.dim_drivers_active(), self.dim_date())
+        return facts.fact_offers(self.valid_offers(), None, self.dim_drivers_active(), self._key_calendar())
 
     # ------------------------------------------------------------------ driver-day
     def registered_drivers(self) -> DataFrame:

@@ -1,11 +1,13 @@
 """Production run of the whole model: every layer written as a parquet table.
 
-    python -m tripwise.plans.runner --out <shared folder> [--sf-dir DIR | --raw-csv DIR] [--window-days N]
+    python -m tripwise.plans.runner --out <shared folder> [--sf-dir DIR | --raw-csv DIR]
+        [--as-of TS] [--window-start DAY --window-end DAY] [--tenure-cutoff DAY] [--window-days N]
 
 ``--raw-csv DIR`` reads ``DIR/drivers``, ``DIR/bookings`` and ``DIR/offers``
 (CSV or CSV.gz extracts); otherwise the raw views are derived from the test
 tables in ``--sf-dir``.  Tables land in ``<out>/<layer>``; analyses are written
-next to them.  ``--out`` defaults to ``<spark.checkpoint.dir>/model``.
+next to them.  ``--out`` defaults to ``<spark.checkpoint.dir>/model``.  "Now" in the
+rules is the clock (UTC) unless ``--as-of`` sets it.
 """
 
 from __future__ import annotations
@@ -23,9 +25,12 @@ from .layers import Layers
 
 
 def run(spark: SparkSession, out: str, sf_dir: str | None = None, raw_csv: str | None = None,
-        window_days: int | None = None, load_tz: str | None = None) -> dict[str, str]:
+        window_days: int | None = None, load_tz: str | None = None, as_of: str | None = None,
+        window_start: str | None = None, window_end: str | None = None, tenure_cutoff: str | None = None) -> dict[str, str]:
     prepare(spark)
-    cfg = wide(window_days) if window_days else DEFAULT
+    now = dt.datetime.now(dt.timezone.utc).strftime("%Y-%m-%d %H:%M:%S")
+    given = {"window_start": window_start, "window_end": window_end, "tenure_cutoff": tenure_cutoff}
+    cfg = (wide(window_days) if window_days else DEFAULT).with_(as_of=as_of or now, **{k: v for k, v in given.items() if v})
     raw = None
     if raw_csv:
         ts = load_tz or dt.datetime.now(dt.timezone.utc).strftime("%Y-%m-%d %H:%M:%S")
@@ -62,10 +67,13 @@ def main() -> None:
     ap.add_argument("--sf-dir")
     ap.add_argument("--raw-csv")
     ap.add_argument("--window-days", type=int)
+    for name in ("--as-of", "--window-start", "--window-end", "--tenure-cutoff"):
+        ap.add_argument(name)
     a = ap.parse_args()
     spark = SparkSession.builder.appName("tripwise").getOrCreate()
     out = a.out or f"{shared_dir(spark)}/model"
-    for name, path in run(spark, out, a.sf_dir, a.raw_csv, a.window_days).items():
+    for name, path in run(spark, out, a.sf_dir, a.raw_csv, a.window_days, as_of=a.as_of, window_start=a.window_start,
+                          window_end=a.window_end, tenure_cutoff=a.tenure_cutoff).items():
         print(name, path)
 
 

@@ -15,6 +15,7 @@ _REQUIRED = {
 
 
 def prepare(spark: SparkSession) -> SparkSession:
+    """Set the session's time zone to UTC, which the rules' timestamps need; changes the given session."""
     for k, v in _REQUIRED.items():
         if spark.conf.get(k, None) != v:
             spark.conf.set(k, v)
@@ -61,19 +62,18 @@ def shared_dir(spark: SparkSession) -> str:
     """Folder for lineage cuts and intermediate tables.
 
     Uses the cluster's ``spark.checkpoint.dir`` (or the context's checkpoint
-    dir).  Only when none is configured -- local tests -- a scratch folder is
-    created and registered.
+    dir).  Only a single-machine session (``local`` masters, as in tests) without
+    one gets a scratch folder; on a cluster a missing setting is an error, as no
+    local folder is seen by all executors.
     """
     sc = spark.sparkContext
     d = (spark.conf.get("spark.checkpoint.dir", None)
          or sc.getConf().get("spark.checkpoint.dir", None)
          or sc.getCheckpointDir())
     if not d:
-        if sc.master.startswith("local"):
-            # single-machine session (tests): a scratch folder is the shared folder
-            d = tempfile.mkdtemp(prefix="tripwise-ckpt-")
-        else:
-            d = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_tripwise_checkpoints"
+        if sc.master != "local" and not sc.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        d = tempfile.mkdtemp(prefix="tripwise-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(d)

@@ -1,68 +1,82 @@
 """Incremental SCD2 load of the driver dimension from staged batches (S9 re-aimed).
 
 The warehouse job flips ``is_processed`` on every staged driver after the
-dimension load.  Here the staged drivers table is partitioned by ``batch_id``
-(see ``streaming.ingest``) and a small ledger table records which batches the
-dimension has absorbed.  One load:
+dimension load.  Here the staged drivers table is partitioned by the stream run
+and its batch (see ``streaming.ingest``) and a small ledger table records which
+batches the dimension has absorbed.  One load:
 
-1. reads the ledger (one row per applied version -- bounded by the number of
+1. reads the ledger (one row per applied batch -- bounded by the number of
    loads) and the newest dimension version;
-2. takes the valid staged drivers of every batch above the ledger's mark;
-3. applies them with ``scd2.apply_batch`` and writes the result as a new
-   version folder (a table being read cannot be overwritten in place);
-4. appends the ledger row last.
-
-A failure before step 4 leaves the ledger unchanged and the next run redoes
-the load into a fresh folder; applying the same source twice changes nothing,
-so the result is the same either way.
+2. lists the (run, batch) pairs that the ledger lacks, oldest load time first;
+3. applies them one after the other with ``scd2.apply_batch``, so every version
+   of a driver is kept, and writes each result into a new folder of its own;
+4. appends the batch's ledger row, which names the folder, last.
+
+A failure before step 4 leaves the ledger unchanged and the next run redoes that
+batch into another folder; no folder is ever overwritten.  Only a ledger that does
+not exist counts as the first load; any other read failure is raised.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import DEFAULT, EngagementConfig
 from ..operators import scd2, staging
 
-LEDGER_SCHEMA = "version int, max_batch_id bigint, applied_at timestamp, opened bigint, closed bigint"
+LEDGER_SCHEMA = ("version int, load_run string, batch_id bigint, folder string, applied_at timestamp, "
+                 "opened bigint, closed bigint")
 
 
-def _ledger(spark: SparkSession, root: str) -> DataFrame:
+def ledger(spark: SparkSession, root: str) -> DataFrame:
+    """One row per applied batch; empty before the first load."""
     try:
         return spark.read.schema(LEDGER_SCHEMA).parquet(f"{root}/_ledger")
-    except Exception:  # first load: no ledger yet
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
         return spark.createDataFrame([], LEDGER_SCHEMA)
 
 
-def current_dimension(spark: SparkSession, root: str) -> tuple[DataFrame, int, int]:
-    """(dimension, version, highest applied batch id); an empty dimension before the first load."""
-    last = _ledger(spark, root).orderBy(F.col("version").desc()).limit(1).collect()
+def current_dimension(spark: SparkSession, root: str) -> tuple[DataFrame, int]:
+    """(dimension, version); an empty dimension before the first load."""
+    last = ledger(spark, root).orderBy(F.col("version").desc()).limit(1).collect()
     if not last:
-        return scd2.empty_dim(spark), 0, -1
-    v, b = last[0]["version"], last[0]["max_batch_id"]
-    return spark.read.parquet(f"{root}/v={v}"), v, b
+        return scd2.empty_dim(spark), 0
+    return spark.read.parquet(f"{root}/{last[0]['folder']}"), last[0]["version"]
 
 
 def load_pending(spark: SparkSession, staged_drivers_path: str, root: str, as_of: str | None = None,
                  cfg: EngagementConfig = DEFAULT) -> dict:
     """Apply every staged driver batch not yet in the dimension; returns what was done."""
     as_of = as_of or dt.datetime.now(dt.timezone.utc).strftime("%Y-%m-%d %H:%M:%S")
-    dim, version, applied = current_dimension(spark, root)
-    staged = spark.read.parquet(staged_drivers_path).filter(F.col("batch_id") > applied)
-    top = staged.agg(F.max("batch_id")).first()[0]
-    if top is None:
-        return {"version": version, "applied": False}
-    res = scd2.apply_batch(dim, staging.valid_drivers(staged), as_of, cfg)
-    new_version = version + 1
-    res["dim"].write.mode("overwrite").parquet(f"{root}/v={new_version}")
-    written = spark.read.parquet(f"{root}/v={new_version}")
-    closed = written.filter(~F.col("is_active") & (F.col("last_modified_ts") == F.lit(as_of).cast("timestamp")))
-    opened = written.filter(F.col("is_active") & (F.col("last_modified_ts") == F.lit(as_of).cast("timestamp")))
-    row = spark.createDataFrame([(new_version, int(top), None, 0, 0)], LEDGER_SCHEMA).select(
-        "version", "max_batch_id", F.lit(as_of).cast("timestamp").alias("applied_at"),
-        F.lit(opened.count()).cast("bigint").alias("opened"), F.lit(closed.count()).cast("bigint").alias("closed"))
-    row.write.mode("append").parquet(f"{root}/_ledger")
-    return {"version": new_version, "applied": True, "max_batch_id": int(top)}
+    staged = spark.read.parquet(staged_drivers_path)
+    pending = (staged.groupBy("load_run", "batch_id").agg(F.min("raw_load_tz").alias("loaded"))
+               .join(ledger(spark, root).select("load_run", "batch_id"), ["load_run", "batch_id"], "left_anti")
+               .orderBy("loaded", "load_run", "batch_id").collect())  # one row per load not yet applied
+    dim, version = current_dimension(spark, root)
+    for batch in pending:
+        version += 1
+        dim = _apply(spark, root, dim, staged.filter((F.col("load_run") == batch.load_run) & (F.col("batch_id") == batch.batch_id)),
+                     version, batch.load_run, batch.batch_id, as_of, cfg)
+    return {"version": version, "applied": bool(pending), "batches": len(pending)}
+
+
+def _apply(spark: SparkSession, root: str, dim: DataFrame, batch: DataFrame, version: int, load_run: str, batch_id: int,
+           as_of: str, cfg: EngagementConfig) -> DataFrame:
+    folder = f"v={version}-{uuid.uuid4().hex[:8]}"
+    scd2.apply_batch(dim, staging.valid_drivers(batch), as_of, cfg)["dim"].write.mode("error").parquet(f"{root}/{folder}")
+    written = spark.read.parquet(f"{root}/{folder}")
+    before = dim.select("dim_driver_id", F.col("is_active").alias("was_active"))
+    # what this batch did: new keys are opened, keys that were active and no longer are are closed
+    done = written.join(before, "dim_driver_id", "left").agg(
+        F.count_if(F.col("was_active").isNull()).alias("opened"), F.count_if(F.col("was_active") & ~F.col("is_active")).alias("closed"))
+    done.select(F.lit(version).alias("version"), F.lit(load_run).alias("load_run"), F.lit(batch_id).cast("bigint").alias("batch_id"),
+                F.lit(folder).alias("folder"), F.lit(as_of).cast("timestamp").alias("applied_at"), "opened", "closed"
+                ).write.mode("append").parquet(f"{root}/_ledger")
+    return written

@@ -5,14 +5,16 @@ The warehouse version flags consumed raw rows with an unconditional
 that land in between.  Here the stream checkpoint is the ledger: a file is
 consumed exactly once, every micro-batch is cleaned by the same batch
 function as a full load (the per-id dedup runs inside the batch, where a
-window is allowed), and the batch is written to its own ``batch_id``
-partition with dynamic overwrite, so a retried batch replaces its own output
-instead of appending it twice.  ``trigger(availableNow=True)`` processes
+window is allowed), and the batch is written to a partition named by the stream
+(the id its checkpoint holds) and the batch number with dynamic overwrite, so a
+retried batch replaces its own output instead of appending it twice, and a stream
+with a fresh checkpoint never touches what another has staged.  ``trigger(availableNow=True)`` processes
 what has arrived and stops, i.e. a scheduled incremental job.
 """
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -41,14 +43,16 @@ def _cleaner(kind: str, spark: SparkSession, cfg: EngagementConfig,
 
 
 def start_ingest(spark: SparkSession, source_dir: str, kind: str, staged_path: str, checkpoint_path: str,
-                 cfg: EngagementConfig = DEFAULT, load_tz: str | None = None,
+                 cfg: EngagementConfig | None = None, load_tz: str | None = None,
                  drivers_staged_path: str | None = None, bookings_staged_path: str | None = None,
                  max_files_per_batch: int | None = None) -> StreamingQuery:
     """Start a stream that cleans new raw CSV files of ``kind`` into ``staged_path``.
 
     Bookings need the staged drivers, offers the staged drivers and bookings
-    (referential flags), given as parquet paths.
+    (referential flags), given as parquet paths.  Without ``cfg`` the rules'
+    "now" is the clock at the start.
     """
+    cfg = cfg or DEFAULT.with_(as_of=dt.datetime.now(dt.timezone.utc).strftime("%Y-%m-%d %H:%M:%S"))
     clean = _cleaner(kind, spark, cfg, drivers_staged_path, bookings_staged_path)
     reader = spark.readStream.schema(text_schema(RAW_COLUMNS[kind])).options(**CSV_OPTIONS)
     if max_files_per_batch:
@@ -56,9 +60,12 @@ def start_ingest(spark: SparkSession, source_dir: str, kind: str, staged_path: s
     raw = reader.csv(source_dir)
 
     def load_batch(batch: DataFrame, batch_id: int) -> None:
-        staged = clean(with_load_defaults(batch, load_tz)).withColumn("batch_id", F.lit(batch_id))
+        # the stream's own id, which its checkpoint keeps over restarts
+        load_run = spark.read.json(f"{checkpoint_path}/metadata").first()["id"]
+        staged = (clean(with_load_defaults(batch, load_tz))
+                  .withColumn("load_run", F.lit(load_run)).withColumn("batch_id", F.lit(batch_id)))
         (staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy("batch_id").parquet(staged_path))
+         .partitionBy("load_run", "batch_id").parquet(staged_path))
 
     return (raw.writeStream.foreachBatch(load_batch)
             .option("checkpointLocation", checkpoint_path)
