@@ -6,7 +6,10 @@ import os
 
 from pyspark.sql import functions as F
 
+import pytest
+
 from conftest import SF_SMALL
+from tripwise.config import DEFAULT
 from tripwise.plans.layers import Layers
 from tripwise.sources.csv import read_raw_csv, write_raw_csv
 from tripwise.streaming.ingest import run_ingest
