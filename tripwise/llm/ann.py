@@ -20,6 +20,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -55,7 +56,7 @@ def blocks(ids: pa.Array, vectors: pa.Array) -> dict[int, Block]:
     """The vectors that take part, by length."""
     values = vectors.flatten() if hasattr(vectors, "flatten") else vectors.values
     flat = np.asarray(values.cast(pa.float64()).to_numpy(zero_copy_only=False), dtype=np.float64)
-    sizes = np.array([0 if n is None else n for n in pa.compute.list_value_length(vectors).to_pylist()], dtype=np.int64)
+    sizes = np.array([0 if n is None else n for n in pc.list_value_length(vectors).to_pylist()], dtype=np.int64)
     begin = np.cumsum(sizes) - sizes
     known = np.asarray(ids.is_valid())
     out = {}
