@@ -1,7 +1,7 @@
 """Declarative data-quality rules.
 
 A rule is data: ``Rule(code, condition, message)``.  ``apply_rules`` adds, in
-one narrow projection (no shuffle, stays in whole-stage codegen):
+one narrow projection (no shuffle):
 
 * ``error_reason`` -- every failed rule's message joined with ``' | '``
   (empty string when the row passes),

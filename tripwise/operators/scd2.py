@@ -10,10 +10,8 @@ incoming drivers on ``driver_id`` classifies every pair:
     both, tracked attributes differ  -> closed (ends 1 s before the new load) + opened
     incoming only                    -> opened
 
-Closed (inactive) versions never enter the join.  That is one shuffle of the
-active versions (the incoming side is already partitioned by driver from its
-per-driver dedup) instead of a join plus two anti joins.  The dimension keeps
-at most one active version per driver, which the classification relies on.
+Closed (inactive) versions never enter the join.  The dimension keeps at most
+one active version per driver, which the classification relies on.
 """
 
 from __future__ import annotations
