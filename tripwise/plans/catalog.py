@@ -67,6 +67,15 @@ def _incremental_ingest(L: Layers) -> DataFrame:
     return L.spark.read.parquet(f"{root}/stg_bookings").drop("load_run", "batch_id")
 
 
+def _latest_staged(L: Layers) -> DataFrame:
+    """Two loads: all raw bookings, then those of unknown status sent again with a valid one; newest row per id."""
+    raw = L.raw_bookings()
+    again = (raw.filter("status = 'LOST'").withColumn("status", F.lit("SUCCESS"))
+             .withColumn("load_tz", F.col("load_tz") + F.expr("INTERVAL 1 DAY")))
+    loads = [staging.clean_bookings(load, L.valid_drivers(), L.cfg) for load in (raw, again)]
+    return staging.latest_staged(loads[0].unionByName(loads[1]), "bookings")
+
+
 def _dq_rule_counts(L: Layers) -> DataFrame:
     return audit.dq_rule_counts({"stg_drivers": L.stg_drivers(), "stg_bookings": L.stg_bookings(),
                                  "stg_offers": L.stg_offers()})
@@ -131,6 +140,7 @@ QUERIES: dict[str, Query] = {
                                                                      L.dim_drivers_active())),
     "daily_trend": _q(lambda L: analyses.daily_trend(L.agg_driver_activity())),
     "incremental_ingest": _q(_incremental_ingest),
+    "latest_staged": _q(_latest_staged),
 }
 _BUILDERS = {
     "dim_drivers_active": lambda L: L.dim_drivers_active(),
