@@ -9,6 +9,7 @@ import numpy as np
 import pytest
 from conftest import SF_SMALL
 
+import corpus_pipeline
 from tripwise.llm import ngram_join, paragraph_dedup, quality, sentencepiece_codec
 from tripwise.llm.components import connected_components
 from tripwise.llm.decontaminate import SuffixAutomaton
@@ -62,6 +63,24 @@ def test_near_copies_of_one_text_are_one_component(spark):
     assert all(got[100 + i] == 100 + i for i in range(20))
 
 
+def test_near_copy_stage_against_all_pairs(spark):
+    """Near copies of 5-word Jaccard 0.8 to 0.9 go, those just below 0.8 stay."""
+    rng = np.random.default_rng(7)
+    rows = []
+    for i in range(40):
+        base = [f"b{i}w{j}" for j in range(100)]
+        copy = list(base)
+        for place in rng.choice(np.arange(10, 90, 12), i % 4, replace=False):
+            copy[place] = f"edit{i}x{place}"
+        rows += [(2 * i, " ".join(base)), (2 * i + 1, " ".join(copy))]
+    sets = {i: {tuple(t.split()[k:k + 5]) for k in range(len(t.split()) - 4)} for i, t in rows}
+    linked = [(a, b) for a, b in combinations(sets, 2) if 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b])]
+    assert {len(sets[a] & sets[b]) for a, b in linked} == {96, 91, 86} and len(linked) == 30
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id for r in corpus_pipeline.ngram_join_stage(spark, docs, "").collect()}
+    assert got == set(sets) - {b for _, b in linked}
+
+
 def test_components_of_a_long_path(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(300)] + [(1000, 1001), (1001, 1000), (7, 7)], "a long, b long")
     got = {r.vertex: r.component for r in connected_components(edges).collect()}
