@@ -141,6 +141,23 @@ def test_paragraph_dedup_cuts_a_passage_from_the_middle_of_a_line(spark):
         assert left < 40 and kept[i].startswith(rows[i][1][:300])
 
 
+def test_paragraphs_of_one_bucket_are_all_compared(spark):
+    """Pairs of Jaccard 0.9 among many paragraphs that share most shingles with them, and so their buckets."""
+    rng = np.random.default_rng(11)
+    word = lambda: "".join(chr(97 + c) for c in rng.integers(0, 26, 8))
+    shared = [word() for _ in range(16)]
+    rows = []
+    for i in range(300):  # 12 of 20 shingles are everyone's
+        rows.append((i, " ".join([word() for _ in range(4)] + shared + [word() for _ in range(4)])))
+    for i in range(0, 300, 10):  # one last word differs: 19 of 21 shingles
+        rows.append((1000 + i, " ".join(rows[i][1].split()[:-1] + [word()])))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r.pd_first for r in paragraph_dedup.removals(docs).collect()}
+    found = [i for i in range(0, 300, 10) if got[1000 + i] == [i] == got[i]]
+    assert found == list(range(0, 300, 10))
+    assert all(got[i] == [] for i in range(300) if i % 10)
+
+
 def test_quality_on_held_out_labels(spark):
     got = {r.doc_id: r for r in quality.op5_quality(spark, SF_SMALL).collect()}
     labels = {r.doc_id: r.quality for r in spark.read.parquet(f"{SF_SMALL}/labels.parquet").collect()}
