@@ -141,6 +141,32 @@ def test_paragraph_dedup_cuts_a_passage_from_the_middle_of_a_line(spark):
         assert left < 40 and kept[i].startswith(rows[i][1][:300])
 
 
+def test_near_copy_paragraphs_of_any_length_against_all_pairs(spark):
+    """Lines, blocks of lines and whole texts of 30 to 400 words with edits: one of each pair of 5-word Jaccard >= 0.8 goes."""
+    rng = np.random.default_rng(5)
+    word = lambda: "".join(chr(97 + c) for c in rng.integers(0, 26, 8))
+    rows, pairs = [], []
+    for length, edits in [(30, [1]), (40, [1]), (50, [25]), (60, [30]), (60, [20]), (100, [33, 66]), (100, [20, 80]), (400, list(range(50, 400, 60))),
+                          (100, [15, 35, 55, 75]), (40, [13, 26])]:
+        base = [word() for _ in range(length)]
+        copy = [word() if k in edits else w for k, w in enumerate(base)]
+        gram = lambda words: {tuple(words[k:k + 5]) for k in range(len(words) - 4)}
+        near = 100 * len(gram(base) & gram(copy)) >= 80 * len(gram(base) | gram(copy))
+        broken = lambda words: "\n".join(" ".join(words[k:k + 10]) for k in range(0, len(words), 10))
+        for form in (" ".join, broken, lambda words: words_around() + "\n" + " ".join(words) + "\n" + words_around(),
+                     lambda words: words_around() + "\n\n" + broken(words) + "\n \n" + words_around()):
+            words_around = lambda: " ".join(word() for _ in range(70))
+            fresh = {w: word() for w in base + copy}  # a passage of its own for every form
+            pairs.append((len(rows), near, length))
+            rows += [(len(rows), form([fresh[w] for w in base])), (len(rows) + 1, form([fresh[w] for w in copy]))]
+    assert sum(near for _, near, _ in pairs) == 32
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r for r in paragraph_dedup.removals(docs).collect()}
+    for i, near, length in pairs:
+        gone = sum(e - b for b, e in got[i + 1].pd_spans)
+        assert got[i].pd_spans == [] and (length <= gone <= length + 4) == near, (i, near, length, got[i + 1])
+
+
 def test_paragraphs_of_one_bucket_are_all_compared(spark):
     """Pairs of Jaccard 0.9 among many paragraphs that share most shingles with them, and so their buckets."""
     rng = np.random.default_rng(11)
