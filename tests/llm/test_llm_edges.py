@@ -98,6 +98,15 @@ def test_reader_rejects_magic_inside_payloads_and_broken_chains(spark, tmp_path)
         warc.read_archives(spark, f"{tmp_path}/broken").collect()
 
 
+def test_reader_takes_long_headers_across_block_ends(spark, tmp_path):
+    urls = {str(i): u for i, u in enumerate(["http://h/" + "a" * 70_000, "http://h/" + "é" * 30_000, "http://h/" + "b" * 300_000, "http://h/c"])}
+    pages = spark.createDataFrame([(int(i), u, f"page {i}") for i, u in urls.items()], "page_id long, url string, html string")
+    warc.write_archives(pages.coalesce(1), f"{tmp_path}/w")
+    for block in (4096, 100_000):
+        got = {r.page_id: r.payload.decode() for r in warc.read_archives(spark, f"{tmp_path}/w", block=block).collect()}
+        assert got == {i: f"page {i}" for i in urls}
+
+
 def test_search_in_several_blocks_is_the_same(spark):
     rows = [(i, [float((i * 37) % 11) - 5, float((i * 17) % 7) - 3, 1.0]) for i in range(300)]
     vectors = spark.createDataFrame(rows, "vec_id long, embedding array<float>")

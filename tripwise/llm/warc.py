@@ -45,6 +45,10 @@ COPIES_PER_TASK = 4096
 MAGIC = b"WARC/1.0\r\n"
 _DATE = "2026-01-01T00:00:00Z"
 _RECORD = re.compile(rb"WARC/1\.0\r\n((?:[!-9;-~]+:[^\r\n]*\r\n)+)\r\n")
+#: what may become a record's header when more is read
+_OPEN = re.compile(rb"WARC/1\.0\r\n(?:[!-9;-~]+:[^\r\n]*\r\n)*[^\r\n]*\r?\Z")
+#: bytes of a header read first, where it goes on beyond a block
+HEADER = 1 << 16
 
 
 def with_responses(pages: DataFrame, page_id: str = "page_id", html: str = "html") -> DataFrame:
@@ -126,9 +130,12 @@ class _Source:
 def _header(source: _Source, at: int, data: bytes, begin: int) -> tuple[int, dict[bytes, bytes]] | None:
     """End of the header at a place and its fields, or None where no header stands; ``data`` starts at ``begin``."""
     found = _RECORD.match(data, at - begin)
-    if not found and at - begin + (1 << 16) > len(data):  # the header may go on beyond what has been read
-        data, begin = source.read(at, at + (1 << 16)), at
-        found = _RECORD.match(data)
+    if not found and (at - begin + HEADER > len(data) or _OPEN.match(data, at - begin)):  # the header may go on beyond what has been read
+        size, begin = HEADER, at
+        data = source.read(at, at + size)
+        while not (found := _RECORD.match(data)) and at + len(data) < source.size and _OPEN.match(data):
+            size *= 2
+            data = source.read(at, at + size)
     if not found:
         return None
     fields = dict(line.split(b":", 1) for line in found[1].split(b"\r\n") if line)
