@@ -49,6 +49,8 @@ def test_query_gives_a_row_per_row(spark, folder, name):
     rows = QUERIES[name](spark, path).collect()
     if kind == "empty":
         assert rows == []
+    elif name.startswith("op13_"):  # only phrases of the long text occur 30 times; 12 words twice, 8 and 80,000 are English
+        assert {(r.lang, r.n) for r in rows} == {("en", 80_032)} and {r.a for r in rows} == {20_000, 19_999}
     elif name.startswith("op6_"):
         assert {(r.query_id, r.rank, r.vec_id) for r in rows} == {(0, 1, 1), (0, 2, 2), (0, 3, 50), (50, 1, 1), (50, 2, 2), (50, 3, 0), (50, 4, 0)}
     else:
@@ -67,6 +69,11 @@ def test_documents_of_the_odd_table(spark, folder):
     hits = by("op3_decontamination")
     assert hits[1].n_hit == 4 and hits[1].contaminated and hits[1].n_items == 2 and hits[3].n_words == 0 and not hits[6].contaminated
     assert by("op9_secret_scan")[None].spans == "assign:20:43"
+    counts = by("op11_token_counts")
+    assert counts[3].n_tokens == counts[4].n_tokens == counts[3].n_bytes == 0 and counts[6].over_limit and counts[6].n_bytes == len(LONG)
+    drawn = by("op12_importance_resampling")
+    assert drawn[3].n_features == 0 and drawn[3].weight == 0 and drawn[6].n_features == 80_000 and drawn[None].n_features == 7
+    assert [i for i, r in drawn.items() if r.rank is not None] == []  # a tenth of the few rows of 20 words is none
     tokens = by("op10_sentencepiece")
     assert tokens[3].tokens is None and tokens[4].tokens == [] and tokens[6].round_trip and not tokens[7].round_trip
     pages = {r.page_id: r for r in QUERIES["op4_warc"](spark, path).collect()}

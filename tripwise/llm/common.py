@@ -6,6 +6,7 @@ import uuid
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -105,3 +106,21 @@ def without_ids(df: DataFrame, ids: DataFrame, column: str) -> DataFrame:
     """The rows whose ``column`` is not among ``ids``; rows with a null there stay."""
     may, rest = split_by(df, ids, column)
     return may.join(ids.select(column).distinct(), column, "left_anti").select(*df.columns).unionByName(rest)
+
+
+def fresh(name: str, taken) -> str:
+    """``name``, lengthened until no column of ``taken`` has it."""
+    names = {c.lower() for c in taken}
+    while name.lower() in names:
+        name += "_"
+    return name
+
+
+def stored_or_none(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame | None:
+    """The Parquet table at ``path``; None where nothing has been written yet.  Any other failure is raised."""
+    try:
+        return spark.read.schema(schema).parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from tripwise.llm import ann, decontaminate, line_dedup, ngram_join, paragraph_dedup, quality, secret_scan, sentencepiece_codec, url_rules, warc
+from tripwise.llm import (ann, collocations, decontaminate, importance, line_dedup, ngram_join, paragraph_dedup, quality, secret_scan,
+                          sentencepiece_codec, token_counts, url_rules, warc)
 
 QUERIES = {
     "op1_paragraph_dedup": paragraph_dedup.op1_paragraph_dedup,
@@ -15,6 +16,9 @@ QUERIES = {
     "op8_url_rules": url_rules.op8_url_rules,
     "op9_secret_scan": secret_scan.op9_secret_scan,
     "op10_sentencepiece": sentencepiece_codec.op10_sentencepiece,
+    "op11_token_counts": token_counts.op11_token_counts,
+    "op12_importance_resampling": importance.op12_importance_resampling,
+    "op13_collocations": collocations.op13_collocations,
 }
 
 ORACLE_SQL = {
@@ -24,4 +28,6 @@ ORACLE_SQL = {
     "op6_block_search": ann.ORACLE,
     "op8_url_rules": url_rules.ORACLE,
     "op9_secret_scan": secret_scan.ORACLE,
+    "op12_importance_resampling": importance.ORACLE,
+    "op13_collocations": collocations.ORACLE,
 }
