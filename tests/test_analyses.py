@@ -65,3 +65,26 @@ def test_segments_threshold_exact(spark):
     seg = {r.segment: r for r in analyses.abort_segments(agg).collect()}
     assert seg["High Abort"].driver_count == 1 and seg["Reliable"].driver_count == 1
     assert seg["High Abort"].total_aborts == 9
+
+
+def test_money_ratio_up_to_the_stored_limit(spark):
+    """Fares of up to 36 whole digits, rounded once; compared with Python's exact decimals."""
+    import random
+    from decimal import ROUND_HALF_UP, Decimal, localcontext
+    from tripwise.functions.ratios import count_ratio, money_ratio
+    rnd = random.Random(7)
+    most = Decimal("9" * 36 + ".99")
+    rows = [(most, 1), (most, 7), (Decimal("0.05"), 2), (Decimal("1e35") + Decimal("0.04"), 8), (None, 3), (Decimal(5), None), (Decimal(5), 0)]
+    rows += [(Decimal(rnd.randrange(10 ** e)) + Decimal(rnd.randrange(100)) / 100, rnd.randrange(1, 10 ** rnd.choice([1, 4, 18])))
+             for e in (1, 9, 13, 15, 20, 21, 32, 36) for _ in range(60)]
+    df = spark.createDataFrame(rows, "n decimal(38,2), d bigint")
+    with localcontext() as exact:
+        exact.prec = 90
+        for scale in (2, 6):
+            for r in df.select("n", "d", money_ratio(F.col("n"), F.col("d"), scale).alias("q")).collect():
+                want = None if r.n is None or not r.d else (r.n / r.d).quantize(Decimal(1).scaleb(-scale), rounding=ROUND_HALF_UP)
+                # what decimal(38, scale) has no room for is NULL
+                assert r.q == (None if want is not None and want >= Decimal(10) ** (38 - scale) else want), r
+    counts = spark.createDataFrame([(23, 40), (1, 3), (2, 3), (10 ** 15, 7), (0, 5)], "n bigint, d bigint")
+    got = [str(r[0]) for r in counts.select(count_ratio(F.col("n"), F.col("d"), 2)).collect()]
+    assert got == ["0.58", "0.33", "0.67", "142857142857142.86", "0.00"]

@@ -59,6 +59,37 @@ def test_scd2_rerun_is_noop(spark):
     assert twice["dim"].exceptAll(once).count() == 0 and once.exceptAll(twice["dim"]).count() == 0
 
 
+def test_pending_loads_in_one_pass_equal_load_by_load(spark):
+    L = Layers(spark, SF_SMALL)
+    from tripwise.operators import staging
+    third = staging.valid_drivers(staging.clean_drivers(L.raw_drivers_batch3(), DEFAULT.with_(as_of="2026-06-03 00:00:00")))
+    loads = [L.valid_drivers_batch2(), third]
+    at = "2026-06-03 00:00:00"
+    for cfg in (DEFAULT, DEFAULT.with_(literal_scd2_compare=True)):
+        dim = L.dim_drivers()
+        for load in loads:
+            dim = scd2.apply_batch(dim, load, at, cfg)["dim"]
+        together = loads[0].withColumn("load", F.lit(1)).unionByName(loads[1].withColumn("load", F.lit(2)))
+        done = scd2.apply_loads(L.dim_drivers(), together, at, cfg)
+        assert done["dim"].exceptAll(dim).count() == 0 and dim.exceptAll(done["dim"]).count() == 0
+        # drivers with three versions: what the first of the loads opens, the second closes
+        assert dim.groupBy("driver_id").count().filter("count = 3").count() > 0
+        changes = {r["load"]: (r["opened"], r["closed"]) for r in done["changes"].collect()}
+        assert sum(o for o, _ in changes.values()) == done["opened"].count() and sum(c for _, c in changes.values()) == done["closed"].count()
+
+
+def test_driver_day_plan_reads_each_input_once(spark, scratch):
+    L = Layers(spark, SF_SMALL, store=f"{scratch}/m")
+    for layer in (L.dim_drivers, L.fact_offers, L.fact_bookings):
+        layer()
+    from tripwise.operators import activity
+    df = activity.agg_driver_activity(L.registered_drivers(), L.fact_offers(), L.fact_bookings(), L.ccfg)
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert plan.count("FileScan parquet") == 3
+    assert plan.count("Exchange hashpartitioning") == 2  # one by (driver, day), one by driver
+
+
 def test_partition_independence(spark):
     base = Layers(spark, SF_SMALL)
     one = Layers(spark, SF_SMALL, raw={"drivers": base.raw_drivers().repartition(1),

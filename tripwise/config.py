@@ -148,6 +148,9 @@ DEFAULT = EngagementConfig()
 # Second driver batch used by the SCD2 queries (see FIXTURES.md section 6).
 BATCH2_LOAD_TZ = "2026-06-02 00:00:00"
 BATCH2_AS_OF = "2026-06-02 00:00:00"
+# Third driver batch (FIXTURES.md section 8), pending together with the second in ``incremental_dimension``.
+BATCH3_LOAD_TZ = "2026-06-03 00:00:00"
+BATCH3_AS_OF = "2026-06-03 00:00:00"
 
 
 def wide(days: int = 365) -> EngagementConfig:

@@ -14,11 +14,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..config import DEFAULT, EngagementConfig
-from ..functions.ratios import half_up_ratio
+from ..functions.ratios import count_ratio, money_ratio
 
 # Stored types of the driver-day table: as wide as the staged fares, so no valid sum overflows.
 MONEY, DISTANCE, RATE = "decimal(38,2)", "decimal(38,0)", "decimal(38,2)"
 
+
 def offers_in_window(fact_offers: DataFrame, cfg: EngagementConfig = DEFAULT) -> DataFrame:
     return fact_offers.filter(F.col("offer_created_date_key").between(cfg.window_start_key, cfg.window_end_key))
 
@@ -54,93 +55,67 @@ def driver_date_spine(population: DataFrame, cfg: EngagementConfig = DEFAULT) ->
     return population.select("driver_id", F.explode(keys).alias("activity_date_key"))
 
 
-def _count_if(cond: Column) -> Column:
-    return F.count_if(cond).cast("bigint")
+# Measures of one offer and of one booking (G1, G2), by name in the daily table: what one row adds to its day's sum.
+OFFER_MEASURES = {
+    "missing_driver_offers_records": lambda: _i(F.col("is_missing_driver") == 1),
+    "total_offers": lambda: _i(F.col("offer_id").isNotNull()),
+    "offers_accepted": lambda: _i(F.col("offer_state") == "ACCEPTED"),
+    "offers_cancelled": lambda: _i(F.col("offer_state") == "CANCELED"),
+    "offers_read": lambda: _i(F.col("driver_read")),
+}
+BOOKING_MEASURES = {
+    "missing_driver_bookings_records": lambda: _i(F.col("is_missing_driver") == 1),
+    "total_bookings": lambda: _i(F.col("booking_id").isNotNull()),
+    "completed_trips": lambda: _i(F.col("booking_status") == "SUCCESS"),
+    "driver_abort_count": lambda: _i(F.col("booking_status") == "DRIVER_ABORT"),
+    "no_driver_found_count": lambda: _i(F.col("booking_status") == "NO_DRIVER_FOUND"),
+}
+
+
+def _fare() -> Column:
+    # NULL fares of trips stay NULL, so a day without any known fare has no revenue per trip
+    return F.when(F.col("booking_status") == "SUCCESS", F.col("estimated_route_fare")).otherwise(F.lit(0)).cast(MONEY)
+
+
+def _i(cond: Column) -> Column:
+    return F.coalesce(cond, F.lit(False)).cast("int").cast("bigint")
 
 
 def offers_daily(fact_offers: DataFrame, cfg: EngagementConfig = DEFAULT) -> DataFrame:
-    """G1 as written: per driver (NULL kept as a group) and day in the window."""
+    """G1: per driver (NULL kept as a group) and day in the window."""
     return (offers_in_window(fact_offers, cfg)
             .groupBy("driver_id", F.col("offer_created_date_key").alias("activity_date_key"))
             .agg(F.sum("route_distance").cast(DISTANCE).alias("route_distance"),
-                 _count_if(F.col("is_missing_driver") == 1).alias("missing_driver_offers_records"),
-                 F.count("offer_id").alias("total_offers"),
-                 F.sum(F.when(F.col("offer_state") == "ACCEPTED", 1).otherwise(0)).cast("bigint").alias("offers_accepted"),
-                 F.sum(F.when(F.col("offer_state") == "CANCELED", 1).otherwise(0)).cast("bigint").alias("offers_cancelled"),
-                 F.sum(F.when(F.col("driver_read") == F.lit(True), 1).otherwise(0)).cast("bigint").alias("offers_read")))
+                 *[F.sum(one()).alias(name) for name, one in OFFER_MEASURES.items()]))
 
 
 def bookings_daily(fact_bookings: DataFrame, cfg: EngagementConfig = DEFAULT) -> DataFrame:
-    """G2 as written."""
-    st = F.col("booking_status")
+    """Per driver (NULL kept as a group) and day in the window."""
     return (bookings_in_window(fact_bookings, cfg)
             .groupBy("driver_id", F.col("booking_request_date_key").alias("activity_date_key"))
-            .agg(_count_if(F.col("is_missing_driver") == 1).alias("missing_driver_bookings_records"),
-                 F.count("booking_id").alias("total_bookings"),
-                 _count_if(st == "SUCCESS").alias("completed_trips"),
-                 _count_if(st == "DRIVER_ABORT").alias("driver_abort_count"),
-                 _count_if(st == "NO_DRIVER_FOUND").alias("no_driver_found_count"),
-                 F.sum(F.when(st == "SUCCESS", F.col("estimated_route_fare")).otherwise(F.lit(0)))
-                 .cast(MONEY).alias("total_est_revenue")))
+            .agg(*[F.sum(one()).alias(name) for name, one in BOOKING_MEASURES.items()],
+                 F.sum(_fare()).cast(MONEY).alias("total_est_revenue")))
 
 
-def _i(cond: Column) -> Column:
-    return F.when(cond, F.lit(1)).otherwise(F.lit(0)).cast("bigint")
-
-
-def _daily_measures(fo: DataFrame, fb: DataFrame) -> DataFrame:
-    """Sparse per (driver, day) measures and rates, only for days with offers or bookings."""
-    zero, null_d0, null_d2 = F.lit(0).cast("bigint"), F.lit(None).cast("decimal(38,0)"), F.lit(None).cast("decimal(38,2)")
-    st = F.col("booking_status")
-
-    def row(driver, key, rd, n_off, acc, canc, read, mdo, n_bk, done, dab, ndf, rev, mdb):
-        return [driver.alias("driver_id"), key.alias("activity_date_key"), rd.alias("rd"), n_off.alias("n_off"),
-                acc.alias("acc"), canc.alias("canc"), read.alias("rd_cnt"), mdo.alias("mdo"), n_bk.alias("n_bk"),
-                done.alias("done"), dab.alias("dab"), ndf.alias("ndf"), rev.alias("rev"), mdb.alias("mdb")]
-
-    offer_rows = fo.select(*row(
-        F.col("driver_id"), F.col("offer_created_date_key"), F.col("route_distance").cast("decimal(38,0)"),
-        _i(F.col("offer_id").isNotNull()), _i(F.col("offer_state") == "ACCEPTED"),
-        _i(F.col("offer_state") == "CANCELED"), _i(F.col("driver_read") == F.lit(True)),
-        _i(F.col("is_missing_driver") == 1), zero, zero, zero, zero, null_d2, zero))
-    booking_rows = fb.select(*row(
-        F.col("driver_id"), F.col("booking_request_date_key"), null_d0, zero, zero, zero, zero, zero,
-        _i(F.col("booking_id").isNotNull()), _i(st == "SUCCESS"), _i(st == "DRIVER_ABORT"),
-        _i(st == "NO_DRIVER_FOUND"),
-        F.when(st == "SUCCESS", F.col("estimated_route_fare")).otherwise(F.lit(0)).cast("decimal(38,2)"),
-        _i(F.col("is_missing_driver") == 1)))
-    daily = (offer_rows.unionByName(booking_rows)
-             .groupBy("driver_id", "activity_date_key")
-             .agg(F.sum("rd").alias("rd"), F.sum("n_off").alias("total_offers"), F.sum("acc").alias("offers_accepted"),
-                  F.sum("canc").alias("offers_cancelled"), F.sum("rd_cnt").alias("offers_read"),
-                  F.sum("mdo").alias("missing_driver_offers_records"), F.sum("n_bk").alias("total_bookings"),
-                  F.sum("done").alias("completed_trips"), F.sum("dab").alias("driver_abort_count"),
-                  F.sum("ndf").alias("no_driver_found_count"), F.sum("rev").alias("rev"),
-                  F.sum("mdb").alias("missing_driver_bookings_records")))
-
-    def rate(num: Column, den: Column, guard: Column) -> Column:
-        # revenue stays NULL (not 0) inside the ratio when every fare of the day is NULL
-        return F.when(guard > 0, half_up_ratio(num, den, 2)).otherwise(F.lit(0)).cast(RATE)
-
-    return daily.select(
-        "driver_id", "activity_date_key",
-        F.coalesce(F.col("rd"), F.lit(0)).cast(DISTANCE).alias("total_route_distance"),
-        "total_offers", "offers_accepted", "offers_cancelled", "offers_read",
-        "total_bookings", "completed_trips", "driver_abort_count", "no_driver_found_count",
-        F.coalesce(F.col("rev"), F.lit(0)).cast(MONEY).alias("total_est_revenue"),
-        "missing_driver_offers_records", "missing_driver_bookings_records",
-        rate(F.col("offers_accepted"), F.col("total_offers"), F.col("total_offers")).alias("offer_acceptance_rate"),
-        rate(F.col("completed_trips"), F.col("total_bookings"), F.col("total_bookings")).alias("booking_completion_rate"),
-        rate(F.col("driver_abort_count"), F.col("total_bookings"), F.col("total_bookings")).alias("driver_abort_rate"),
-        rate(F.col("rev"), F.col("completed_trips"), F.col("completed_trips")).alias("avg_est_revenue_per_trip"),
-    )
-
-
-OUTPUT_MEASURES = ("total_route_distance", "total_offers", "offers_accepted", "offers_cancelled", "offers_read",
-                   "total_bookings", "completed_trips", "driver_abort_count", "no_driver_found_count",
-                   "total_est_revenue", "missing_driver_offers_records", "missing_driver_bookings_records",
-                   "offer_acceptance_rate", "booking_completion_rate", "driver_abort_rate",
-                   "avg_est_revenue_per_trip")
+COUNTS = (*OFFER_MEASURES, *BOOKING_MEASURES)
+SUMS = ("route_distance", "revenue", *COUNTS)
+
+
+def daily_sums(fact_offers: DataFrame, fact_bookings: DataFrame) -> DataFrame:
+    """Sparse sums (``SUMS``) per (driver, day) of the days with offers or bookings; NULL drivers are left out.
+
+    Sums of parts of the facts can be added up (``F.sum`` of each column) to those of the whole.
+    """
+    zero = F.lit(0).cast("bigint")
+    offers = fact_offers.filter(F.col("driver_id").isNotNull()).select(
+        "driver_id", F.col("offer_created_date_key").alias("activity_date_key"), F.col("route_distance").cast(DISTANCE).alias("route_distance"),
+        F.lit(None).cast(MONEY).alias("revenue"), *[one().alias(c) for c, one in OFFER_MEASURES.items()], *[zero.alias(c) for c in BOOKING_MEASURES])
+    bookings = fact_bookings.filter(F.col("driver_id").isNotNull()).select(
+        "driver_id", F.col("booking_request_date_key").alias("activity_date_key"), F.lit(None).cast(DISTANCE).alias("route_distance"),
+        _fare().alias("revenue"), *[zero.alias(c) for c in OFFER_MEASURES], *[one().alias(c) for c, one in BOOKING_MEASURES.items()])
+    return (offers.unionByName(bookings).groupBy("driver_id", "activity_date_key")
+            .agg(F.sum("route_distance").cast(DISTANCE).alias("route_distance"), F.sum("revenue").cast(MONEY).alias("revenue"),
+                 *[F.sum(c).alias(c) for c in COUNTS]))
 
 
 def _key_to_date(key: Column) -> Column:
@@ -148,43 +123,64 @@ def _key_to_date(key: Column) -> Column:
     return F.make_date((key / 10000).cast("int"), (key / 100 % 100).cast("int"), (key % 100).cast("int"))
 
 
+def dense_activity(daily: DataFrame, registered: DataFrame, cfg: EngagementConfig = DEFAULT) -> DataFrame:
+    """Every population driver on every window day, from the sparse ``daily_sums`` and the registered driver ids.
+
+    A driver's days are gathered into one row, a list of at most as many entries as
+    the window has days, however active the driver is; registered drivers add an
+    empty list.  The row then expands to the entries and, without sums, to the days
+    that it lacks (``array_except`` over the window's literal day list).  Dense rows
+    arise after the last exchange, and the daily sums are read once.
+    """
+    spark = daily.sparkSession
+    # the exchange carries the sparse days but feeds an output that is larger by the window's length: its
+    # width is the configured one instead of what AQE would fit to the (small) shuffled bytes
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    sums = F.struct(*[F.col(c) for c in SUMS])
+    active = daily.select("driver_id", F.struct(F.col("activity_date_key").cast("int").alias("day"), sums.alias("sums")).alias("entry"))
+    none = F.lit(None).cast(active.schema["entry"].dataType)
+    per_driver = (active.unionByName(registered.filter(F.col("driver_id").isNotNull()).select("driver_id", none.alias("entry")))
+                  .repartition(parts, "driver_id").groupBy("driver_id")
+                  .agg(F.collect_list("entry").alias("entries")))  # NULLs are skipped
+    window = F.array(*[F.lit(k) for k in cfg.window_day_keys()]).cast("array<int>")
+    kind = per_driver.schema["entries"].dataType
+    entries = kind.simpleString()  # the same type with nulls allowed
+    no_sums = F.array().cast(f"array<{kind.elementType['sums'].dataType.simpleString()}>")
+    idle = F.arrays_zip(F.array_except(window, F.col("entries.day")), no_sums)
+    day = (per_driver.select("driver_id", F.explode(F.concat(F.col("entries").cast(entries), idle.cast(entries))).alias("entry"))
+           .select("driver_id", F.col("entry.day").alias("activity_date_key"), F.col("entry.sums").alias("s")))
+
+    def total(c: str) -> Column:
+        return F.coalesce(F.col(f"s.{c}"), F.lit(0).cast(DISTANCE if c == "route_distance" else MONEY if c == "revenue" else "bigint"))
+
+    def rate(guard: str, value: Column) -> Column:
+        # NULL (not 0) where trips were made but no fare of the day is known
+        return F.when(F.col(f"s.{guard}") > 0, value).otherwise(F.lit(0).cast(RATE))
+
+    count = lambda c: F.col(f"s.{c}")
+    return day.select(
+        "driver_id", "activity_date_key", _key_to_date(F.col("activity_date_key")).alias("activity_date"),
+        total("route_distance").alias("total_route_distance"),
+        *[total(c).alias(c) for c in ("total_offers", "offers_accepted", "offers_cancelled", "offers_read",
+                                      "total_bookings", "completed_trips", "driver_abort_count", "no_driver_found_count")],
+        total("revenue").alias("total_est_revenue"),
+        total("missing_driver_offers_records").alias("missing_driver_offers_records"),
+        total("missing_driver_bookings_records").alias("missing_driver_bookings_records"),
+        rate("total_offers", count_ratio(count("offers_accepted"), count("total_offers"), 2)).alias("offer_acceptance_rate"),
+        rate("total_bookings", count_ratio(count("completed_trips"), count("total_bookings"), 2)).alias("booking_completion_rate"),
+        rate("total_bookings", count_ratio(count("driver_abort_count"), count("total_bookings"), 2)).alias("driver_abort_rate"),
+        rate("completed_trips", money_ratio(count("revenue"), count("completed_trips"), 2)).alias("avg_est_revenue_per_trip"))
+
+
 def agg_driver_activity(dim_active: DataFrame, fact_offers: DataFrame, fact_bookings: DataFrame,
                         cfg: EngagementConfig = DEFAULT) -> DataFrame:
     """One row per population driver and window day, measures 0 when idle.
 
-    Plan (the dense rows never cross a shuffle):
-
-    1. active rows: offer and booking rows aggregated on (driver_id, day), with
-       map-side partial aggregation -- these are the output rows of days with
-       activity;
-    2. one row per driver: the driver's active days gathered into a list
-       together with the registered drivers (the population).  A driver has at
-       most one entry per window day, so the list is bounded by the window
-       length however active the driver is;
-    3. idle rows: each driver row expands to the window days missing from its
-       list (``array_except``, hash based) with zero measures.
-
-    Active rows + idle rows equal "population x days LEFT JOIN offers_daily
-    LEFT JOIN bookings_daily": every in-window fact's driver is in the
-    population and every in-window day is a spine day.
+    Offer and booking rows are summed on (driver, day), with map-side partial sums (a
+    hot driver's rows spread over its days), and ``dense_activity`` does the rest:
+    each input is scanned once, and there is one exchange per key.  Equals
+    "population x days LEFT JOIN offers_daily LEFT JOIN bookings_daily": every
+    in-window fact's driver is in the population and every in-window day is a spine day.
     """
-    fo = offers_in_window(fact_offers, cfg).filter(F.col("driver_id").isNotNull())
-    fb = bookings_in_window(fact_bookings, cfg).filter(F.col("driver_id").isNotNull())
-    active = _daily_measures(fo, fb)
-    registered = (registered_by_window_end(dim_active, cfg).filter(F.col("driver_id").isNotNull())
-                  .select("driver_id", F.lit(None).cast("int").alias("activity_date_key")))
-    # The exchange carries (driver, day) pairs but feeds a window-days-times larger
-    # output: fix its width to the configured shuffle partitions instead of letting
-    # AQE shrink it to fit the (small) shuffled bytes.
-    parts = int(dim_active.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    per_driver = (active.select("driver_id", "activity_date_key").unionByName(registered)
-                  .repartition(parts, "driver_id").groupBy("driver_id")
-                  .agg(F.collect_list("activity_date_key").alias("active_days")))  # NULLs are skipped
-    window = F.array(*[F.lit(k) for k in cfg.window_day_keys()]).cast("array<int>")
-    dtypes = {f.name: f.dataType for f in active.schema.fields}
-    idle = per_driver.select("driver_id", F.explode(F.array_except(window, "active_days")).alias("activity_date_key"))
-    idle = idle.select("driver_id", "activity_date_key",
-                       *[F.lit(0).cast(dtypes[c]).alias(c) for c in OUTPUT_MEASURES])
-    return (active.select("driver_id", "activity_date_key", *OUTPUT_MEASURES).unionByName(idle)
-            .select("driver_id", "activity_date_key", _key_to_date(F.col("activity_date_key")).alias("activity_date"),
-                    *OUTPUT_MEASURES))
+    daily = daily_sums(offers_in_window(fact_offers, cfg), bookings_in_window(fact_bookings, cfg))
+    return dense_activity(daily, registered_by_window_end(dim_active, cfg).select("driver_id"), cfg)

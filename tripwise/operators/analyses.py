@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..config import DEFAULT, EngagementConfig
-from ..functions.ratios import half_up_ratio
+from ..functions.ratios import half_up_ratio, money_ratio
 
 
 def _sum(c: str, alias: str | None = None, dtype: str = "bigint") -> Column:
@@ -41,7 +41,8 @@ def driver_kpi_summary(agg: DataFrame, cfg: EngagementConfig = DEFAULT) -> DataF
                  half_up_ratio(s("offers_accepted"), s("total_offers"), 2, 100).alias("offer_acceptance_rate"),
                  half_up_ratio(s("completed_trips"), s("total_bookings"), 2, 100).alias("booking_completion_rate"),
                  half_up_ratio(s("driver_abort_count"), s("total_bookings"), 2, 100).alias("driver_abort_rate"),
-                 half_up_ratio(s("total_est_revenue"), s("completed_trips"), 2, rev_times)
+                 (money_ratio(s("total_est_revenue").cast("decimal(38,2)"), s("completed_trips"), 2) if rev_times == 1
+                  else half_up_ratio(s("total_est_revenue"), s("completed_trips"), 2, rev_times))
                  .alias("avg_est_revenue_per_trip")))
 
 
@@ -92,7 +93,7 @@ def driver_tenure_engagement(agg: DataFrame, dim_active: DataFrame) -> DataFrame
         half_up_ratio(c("offers_accepted"), c("total_offers"), 6).alias("offer_acceptance_rate"),
         half_up_ratio(c("completed_trips"), c("total_bookings"), 6).alias("booking_completion_rate"),
         half_up_ratio(c("driver_abort_count"), c("total_bookings"), 6).alias("driver_abort_rate"),
-        half_up_ratio(c("total_est_revenue"), c("completed_trips"), 6).alias("avg_est_revenue_per_trip"))
+        money_ratio(c("total_est_revenue"), c("completed_trips"), 6).alias("avg_est_revenue_per_trip"))
 
 
 # --------------------------------------------------------------------------- N5 / N6

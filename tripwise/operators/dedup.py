@@ -8,9 +8,9 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def latest_per_key(df: DataFrame, key: str, newest_first: str = "load_tz",
+def latest_per_key(df: DataFrame, key: str | Sequence[str], newest_first: str = "load_tz",
                    tie_breakers: Sequence[str] | None = None) -> DataFrame:
-    """Keep one row per ``key``: the newest by ``newest_first``.
+    """Keep one row per ``key`` (one or more columns): the newest by ``newest_first``.
 
     Rows of one load share the load timestamp, so remaining ties are broken on
     every other column (ascending, NULLs last) which makes the survivor
@@ -21,8 +21,9 @@ def latest_per_key(df: DataFrame, key: str, newest_first: str = "load_tz",
     (partial top-1 per key before the shuffle, final top-1 after it), so a hot
     key costs one row per map task on the wire, not all of its rows.
     """
+    keys = [key] if isinstance(key, str) else list(key)
     if tie_breakers is None:
-        tie_breakers = [c for c in df.columns if c not in (key, newest_first, "is_processed")]
+        tie_breakers = [c for c in df.columns if c not in (*keys, newest_first, "is_processed")]
     order = [F.col(newest_first).desc_nulls_last()] + [F.col(c).asc_nulls_last() for c in tie_breakers]
-    w = Window.partitionBy(key).orderBy(*order)
+    w = Window.partitionBy(*keys).orderBy(*order)
     return df.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") == 1).drop("_rn")

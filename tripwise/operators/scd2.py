@@ -1,28 +1,33 @@
 """Driver dimension as slowly changing versions (SCD type 2) without MERGE.
 
-File tables cannot be updated in place, so one batch is a pure function
-``(dim, valid staged drivers, as_of) -> dim'`` and the caller writes ``dim'``
-to a new location.  One full outer join of the *active* versions with the
-incoming drivers on ``driver_id`` classifies every pair:
-
-    active only                      -> kept as is
-    both, tracked attributes equal   -> kept as is
-    both, tracked attributes differ  -> closed (ends 1 s before the new load) + opened
-    incoming only                    -> opened
-
-Closed (inactive) versions never enter the join.  The dimension keeps at most
-one active version per driver, which the classification relies on.
+File tables cannot be updated in place, so the pending loads are a pure function
+``(dim, valid staged drivers by load, as_of) -> dim'`` and the caller writes
+``dim'`` to a new location.  All loads are applied in one pass: the *active*
+versions (load 0) and the incoming drivers meet in one exchange on the driver, in
+load order, where
+
+* a row opens a version if it is its driver's first, or if its tracked attributes
+  differ from those of the row before (rows between two changes are an island and
+  belong to the version that began it);
+* ``lead`` over the rows that are left gives what closes a version: it ends 1 s
+  before the next one starts.
+
+Comparing with the row before equals comparing with the version, as "equal" carries
+over from row to row; only the literal comparison, for which NULL equals anything,
+has to take the loads one by one.  Closed (inactive) versions never enter the
+exchange.  A driver has at most one row a load there, so no key is hot.
 """
 
 from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..config import DEFAULT, OPEN_END_TS, EngagementConfig
 from ..functions.keys import with_consecutive_ids
+from ..session import cut_lineage
 from .calendar import with_date_key
 from .dedup import latest_per_key
 
@@ -45,69 +50,92 @@ def _differs(t: Column, s: Column, literal: bool) -> Column:
     return (t != s) if literal else ~t.eqNullSafe(s)
 
 
-def _source(valid_drivers: DataFrame) -> DataFrame:
-    src = valid_drivers.filter(~F.col("is_processed"))
-    # two unprocessed rows for one driver would open two versions: keep the latest
-    return latest_per_key(src, "driver_id", newest_first="raw_load_tz")
+def _marketing(cfg: EngagementConfig) -> Column:
+    # literal: the original never stores it
+    return F.lit(None).cast("boolean") if cfg.literal_scd2_compare else F.col("receive_marketing")
 
 
-def classify(dim: DataFrame, valid_drivers: DataFrame, cfg: EngagementConfig = DEFAULT) -> DataFrame:
-    """Active versions full-outer-joined with the incoming drivers (``_s_*`` columns) plus ``_change``."""
-    src = _source(valid_drivers)
-    s = src.select(*[F.col(c).alias(f"_s_{c}") for c in src.columns])
-    j = dim.filter(F.col("is_active")).join(s, F.col("driver_id") == F.col("_s_driver_id"), "full_outer")
-    differs = reduce(lambda a, b: a | b, [_differs(F.col(c), F.col(f"_s_{c}"), cfg.literal_scd2_compare)
+def version_chains(dim: DataFrame, incoming: DataFrame, as_of: str, cfg: EngagementConfig = DEFAULT) -> DataFrame:
+    """The versions of every driver that is active or comes in, over all loads at once; see the module's text.
+
+    ``incoming`` are valid staged drivers with their load's number (1, 2, ...) in ``load``.  Adds
+    ``load`` (0: the version was active before), ``opens`` and ``closed_by`` (the load that closes it).
+    """
+    # two unprocessed rows of a load for one driver would open two versions: keep the latest
+    src = latest_per_key(incoming.filter(~F.col("is_processed")), ["load", "driver_id"], newest_first="raw_load_tz")
+    rows = src.select(
+        F.lit(None).cast("bigint").alias("dim_driver_id"),
+        "driver_id", "registration_date", "registration_local_date", "driver_rating", "driver_rating_count",
+        "country_name", "country_code", _marketing(cfg).alias("receive_marketing"),
+        F.col("raw_load_tz").alias("start_eff_ts"), F.lit(OPEN_END_TS).cast("timestamp").alias("end_eff_ts"),
+        F.lit(True).alias("is_active"), F.lit(as_of).cast("timestamp").alias("last_modified_ts"), "load")
+    active = dim.filter(F.col("is_active")).select(*DIM_COLUMNS, F.lit(0).alias("load"))
+    of_driver = Window.partitionBy("driver_id").orderBy("load")
+    differs = reduce(lambda a, b: a | b, [_differs(F.lag(c).over(of_driver), F.col(c), cfg.literal_scd2_compare)
                                           for c in cfg.scd2_tracked])
-    both = F.col("dim_driver_id").isNotNull() & F.col("_s_driver_id").isNotNull()
     # a comparison with NULL (literal mode) is "unknown", i.e. no change
-    return j.withColumn("_change", F.coalesce(both & differs, F.lit(False)))
-
-
-def changed_versions(classified: DataFrame) -> DataFrame:
-    """Active versions whose tracked attributes differ from the incoming row (+ its load time)."""
-    return (classified.filter("_change")
-            .select(*DIM_COLUMNS, F.col("_s_raw_load_tz").alias("raw_load_tz")))
-
-
-def close_versions(changed: DataFrame, as_of: str) -> DataFrame:
-    return (changed
-            .withColumn("end_eff_ts", F.col("raw_load_tz") - F.expr("INTERVAL 1 SECOND"))
-            .withColumn("is_active", F.lit(False))
-            .withColumn("last_modified_ts", F.lit(as_of).cast("timestamp"))
-            .select(*DIM_COLUMNS))
-
-
-def new_versions(classified: DataFrame) -> DataFrame:
-    """Incoming drivers with no active version once the changed ones are closed (NOT EXISTS)."""
-    src_cols = [c[len("_s_"):] for c in classified.columns if c.startswith("_s_")]
-    return (classified.filter(F.col("_s_driver_id").isNotNull()
-                              & (F.col("dim_driver_id").isNull() | F.col("_change")))
-            .select(*[F.col(f"_s_{c}").alias(c) for c in src_cols]))
+    opens = (F.col("load") > 0) & (F.lag("load").over(of_driver).isNull() | F.coalesce(differs, F.lit(False)))
+    versions = active.unionByName(rows).withColumn("opens", opens).filter((F.col("load") == 0) | F.col("opens"))
+    versions = (versions.withColumn("closed_by", F.lead("load").over(of_driver))
+                .withColumn("_next_start", F.lead("start_eff_ts").over(of_driver)))
+    closed = F.col("closed_by").isNotNull()
+    return (versions
+            .withColumn("end_eff_ts", F.when(closed, F.col("_next_start") - F.expr("INTERVAL 1 SECOND")).otherwise(F.col("end_eff_ts")))
+            .withColumn("is_active", ~closed)
+            .withColumn("last_modified_ts", F.when(closed, F.lit(as_of).cast("timestamp")).otherwise(F.col("last_modified_ts")))
+            .drop("_next_start"))
+
+
+def apply_loads(dim: DataFrame, incoming: DataFrame, as_of: str, cfg: EngagementConfig = DEFAULT) -> dict[str, DataFrame]:
+    """All loads of ``incoming`` (numbered in ``load``) in one pass.
+
+    Returns ``dim`` (new full table), ``closed``, ``opened`` (closed already if a later load of the pass did so) and
+    ``changes`` (numbers of versions opened and closed, by load).
+    """
+    if cfg.literal_scd2_compare:
+        return _one_by_one(dim, incoming, as_of, cfg)
+    return _applied(dim, incoming, as_of, cfg)
+
+
+def _applied(dim: DataFrame, incoming: DataFrame, as_of: str, cfg: EngagementConfig) -> dict[str, DataFrame]:
+    # read by all that follows: computed once, and kept in the shared folder
+    chains = cut_lineage(version_chains(dim, incoming, as_of, cfg))
+    start = dim.agg(F.coalesce(F.max("dim_driver_id"), F.lit(0)).alias("m")).first()["m"]
+    opened = with_consecutive_ids(chains.filter("opens").withColumn("_order", F.struct("load", "driver_id")),
+                                  "_order", "dim_driver_id", start=int(start)).select(*DIM_COLUMNS)
+    before = chains.filter("NOT opens").select(*DIM_COLUMNS)
+    history = dim.filter(~F.col("is_active")).select(*DIM_COLUMNS)
+    changes = (chains.filter("opens").select("load", F.lit(1).alias("opened"), F.lit(0).alias("closed"))
+               .unionByName(chains.filter("closed_by IS NOT NULL")
+                            .select(F.col("closed_by").alias("load"), F.lit(0).alias("opened"), F.lit(1).alias("closed")))
+               .groupBy("load").agg(F.sum("opened").alias("opened"), F.sum("closed").alias("closed")))
+    every = before.unionByName(opened)
+    return {"dim": history.unionByName(every), "closed": every.filter(~F.col("is_active")), "opened": opened,
+            "changes": changes}
 
 
-def open_versions(new: DataFrame, start_id: int, as_of: str, cfg: EngagementConfig = DEFAULT) -> DataFrame:
-    marketing = (F.lit(None).cast("boolean") if cfg.literal_scd2_compare else F.col("receive_marketing"))
-    rows = new.select(
-        "driver_id", "registration_date", "registration_local_date", "driver_rating", "driver_rating_count",
-        "country_name", "country_code", marketing.alias("receive_marketing"),
-        F.col("raw_load_tz").alias("start_eff_ts"),
-        F.lit(OPEN_END_TS).cast("timestamp").alias("end_eff_ts"),
-        F.lit(True).alias("is_active"),
-        F.lit(as_of).cast("timestamp").alias("last_modified_ts"))
-    return with_consecutive_ids(rows, "driver_id", "dim_driver_id", start=start_id).select(*DIM_COLUMNS)
+def _one_by_one(dim: DataFrame, incoming: DataFrame, as_of: str, cfg: EngagementConfig) -> dict[str, DataFrame]:
+    # literal: '!=' with NULL is no change, so a load is compared with the version, not with the load before
+    loads = [r["load"] for r in incoming.select("load").distinct().orderBy("load").collect()]  # one row a load
+    done: list[dict[str, DataFrame]] = []
+    for load in loads or [0]:
+        done.append(_applied(dim, incoming.filter(F.col("load") == load), as_of, cfg))
+        dim = cut_lineage(done[-1]["dim"]) if load != (loads or [0])[-1] else done[-1]["dim"]
+    return {"dim": dim} | {k: reduce(DataFrame.unionByName, [d[k] for d in done]) for k in ("closed", "opened", "changes")}
 
 
 def apply_batch(dim: DataFrame, valid_drivers: DataFrame, as_of: str,
                 cfg: EngagementConfig = DEFAULT) -> dict[str, DataFrame]:
-    """One SCD2 load.  Returns ``dim`` (new full table), ``closed``, ``opened``."""
-    classified = classify(dim, valid_drivers, cfg)
-    kept = classified.filter(F.col("dim_driver_id").isNotNull() & ~F.col("_change")).select(*DIM_COLUMNS)
-    closed = close_versions(changed_versions(classified), as_of)
-    start = dim.agg(F.coalesce(F.max("dim_driver_id"), F.lit(0)).alias("m")).first()["m"]
-    opened = open_versions(new_versions(classified), int(start), as_of, cfg)
-    history = dim.filter(~F.col("is_active")).select(*DIM_COLUMNS)
-    return {"dim": history.unionByName(kept).unionByName(closed).unionByName(opened),
-            "closed": closed, "opened": opened}
+    """One SCD2 load; ``apply_loads`` of a single one."""
+    return apply_loads(dim, valid_drivers.withColumn("load", F.lit(1)), as_of, cfg)
+
+
+def new_drivers(dim: DataFrame, valid_drivers: DataFrame, cfg: EngagementConfig = DEFAULT) -> DataFrame:
+    """Incoming drivers that have no active version left once the changed ones are closed (NOT EXISTS, J9)."""
+    src = latest_per_key(valid_drivers.filter(~F.col("is_processed")), "driver_id", newest_first="raw_load_tz")
+    t = dim.filter(F.col("is_active")).select(F.col("driver_id").alias("_t_driver_id"), *[F.col(c).alias(f"_t_{c}") for c in cfg.scd2_tracked])
+    differs = reduce(lambda a, b: a | b, [_differs(F.col(f"_t_{c}"), F.col(c), cfg.literal_scd2_compare) for c in cfg.scd2_tracked])
+    return src.join(t, (F.col("driver_id") == F.col("_t_driver_id")) & ~F.coalesce(differs, F.lit(False)), "left_anti")
 
 
 def active_view(dim: DataFrame, cal: DataFrame | None, cfg: EngagementConfig = DEFAULT) -> DataFrame:

@@ -104,10 +104,10 @@ def clean_drivers(raw: DataFrame, cfg: EngagementConfig = DEFAULT) -> DataFrame:
     )
 
 
-def valid_drivers(stg: DataFrame) -> DataFrame:
+def valid_drivers(stg: DataFrame, *more: str) -> DataFrame:
     return stg.filter(F.col("is_valid")).select(
         "driver_id", "country_name", "country_code", "driver_rating", "driver_rating_count",
-        "registration_date", "registration_local_date", "receive_marketing", "is_processed", "raw_load_tz")
+        "registration_date", "registration_local_date", "receive_marketing", "is_processed", "raw_load_tz", *more)
 
 
 # --------------------------------------------------------------------------- bookings

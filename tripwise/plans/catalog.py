@@ -6,16 +6,18 @@ id subsets) and composes the operators through ``Layers``.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..config import DEFAULT, EngagementConfig
+from ..config import BATCH2_AS_OF, BATCH3_AS_OF, DEFAULT, EngagementConfig
 from ..operators import analyses, audit, staging
 from ..operators.dedup import latest_per_key
 from ..session import shared_dir
 from ..sources.csv import write_raw_csv
+from ..streaming.dim_load import current_dimension, load_pending, stage_batch
 from ..streaming.ingest import run_ingest
 from .layers import Layers
 
@@ -55,7 +57,6 @@ def _incremental_ingest(L: Layers) -> DataFrame:
 
     The staged result equals a single full load (ids are unique per extract).
     """
-    import uuid
     root = f"{shared_dir(L.spark)}/incremental/{uuid.uuid4().hex}"
     L.stg_drivers().write.parquet(f"{root}/stg_drivers")
     # one extract file per partition of the raw table; the stream takes half of the files per batch
@@ -67,6 +68,17 @@ def _incremental_ingest(L: Layers) -> DataFrame:
     return L.spark.read.parquet(f"{root}/stg_bookings").drop("load_run", "batch_id")
 
 
+def _incremental_dimension(L: Layers) -> DataFrame:
+    """Three staged driver loads: the first applied alone, the two others pending together and applied in one pass."""
+    root = f"{shared_dir(L.spark)}/dimension/{uuid.uuid4().hex}"
+    stage_batch(L.stg_drivers(), f"{root}/staged", "run", 0)
+    load_pending(L.spark, f"{root}/staged", f"{root}/dim", L.cfg.as_of, L.cfg)
+    for n, (raw, as_of) in enumerate(((L.raw_drivers_batch2(), BATCH2_AS_OF), (L.raw_drivers_batch3(), BATCH3_AS_OF)), 1):
+        stage_batch(staging.clean_drivers(raw, L.cfg.with_(as_of=as_of)), f"{root}/staged", "run", n)
+    load_pending(L.spark, f"{root}/staged", f"{root}/dim", BATCH3_AS_OF, L.cfg)
+    return current_dimension(L.spark, f"{root}/dim")[0]
+
+
 def _latest_staged(L: Layers) -> DataFrame:
     """Two loads: all raw bookings, then those of unknown status sent again with a valid one; newest row per id."""
     raw = L.raw_bookings()
@@ -139,6 +151,7 @@ QUERIES: dict[str, Query] = {
     "country_trend_pivot": _q(lambda L: analyses.country_trend_pivot(L.agg_driver_activity(),
                                                                      L.dim_drivers_active())),
     "daily_trend": _q(lambda L: analyses.daily_trend(L.agg_driver_activity())),
+    "incremental_dimension": _q(_incremental_dimension),
     "incremental_ingest": _q(_incremental_ingest),
     "latest_staged": _q(_latest_staged),
 }

@@ -127,6 +127,10 @@ class Layers:
         return self._layer("valid_drivers_batch2", lambda: staging.valid_drivers(staging.clean_drivers(
             self.raw_drivers_batch2(), self.cfg.with_(as_of=BATCH2_AS_OF))))
 
+    def raw_drivers_batch3(self) -> DataFrame:
+        return self._layer("raw_drivers_batch3", lambda: fixtures.raw_drivers_batch3(self.valid_drivers_batch2()),
+                           materialize=False)
+
     def scd2_batch2(self) -> dict[str, DataFrame]:
         if "scd2_batch2" not in self._memo:
             self._memo["scd2_batch2"] = scd2.apply_batch(self.dim_drivers(), self.valid_drivers_batch2(),
@@ -134,7 +138,7 @@ class Layers:
         return self._memo["scd2_batch2"]
 
     def new_drivers_batch2(self) -> DataFrame:
-        return scd2.new_versions(scd2.classify(self.dim_drivers(), self.valid_drivers_batch2(), self.cfg))
+        return scd2.new_drivers(self.dim_drivers(), self.valid_drivers_batch2(), self.cfg)
 
     # ------------------------------------------------------------------ facts
     def fact_bookings(self) -> DataFrame:

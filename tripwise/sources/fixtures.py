@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..config import BATCH2_LOAD_TZ
+from ..config import BATCH2_LOAD_TZ, BATCH3_LOAD_TZ
 
 # Fixture expressions (FIXTURES.md sections 2-4 and 6).
 DRIVER_EXPRS = {
@@ -107,6 +107,21 @@ BATCH2_EXPRS = {
 BATCH2_NEW_ID = "cast(k+2000000 as string)"
 BATCH2_NEW_WHERE = "k%100=0"
 
+# Third driver batch, built from the second's valid drivers: the country flips back, ratings that the second
+# batch changed change again, marketing of some flips for the first time, every 11th driver is not sent, new ids.
+BATCH3_EXPRS = dict(
+    BATCH2_EXPRS,
+    rating=("case when k%40=0 then '4.1' when k%37=2 then 'null' else cast(driver_rating as string) end"),
+    rating_count="case when k%37=2 then 'null' else cast(driver_rating_count as string) end",
+    receive_marketing=("case when k%41=2 then case when receive_marketing then 'false' "
+                       "when not receive_marketing then 'true' end "
+                       "else case when receive_marketing then 'true' "
+                       "when not receive_marketing then 'false' end end"),
+    load_tz=f"cast('{BATCH3_LOAD_TZ}' as timestamp)")
+BATCH3_WHERE = "k%11<>0"
+BATCH3_NEW_ID = "cast(k+4000000 as string)"
+BATCH3_NEW_WHERE = "k%150=0"
+
 RAW_DRIVER_COLUMNS = ("id", "country", "rating", "rating_count", "date_registration",
                       "receive_marketing", "is_processed", "load_tz")
 RAW_BOOKING_COLUMNS = ("id", "request_date", "status", "id_driver", "estimated_route_fare",
@@ -142,10 +157,17 @@ def raw_offers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _select(read_table(spark, sf_dir, "lineitem"), OFFER_EXPRS)
 
 
+def _next_batch(valid_drivers: DataFrame, exprs: dict, where: str, new_id: str, new_where: str) -> DataFrame:
+    v = valid_drivers.withColumn("k", F.col("driver_id").try_cast("bigint"))
+    changed = _select(v.filter(F.expr(where)), exprs)
+    return changed.unionByName(_select(v.filter(F.expr(new_where)), dict(exprs, id=new_id)))
+
+
 def raw_drivers_batch2(valid_drivers: DataFrame) -> DataFrame:
     """Second raw driver snapshot derived from the first batch's valid drivers."""
-    v = valid_drivers.withColumn("k", F.col("driver_id").try_cast("bigint"))
-    changed = _select(v, BATCH2_EXPRS)
-    new_exprs = dict(BATCH2_EXPRS, id=BATCH2_NEW_ID)
-    new = _select(v.filter(F.expr(BATCH2_NEW_WHERE)), new_exprs)
-    return changed.unionByName(new)
+    return _next_batch(valid_drivers, BATCH2_EXPRS, "true", BATCH2_NEW_ID, BATCH2_NEW_WHERE)
+
+
+def raw_drivers_batch3(valid_drivers: DataFrame) -> DataFrame:
+    """Third raw driver snapshot derived from the second batch's valid drivers."""
+    return _next_batch(valid_drivers, BATCH3_EXPRS, BATCH3_WHERE, BATCH3_NEW_ID, BATCH3_NEW_WHERE)

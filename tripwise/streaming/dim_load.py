@@ -8,12 +8,12 @@ batches the dimension has absorbed.  One load:
 1. reads the ledger (one row per applied batch -- bounded by the number of
    loads) and the newest dimension version;
 2. lists the (run, batch) pairs that the ledger lacks, oldest load time first;
-3. applies them one after the other with ``scd2.apply_batch``, so every version
-   of a driver is kept, and writes each result into a new folder of its own;
-4. appends the batch's ledger row, which names the folder, last.
+3. applies all of them in one pass (``scd2.apply_loads``), which keeps every version
+   of a driver, and writes the result into a new folder of its own;
+4. appends the batches' ledger rows, which name the folder, last and in one file.
 
-A failure before step 4 leaves the ledger unchanged and the next run redoes that
-batch into another folder; no folder is ever overwritten.  Only a ledger that does
+A failure before step 4 leaves the ledger unchanged and the next run redoes those
+batches into another folder; no folder is ever overwritten.  Only a ledger that does
 not exist counts as the first load; any other read failure is raised.
 """
 
@@ -51,32 +51,34 @@ def current_dimension(spark: SparkSession, root: str) -> tuple[DataFrame, int]:
     return spark.read.parquet(f"{root}/{last[0]['folder']}"), last[0]["version"]
 
 
+def stage_batch(staged: DataFrame, path: str, load_run: str, batch_id: int) -> None:
+    """Write one load's staged rows to its own partition; staged again, it replaces itself and nothing else."""
+    (staged.withColumn("load_run", F.lit(load_run)).withColumn("batch_id", F.lit(batch_id))
+     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("load_run", "batch_id").parquet(path))
+
+
 def load_pending(spark: SparkSession, staged_drivers_path: str, root: str, as_of: str | None = None,
                  cfg: EngagementConfig = DEFAULT) -> dict:
-    """Apply every staged driver batch not yet in the dimension; returns what was done."""
+    """Apply every staged driver batch not yet in the dimension, all in one pass; returns what was done."""
     as_of = as_of or dt.datetime.now(dt.timezone.utc).strftime("%Y-%m-%d %H:%M:%S")
-    staged = spark.read.parquet(staged_drivers_path)
+    # ids are texts, whatever partition discovery would make of them
+    staged = (spark.read.parquet(staged_drivers_path)
+              .withColumn("load_run", F.col("load_run").cast("string")).withColumn("batch_id", F.col("batch_id").cast("bigint")))
     pending = (staged.groupBy("load_run", "batch_id").agg(F.min("raw_load_tz").alias("loaded"))
                .join(ledger(spark, root).select("load_run", "batch_id"), ["load_run", "batch_id"], "left_anti")
                .orderBy("loaded", "load_run", "batch_id").collect())  # one row per load not yet applied
     dim, version = current_dimension(spark, root)
-    for batch in pending:
-        version += 1
-        dim = _apply(spark, root, dim, staged.filter((F.col("load_run") == batch.load_run) & (F.col("batch_id") == batch.batch_id)),
-                     version, batch.load_run, batch.batch_id, as_of, cfg)
-    return {"version": version, "applied": bool(pending), "batches": len(pending)}
-
-
-def _apply(spark: SparkSession, root: str, dim: DataFrame, batch: DataFrame, version: int, load_run: str, batch_id: int,
-           as_of: str, cfg: EngagementConfig) -> DataFrame:
-    folder = f"v={version}-{uuid.uuid4().hex[:8]}"
-    scd2.apply_batch(dim, staging.valid_drivers(batch), as_of, cfg)["dim"].write.mode("error").parquet(f"{root}/{folder}")
-    written = spark.read.parquet(f"{root}/{folder}")
-    before = dim.select("dim_driver_id", F.col("is_active").alias("was_active"))
-    # what this batch did: new keys are opened, keys that were active and no longer are are closed
-    done = written.join(before, "dim_driver_id", "left").agg(
-        F.count_if(F.col("was_active").isNull()).alias("opened"), F.count_if(F.col("was_active") & ~F.col("is_active")).alias("closed"))
-    done.select(F.lit(version).alias("version"), F.lit(load_run).alias("load_run"), F.lit(batch_id).cast("bigint").alias("batch_id"),
-                F.lit(folder).alias("folder"), F.lit(as_of).cast("timestamp").alias("applied_at"), "opened", "closed"
-                ).write.mode("append").parquet(f"{root}/_ledger")
-    return written
+    if not pending:
+        return {"version": version, "applied": False, "batches": 0}
+    order = spark.createDataFrame([(b.load_run, b.batch_id, n) for n, b in enumerate(pending, 1)],
+                                  "load_run string, batch_id bigint, load int")
+    incoming = staging.valid_drivers(staged.join(F.broadcast(order), ["load_run", "batch_id"]), "load")
+    done = scd2.apply_loads(dim, incoming, as_of, cfg)
+    folder = f"v={version + len(pending)}-{uuid.uuid4().hex[:8]}"
+    done["dim"].write.mode("error").parquet(f"{root}/{folder}")
+    (order.join(done["changes"], "load", "left")
+     .select((F.lit(version) + F.col("load")).cast("int").alias("version"), "load_run", "batch_id", F.lit(folder).alias("folder"),
+             F.lit(as_of).cast("timestamp").alias("applied_at"), F.coalesce("opened", F.lit(0)).cast("bigint").alias("opened"),
+             F.coalesce("closed", F.lit(0)).cast("bigint").alias("closed"))
+     .coalesce(1).write.mode("append").parquet(f"{root}/_ledger"))
+    return {"version": version + len(pending), "applied": True, "batches": len(pending)}

@@ -18,12 +18,12 @@ import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..config import DEFAULT, EngagementConfig
 from ..operators import staging
 from ..sources.csv import CSV_OPTIONS, RAW_COLUMNS, text_schema, with_load_defaults
+from .dim_load import stage_batch
 
 
 def _cleaner(kind: str, spark: SparkSession, cfg: EngagementConfig,
@@ -60,12 +60,9 @@ def start_ingest(spark: SparkSession, source_dir: str, kind: str, staged_path: s
     raw = reader.csv(source_dir)
 
     def load_batch(batch: DataFrame, batch_id: int) -> None:
-        # the stream's own id, which its checkpoint keeps over restarts
-        load_run = spark.read.json(f"{checkpoint_path}/metadata").first()["id"]
-        staged = (clean(with_load_defaults(batch, load_tz))
-                  .withColumn("load_run", F.lit(load_run)).withColumn("batch_id", F.lit(batch_id)))
-        (staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy("load_run", "batch_id").parquet(staged_path))
+        # the stream's own id, which its checkpoint keeps over restarts (Spark sets it for the batch's jobs)
+        load_run = spark.sparkContext.getLocalProperty("sql.streaming.queryId")
+        stage_batch(clean(with_load_defaults(batch, load_tz)), staged_path, load_run, batch_id)
 
     return (raw.writeStream.foreachBatch(load_batch)
             .option("checkpointLocation", checkpoint_path)
