@@ -203,7 +203,8 @@ def test_keys_of_texts_in_stretches(longest, monkeypatch):
             got = Counter()
             for part, end in collocations._stretches((text or "").encode(), longest):
                 for key, n in zip(*(x.to_pylist() for x in collocations.count_keys(part, end, b"en", longest))):
-                    got[collocations._parts(key)] += n
+                    words = key.split(b"\0\0")[0]
+                    got[("en", words.count(b"\0") + 1, collocations._phrase(words))] += n
             assert got == want
 
 
@@ -222,26 +223,26 @@ def test_collocations_against_brute_force(spark):
 
 
 @settings(max_examples=150, deadline=None)
-@given(st.lists(st.lists(st.sampled_from("ab"), max_size=5), min_size=1, max_size=60), st.integers(1, 7), st.integers(1, 4))
+@given(st.lists(st.tuples(st.sampled_from(["en", "", "a\0\0b"]), st.lists(st.sampled_from("ab"), max_size=5)), min_size=1, max_size=60),
+       st.integers(1, 9), st.integers(1, 4))
 def test_flows_over_batches_and_ranges(pieces, size, cuts):
     count = Counter()
     keys = Counter()
-    for words in pieces:
+    for lang, words in pieces:
         for i in range(len(words)):
-            keys["\0".join(["en", *words[i:i + 4]]).encode()] += 1
-            count[""] += 1
+            keys["\0".join([*words[i:i + 4], "\0" + lang]).encode()] += 1
+            count[lang, ""] += 1
             for n in range(1, 5):
                 if i + n <= len(words):
-                    count[" ".join(words[i:i + n])] += 1
+                    count[lang, " ".join(words[i:i + n])] += 1
     rows = sorted((k, 1) for k in keys.elements())
-    ranges = np.array_split(np.arange(len(rows)), cuts)
     got = Counter()
-    for own in ranges:
+    for own in np.array_split(np.arange(len(rows)), cuts):
         batches = [pa.RecordBatch.from_arrays([pa.array([rows[i][0] for i in part], pa.binary()), pa.array([rows[i][1] for i in part], pa.int64())],
                                               names=["gram", "n"]) for part in (own[j:j + size] for j in range(0, len(own), size))]
         for out in collocations._flows_of(4, 3)(iter(batches)):
             for r in out.to_pylist():
                 words = r["phrase"].split(" ") if r["words"] else []
                 for n in range(r["words"] - r["same"], r["words"] + 1):
-                    got[" ".join(words[:n])] += r["n"]
+                    got[r["lang"], " ".join(words[:n])] += r["n"]
     assert {p: n for p, n in got.items() if n >= 3} == {p: n for p, n in count.items() if n >= 3}

@@ -6,13 +6,14 @@ with the shorter runs that end a piece, as no edge begins there.  The count of a
 shorter phrase is the flow out of its node, the sum of the edges that begin with it,
 plus the pieces that end with it.
 
-1. Tasks turn texts into (language, words) keys, one for each word of a piece and the
+1. Tasks turn texts into (words, language) keys, one for each word of a piece and the
    words after it, and count equal ones in stretches (Arrow kernels, no Python object
    a word).
-2. One exchange deals the keys into sorted ranges.  What begins with the same words
-   stands together, so one pass with a running sum for each length gives all flows.
-   A frequent phrase's continuations may fill several ranges: the first and the last
-   sum of each length in a range are added up afterwards.
+2. One exchange deals the keys into ranges, whose bounds come from a sample of the
+   texts, and Spark sorts each (and spills).  A language's keys that begin with the
+   same words follow each other, so one pass with a running sum for each length gives
+   all flows.  A frequent phrase's continuations may fill several ranges: the first
+   and the last sum of each length in a range are added up afterwards.
 3. Unary paths are compacted: a phrase that goes on in one way only, and never ends a
    piece, has its continuation's count, and one row stands for both.
 4. Candidates are scored by joins with their parts' counts.  One-word parts, which
@@ -43,11 +44,14 @@ STRETCH = 1 << 22
 #: copies of each word's count among which the candidates that hold it are dealt
 SALTS = 32
 ROWS_AT_ONCE = 1 << 16
+#: bytes of a key that decide on its range; texts sampled for each range
+HEAD, SAMPLED_TEXTS = 16, 8
 
 _BREAKS, _BLANKS = b".,;:!?\n\x0b\x0c\r", b" \t"
 _KIND = np.array([0 if b in _BREAKS else 1 if b in _BLANKS else 2 for b in range(256)], np.uint8)
-# Words lie in a key behind separators of byte 0, the least one, so that a phrase and all that begin with it
-# are neighbours in byte order.  A word's own byte 0 becomes "A", which lower-cased words never hold.
+# A key holds words with byte 0, the least one, between them, then two bytes 0 and the language, so that in byte
+# order a phrase and a language's keys that begin with it have no other key of the language among them.
+# A word's own byte 0 becomes "A", which lower-cased words never hold.
 _LOWER = bytes(65 if b == 0 else b + 32 if 65 <= b <= 90 else b for b in range(256))
 _BREAK = re.compile(rb"[.,;:!?\n-\r]")
 _BLANK = re.compile(rb"[ \t]")
@@ -55,15 +59,8 @@ _BLANK = re.compile(rb"[ \t]")
 FLOW_SCHEMA = "lang string, words int, phrase string, n bigint, same int"
 
 
-def _key_lang(lang: str) -> bytes:
-    return lang.encode().replace(b"\x01", b"\x01\x02").replace(b"\x00", b"\x01\x01")
-
-
-def _parts(key: bytes) -> tuple[str, int, str]:
-    """(language, number of words, phrase) of a key."""
-    lang, *words = key.split(b"\x00")
-    lang = lang.replace(b"\x01\x01", b"\x00").replace(b"\x01\x02", b"\x01")
-    return lang.decode(), len(words), b" ".join(words).replace(b"A", b"\x00").decode("utf-8", "replace")
+def _phrase(words: bytes) -> str:
+    return words.replace(b"\x00", b" ").replace(b"A", b"\x00").decode("utf-8", "replace")
 
 
 def _stretches(text: bytes, longest: int) -> Iterator[tuple[bytes, int]]:
@@ -91,27 +88,43 @@ def count_keys(text: bytes, end: int, lang: bytes, longest: int) -> tuple[pa.Arr
     piece = np.cumsum(kind == 0, dtype=np.int32)[begin] if n else np.empty(0, np.int32)
     offsets = np.concatenate(([0], np.cumsum(stop - begin))).astype(np.int32)
     values = pa.py_buffer(data[is_word].tobytes())
-    columns = [pa.scalar(lang, pa.binary())]
+    columns = []
     for ahead in range(min(longest, n)):
         same = np.packbits(piece[ahead:] == piece[:n - ahead], bitorder="little").tobytes()
         words = pa.Array.from_buffers(pa.binary(), n - ahead, [pa.py_buffer(same), pa.py_buffer(offsets[ahead:].tobytes()), values])
         columns.append(pa.concat_arrays([words, pa.nulls(ahead, pa.binary())]))
+    columns.append(pa.scalar(b"\x00" + lang, pa.binary()))
     keys = pc.binary_join_element_wise(*columns, pa.scalar(b"\x00", pa.binary()), null_handling="skip") if n else pa.array([], pa.binary())
     found = pc.value_counts(keys.slice(0, int(np.searchsorted(begin, end))))
     return found.field(0), found.field(1)
 
 
-def _keys_of(longest: int):
+def _heads(keys: pa.Array) -> np.ndarray:
+    """The first ``HEAD`` bytes of each key, filled up with bytes 0."""
+    offsets = np.frombuffer(keys.buffers()[1], np.int32)[keys.offset:keys.offset + len(keys) + 1].astype(np.int64)
+    data = np.frombuffer(keys.buffers()[2], np.uint8)
+    at = offsets[:-1, None] + np.arange(HEAD)
+    heads = np.where(at < offsets[1:, None], data[np.minimum(at, len(data) - 1)], 0).astype(np.uint8)
+    return heads.view(f"S{HEAD}").ravel()
+
+
+def _keys_of(longest: int, bounds: list[bytes] | None):
+    """Batches of (gram, n) with, where there are ``bounds``, the number of the gram's range."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         waiting: dict[str, list[bytes]] = {}
         size = 0
+        edges = None if bounds is None else np.array(bounds, f"S{HEAD}")
 
         def flush() -> Iterator[pa.RecordBatch]:
             for lang, texts in waiting.items():
                 for text, end in _stretches(b"\n".join(texts), longest):
-                    keys, counts = count_keys(text, end, _key_lang(lang), longest)
+                    keys, counts = count_keys(text, end, lang.encode(), longest)
                     for at in range(0, len(keys), ROWS_AT_ONCE):
-                        yield pa.RecordBatch.from_arrays([keys.slice(at, ROWS_AT_ONCE), counts.slice(at, ROWS_AT_ONCE)], names=["gram", "n"])
+                        part = [keys.slice(at, ROWS_AT_ONCE), counts.slice(at, ROWS_AT_ONCE)]
+                        if edges is not None:
+                            part.append(pa.array(np.searchsorted(edges, _heads(part[0]), side="right").astype(np.int32)))
+                        yield pa.RecordBatch.from_arrays(part, names=["gram", "n", "range"][:len(part)])
             waiting.clear()
 
         for batch in batches:
@@ -127,6 +140,18 @@ def _keys_of(longest: int):
     return run
 
 
+def _range_bounds(texts: DataFrame, ranges: int, longest: int) -> list[bytes]:
+    """Heads of keys that split the keys into about equal ranges, from a sample of texts that grows with ``ranges`` alone.
+
+    They decide where a key is counted, never what the counts are.
+    """
+    rows = texts.count()
+    sample = texts.sample(min(1.0, SAMPLED_TEXTS * ranges / rows), seed=1) if rows else texts
+    heads = sample.mapInArrow(_keys_of(longest, None), "gram binary, n bigint").select(F.expr(f"substring(gram, 1, {HEAD})").alias("head"))
+    found = np.sort(np.array([r.head for r in heads.collect()], f"S{HEAD}"))
+    return sorted({bytes(found[len(found) * i // ranges]) for i in range(1, ranges)}) if len(found) else []
+
+
 def _prefixes(data: np.ndarray, begin: np.ndarray, end: np.ndarray) -> pa.Array:
     """The byte strings from ``begin`` to ``end``."""
     size = end - begin
@@ -136,9 +161,10 @@ def _prefixes(data: np.ndarray, begin: np.ndarray, end: np.ndarray) -> pa.Array:
 
 
 class Prefix:
-    """The sums of the prefixes of one length in a sorted range; the last one of a batch runs on into the next."""
+    """The sums of a language's prefixes of one length in a sorted range; the last one of a batch runs on into the next."""
 
-    def __init__(self):
+    def __init__(self, lang: str, words: int):
+        self.lang, self.words = lang, words
         self.key: bytes | None = None
         self.sum = 0
         self.first = True
@@ -164,67 +190,88 @@ class Prefix:
 
     def _end(self, least: int, out: list) -> None:
         if self.first or self.sum >= least:
-            out.append((self.key, self.sum, 0))
+            out.append((self.lang, self.words, self.key, self.sum, 0))
         self.first = False
 
     def close(self, out: list) -> None:
         if self.key is not None:
-            out.append((self.key, self.sum, 0))
+            out.append((self.lang, self.words, self.key, self.sum, 0))
+
+
+def _flow_rows(found: list[tuple[str, int, bytes, int, int]]) -> pa.RecordBatch:
+    kinds = {"lang": pa.string(), "words": pa.int32(), "phrase": pa.string(), "n": pa.int64(), "same": pa.int32()}
+    rows = [(lang, words, _phrase(key), n, same) for lang, words, key, n, same in found]
+    return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], kind) for i, kind in enumerate(kinds.values())], names=list(kinds))
 
 
-def _flow_rows(found: list[tuple[bytes, int, int]]) -> pa.RecordBatch:
-    rows = [(*_parts(key), n, same) for key, n, same in found]
-    kinds = (pa.string(), pa.int32(), pa.string(), pa.int64(), pa.int32())
-    return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], kind) for i, kind in enumerate(kinds)],
-                                      names=["lang", "words", "phrase", "n", "same"])
+Groups = tuple[np.ndarray, pa.Array, np.ndarray]
 
 
-def batch_groups(batch: pa.RecordBatch, fields: int) -> list[tuple[np.ndarray, pa.Array, np.ndarray] | None]:
-    """For 1 to ``fields`` key fields: (first row, key, sum) of the groups of sorted rows that begin with the same ones."""
+def batch_groups(batch: pa.RecordBatch, longest: int) -> dict[str, list[Groups | None]]:
+    """By language, for phrases of 0 to ``longest`` words: (first row, phrase, sum) of the groups of sorted rows that begin with it."""
     keys, counts = batch.column(0), batch.column(1).to_numpy()
     offsets = np.frombuffer(keys.buffers()[1], np.int32)[keys.offset:keys.offset + len(keys) + 1].astype(np.int64)
     data = np.frombuffer(keys.buffers()[2], np.uint8)[offsets[0]:offsets[-1]]
     offsets = offsets - offsets[0]
+    begin, stop = offsets[:-1], offsets[1:]
     marks = np.flatnonzero(data == 0)
-    first_mark = np.searchsorted(marks, offsets)
-    has = np.diff(first_mark) + 1
-    out = []
-    for field in range(1, fields + 1):
-        rows = np.flatnonzero(has >= field)
-        if not len(rows):
-            out.append(None)
-            continue
-        end = offsets[rows + 1]
-        more = has[rows] > field
-        end[more] = marks[first_mark[rows[more]] + field - 1]
-        text = _prefixes(data, offsets[rows], end)
-        start = np.flatnonzero(np.concatenate(([True], pc.not_equal(text[1:], text[:-1]).to_numpy(zero_copy_only=False))))
-        out.append((rows[start], text.take(pa.array(start)), np.add.reduceat(counts[rows], start)))
+    double = marks[:-1][np.diff(marks) == 1]
+    end = double[np.searchsorted(double, begin)]  # a language may hold bytes 0 too; the first two in a row count
+    langs = _prefixes(data, end + 2, stop).dictionary_encode()
+    names = [x.decode() for x in langs.dictionary.to_pylist()]
+    code = langs.indices.to_numpy()
+    if len(names) > 1:  # a language's rows side by side, in their order
+        order = np.argsort(code, kind="stable")
+        begin, end, code, counts = begin[order], end[order], code[order], counts[order]
+    first_mark = np.searchsorted(marks, begin)
+    words = np.searchsorted(marks, end) - first_mark + 1
+    out: dict[str, list[Groups | None]] = {name: [] for name in names}
+    for level in range(longest + 1):
+        rows = np.flatnonzero(words >= level)
+        cut = end[rows].copy()
+        if level:
+            more = words[rows] > level
+            cut[more] = marks[first_mark[rows[more]] + level - 1]
+        else:
+            cut = begin[rows]
+        change = np.ones(len(rows), bool)
+        if len(rows):
+            phrase = _prefixes(data, begin[rows], cut)
+            change[1:] = (code[rows][1:] != code[rows][:-1]) | pc.not_equal(phrase[1:], phrase[:-1]).to_numpy(zero_copy_only=False)
+        start = np.flatnonzero(change)
+        if len(start):
+            phrase, sums, row = phrase.take(pa.array(start)), np.add.reduceat(counts[rows], start), rows[start]
+        at = np.searchsorted(code[rows][start], np.arange(len(names) + 1))
+        for i, name in enumerate(names):
+            some = slice(at[i], at[i + 1])
+            out[name].append((row[some], phrase[some], sums[some]) if at[i] < at[i + 1] else None)
     return out
 
 
 def _flows_of(longest: int, least: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        state = [Prefix() for _ in range(longest + 1)]
+        state: dict[str, list[Prefix]] = {}
         for batch in batches:
             if not batch.num_rows:
                 continue
-            out: list[tuple[bytes, int, int]] = []
-            groups = batch_groups(batch, longest + 1)
-            whole = [{} if g is None else prefix.add(*g, least, out) for prefix, g in zip(state, groups)] + [{}]
-            same: dict[int, int] = {}  # begin of a group -> how many shorter prefixes it stands for
-            for level, (found, longer) in enumerate(zip(whole, whole[1:])):
-                going_on: dict[int, int] = {}
-                for row, (place, n) in found.items():
-                    if row in longer and longer[row][1] == n:
-                        going_on[row] = same.get(row, 0) + 1
-                    else:
-                        out.append((groups[level][1][place].as_py(), n, same.get(row, 0)))
-                same = going_on
+            out: list[tuple[str, int, bytes, int, int]] = []
+            for lang, groups in batch_groups(batch, longest).items():
+                prefixes = state.setdefault(lang, [Prefix(lang, words) for words in range(longest + 1)])
+                whole = [{} if g is None else prefix.add(*g, least, out) for prefix, g in zip(prefixes, groups)] + [{}]
+                same: dict[int, int] = {}  # begin of a group -> how many shorter prefixes it stands for
+                for words, (found, longer) in enumerate(zip(whole, whole[1:])):
+                    going_on: dict[int, int] = {}
+                    for row, (place, n) in found.items():
+                        if row in longer and longer[row][1] == n:
+                            going_on[row] = same.get(row, 0) + 1
+                        else:
+                            out.append((lang, words, groups[words][1][place].as_py(), n, same.get(row, 0)))
+                    same = going_on
             yield _flow_rows(out)
         out = []
-        for prefix in state:
-            prefix.close(out)
+        for prefixes in state.values():
+            for prefix in prefixes:
+                prefix.close(out)
         yield _flow_rows(out)
 
     return run
@@ -239,8 +286,10 @@ def flows(docs: DataFrame, longest: int = LONGEST, least: int = LEAST, text: str
 
     The phrase of no words has the number of all the language's words.
     """
-    keys = docs.select(F.col(text).alias("text"), F.col(lang).alias("lang")).mapInArrow(_keys_of(longest), "gram binary, n bigint")
-    ordered = keys.repartitionByRange("gram").sortWithinPartitions("gram")
+    texts = docs.select(F.col(text).alias("text"), F.col(lang).alias("lang"))
+    ranges = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    keys = texts.mapInArrow(_keys_of(longest, _range_bounds(texts, ranges, longest)), "gram binary, n bigint, range int")
+    ordered = keys.repartitionById(ranges, "range").select("gram", "n").sortWithinPartitions("gram")
     found = ordered.mapInArrow(_flows_of(longest, least), FLOW_SCHEMA)
     split = F.when(F.col("words") > 0, F.split("phrase", " ")).otherwise(F.array().cast("array<string>"))
     each = (found.select("lang", "n", split.alias("all"), F.explode(F.sequence(F.col("words") - F.col("same"), F.col("words"))).alias("words"))
