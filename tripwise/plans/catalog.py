@@ -13,12 +13,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import BATCH2_AS_OF, BATCH3_AS_OF, DEFAULT, EngagementConfig
-from ..operators import analyses, audit, staging
+from ..operators import analyses, audit, facts, staging
 from ..operators.dedup import latest_per_key
 from ..session import shared_dir
 from ..sources.csv import write_raw_csv
+from ..sources.landing import Landing
 from ..streaming.dim_load import current_dimension, load_pending, stage_batch
 from ..streaming.ingest import run_ingest
+from .incremental import IncrementalModel
 from .layers import Layers
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -79,12 +81,76 @@ def _incremental_dimension(L: Layers) -> DataFrame:
     return current_dimension(L.spark, f"{root}/dim")[0]
 
 
+def _two_loads(L: Layers) -> tuple[dict[str, DataFrame], dict[str, DataFrame]]:
+    """The raw tables dealt over two loads, so that references come late in both directions.
+
+    Bookings of unknown status are sent (again) with a valid one in the second.
+    """
+    def first(column: str, n: int):
+        return F.pmod(F.crc32(F.col(column).cast("binary")), F.lit(n)) == 0
+
+    d, b, o = L.raw_drivers(), L.raw_bookings(), L.raw_offers()
+    # an offer's and its booking's load differ; a driver's rows stay together
+    split = {"drivers": (d, first("id", 2)), "bookings": (b, first("id", 3)), "offers": (o, first("id", 2))}
+    one = {k: df.filter(F.coalesce(c, F.lit(False))) for k, (df, c) in split.items()}
+    two = {k: df.filter(~F.coalesce(c, F.lit(False))) for k, (df, c) in split.items()}
+    two["bookings"] = two["bookings"].unionByName(_sent_again(b))
+    return one, two
+
+
+def _sent_again(bookings: DataFrame) -> DataFrame:
+    return (bookings.filter("status = 'LOST'").withColumn("status", F.lit("SUCCESS"))
+            .withColumn("load_tz", F.col("load_tz") + F.expr("INTERVAL 1 DAY")))
+
+
+def _new_model(L: Layers) -> IncrementalModel:
+    return IncrementalModel(L.spark, f"{shared_dir(L.spark)}/incremental/{uuid.uuid4().hex}", L.cfg)
+
+
+def _incremental_model(L: Layers) -> DataFrame:
+    """Two loads through keyed staging, late references, dimension, facts and daily sums; the driver-day table."""
+    model = _new_model(L)
+    for n, raw in enumerate(_two_loads(L), 1):
+        model.load(raw, f"load-{n}")
+    return model.agg_driver_activity()
+
+
+def _late_references(L: Layers) -> DataFrame:
+    """Staged offers after the two loads: their reference flags follow drivers and bookings that came later."""
+    model = _new_model(L)
+    for n, raw in enumerate(_two_loads(L), 1):
+        model.load_staging(raw, f"load-{n}")
+    return model.staged["offers"].read()
+
+
+def _raw_replay(L: Layers) -> DataFrame:
+    """Bookings landed in two loads, the second offering the first one's files again; staged from the raw table.
+
+    ``raw_copies``: how many raw rows the id has, over all landed files.
+    """
+    root = f"{shared_dir(L.spark)}/landing/{uuid.uuid4().hex}"
+    half = F.pmod(F.crc32(F.col("id").cast("binary")), F.lit(2)) == 0
+    b = L.raw_bookings()
+    write_raw_csv(b.filter(half), f"{root}/offered/a", "bookings", compression="gzip")
+    write_raw_csv(b.filter(~half), f"{root}/offered/b", "bookings", compression="gzip")
+    landing = Landing(L.spark, f"{root}/raw", "bookings")
+    landing.land(f"{root}/offered/a", "load-1", "2026-06-01 00:00:00")
+    landing.land([f"{root}/offered/a", f"{root}/offered/b"], "load-2", "2026-06-01 00:00:00")
+    raw = landing.raw()
+    copies = raw.groupBy(F.col("id").alias("booking_id")).agg(F.count(F.lit(1)).alias("raw_copies"))
+    return staging.clean_bookings(raw, L.valid_drivers(), L.cfg).join(copies, "booking_id", "left")
+
+
+def _fact_bookings_asof(L: Layers) -> DataFrame:
+    """Bookings against the driver version of their time; the three driver loads are moved back into the bookings' years."""
+    dim = _incremental_dimension(L).withColumn("start_eff_ts", F.col("start_eff_ts") - F.expr("INTERVAL 5 YEARS"))
+    return facts.fact_bookings_asof(L.valid_bookings(), dim)
+
+
 def _latest_staged(L: Layers) -> DataFrame:
     """Two loads: all raw bookings, then those of unknown status sent again with a valid one; newest row per id."""
     raw = L.raw_bookings()
-    again = (raw.filter("status = 'LOST'").withColumn("status", F.lit("SUCCESS"))
-             .withColumn("load_tz", F.col("load_tz") + F.expr("INTERVAL 1 DAY")))
-    loads = [staging.clean_bookings(load, L.valid_drivers(), L.cfg) for load in (raw, again)]
+    loads = [staging.clean_bookings(load, L.valid_drivers(), L.cfg) for load in (raw, _sent_again(raw))]
     return staging.latest_staged(loads[0].unionByName(loads[1]), "bookings")
 
 
@@ -152,6 +218,10 @@ QUERIES: dict[str, Query] = {
                                                                      L.dim_drivers_active())),
     "daily_trend": _q(lambda L: analyses.daily_trend(L.agg_driver_activity())),
     "incremental_dimension": _q(_incremental_dimension),
+    "incremental_model": _q(_incremental_model),
+    "late_references": _q(_late_references),
+    "raw_replay": _q(_raw_replay),
+    "fact_bookings_asof": _q(_fact_bookings_asof),
     "incremental_ingest": _q(_incremental_ingest),
     "latest_staged": _q(_latest_staged),
 }
