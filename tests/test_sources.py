@@ -62,7 +62,7 @@ def test_runner_from_csv_extracts(spark, scratch):
         write_raw_csv(df, f"{scratch}/csv/{kind}", kind, compression="gzip")
     paths = runner.run(spark, f"{scratch}/model", raw_csv=f"{scratch}/csv", load_tz="2026-06-01 00:00:00", as_of=DEFAULT.as_of)
     assert spark.read.parquet(paths["abort_segments"]).count() >= 1
-    stored = spark.read.parquet(f"{scratch}/model/agg_driver_activity")
+    stored = spark.read.parquet(f"{runner.published(spark, f'{scratch}/model')}/agg_driver_activity")
     raw = {k: read_raw_csv(spark, f"{scratch}/csv/{k}", k, load_tz="2026-06-01 00:00:00")
            for k in ("drivers", "bookings", "offers")}
     lazy = Layers(spark, SF_SMALL, raw=raw).agg_driver_activity()
@@ -179,3 +179,81 @@ def test_large_fare_reaches_the_driver_day_table(spark):
     agg = Layers(spark, SF_SMALL, raw={"bookings": raw.unionByName(big)}).agg_driver_activity()
     top = agg.agg(F.max("total_est_revenue").alias("r"), F.max("avg_est_revenue_per_trip").alias("a")).first()
     assert top.r >= Decimal("1e17") and top.a > Decimal("1e16")
+
+
+def test_second_run_keeps_versions_and_a_failed_run_leaves_the_last(spark, scratch, monkeypatch):
+    """Two runs into one folder: the dimension keeps the first run's versions; a run that fails midway is not seen."""
+    from tripwise.operators import analyses
+    from tripwise.plans import runner
+    L = Layers(spark, SF_SMALL)
+    for n, drivers in enumerate((L.raw_drivers(), L.raw_drivers_batch2()), 1):
+        for kind, df in (("drivers", drivers), ("bookings", L.raw_bookings().limit(200)), ("offers", L.raw_offers().limit(200))):
+            write_raw_csv(df, f"{scratch}/csv{n}/{kind}", kind)
+    out = f"{scratch}/model"
+    assert runner.published(spark, out) is None
+    runner.run(spark, out, raw_csv=f"{scratch}/csv1", load_tz="2026-06-01 00:00:00", as_of=DEFAULT.as_of, run_id="one")
+    first = runner.published(spark, out)
+    assert first.endswith("runs/one")
+
+    def broken(*args):
+        raise RuntimeError("lost")
+
+    with monkeypatch.context() as m:
+        m.setattr(analyses, "daily_trend", broken)
+        with pytest.raises(RuntimeError):
+            runner.run(spark, out, raw_csv=f"{scratch}/csv2", load_tz="2026-06-02 00:00:00", as_of="2026-06-02 00:00:00", run_id="two")
+    assert runner.published(spark, out) == first and spark.read.parquet(f"{first}/analyses/daily_trend").count() > 0
+    runner.run(spark, out, raw_csv=f"{scratch}/csv2", load_tz="2026-06-02 00:00:00", as_of="2026-06-02 00:00:00", run_id="two")
+    assert runner.published(spark, out).endswith("runs/two")
+    from tripwise.streaming.dim_load import current_dimension, ledger
+    dim, version = current_dimension(spark, f"{out}/history/dim_drivers")
+    assert version == 2 and ledger(spark, f"{out}/history/dim_drivers").count() == 2
+    assert dim.filter("NOT is_active").count() > 0 and dim.groupBy("driver_id").count().filter("count = 2").count() > 0
+
+
+def test_versioned_table(spark, scratch, monkeypatch):
+    from tripwise.sources.versioned import VersionedTable, read_table, replace_table
+    rows = lambda df: sorted(tuple(r) for r in df.collect())
+    t = VersionedTable(spark, f"{scratch}/t", F.col("day"))
+    assert t.version() == 0 and t.read() is None
+    df = lambda *r: spark.createDataFrame(list(r), "day int, x string")
+    t.write(df((1, "a"), (2, "b"), (3, "c")))
+    before = t.folders()
+    t.write(df((2, "B"), (4, "d")), replaces=["2", "3"], label="second")
+    assert rows(t.read()) == [(1, "a"), (2, "B"), (4, "d")] and t.version() == 2 and t.has("second") and not t.has("first")
+    assert t.folders()["1"] == before["1"] and t.folders()["2"] != before["2"]
+    assert rows(t.read(["2", "9"])) == [(2, "B")]
+    # a run that fails before the version is written leaves the last one
+    monkeypatch.setattr(VersionedTable, "publish", lambda *a, **k: (_ for _ in ()).throw(RuntimeError("lost")))
+    with pytest.raises(RuntimeError):
+        t.write(df((1, "z")))
+    assert rows(t.read()) == [(1, "a"), (2, "B"), (4, "d")]
+    monkeypatch.undo()
+    t.write(df(), replaces=None)
+    assert t.version() == 3 and rows(t.read()) == []
+    with pytest.raises(ValueError):
+        VersionedTable(spark, f"{scratch}/u", F.col("x")).write(df((1, "a/b")))
+    with pytest.raises(FileNotFoundError):
+        read_table(spark, f"{scratch}/none")
+    replace_table(df((1, "a")), f"{scratch}/full")
+    replace_table(read_table(spark, f"{scratch}/full").withColumn("x", F.lit("new")), f"{scratch}/full")  # from its own rows
+    assert rows(read_table(spark, f"{scratch}/full")) == [(1, "new")]
+
+
+def test_landing_loads_a_file_once(spark, scratch):
+    from tripwise.sources.landing import Landing
+    L = Layers(spark, SF_SMALL)
+    write_raw_csv(L.raw_bookings().limit(50).coalesce(1), f"{scratch}/a", "bookings", compression="gzip")
+    write_raw_csv(L.raw_bookings().limit(70).coalesce(1), f"{scratch}/b", "bookings")
+    write_raw_csv(L.raw_bookings().limit(50).coalesce(1), f"{scratch}/copy", "bookings")
+    landing = Landing(spark, f"{scratch}/raw", "bookings")
+    with pytest.raises(FileNotFoundError):
+        landing.raw()
+    assert landing.land(f"{scratch}/a", "one", "2026-06-01 00:00:00") == 1
+    assert landing.land(f"{scratch}/a", "one", "2026-06-01 00:00:00") == 0
+    # the same content under other names, packed or not, is known; only the new file is loaded
+    assert landing.land([f"{scratch}/copy", f"{scratch}/b"], "two", "2026-06-02 00:00:00") == 1
+    assert landing.land(f"{scratch}/copy", "three", "2026-06-03 00:00:00") == 0
+    assert landing.manifest().count() == 2
+    assert landing.raw().count() == 120 and landing.raw(["one"]).count() == 50
+    assert {str(r[0]) for r in landing.raw().select("load_tz").distinct().collect()} == {"2026-06-01 00:00:00", "2026-06-02 00:00:00"}

@@ -10,25 +10,35 @@ Each layer is built once per instance (memoised).  Two modes:
   path, e.g. the cluster's checkpoint folder) and read back, so downstream
   layers start from a short lineage and a lost executor re-reads files
   instead of recomputing the chain -- the shape of a production run.
+
+With ``history=<folder>`` the driver dimension is the one kept there over runs: this
+run's staged drivers become one more load (``load_run``) of it, and every earlier
+version stays.  Without, the dimension begins with this run.
 """
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 
 from ..config import BATCH2_AS_OF, DEFAULT, EngagementConfig
 from ..operators import activity, analyses, calendar, facts, scd2, staging
 from ..session import cut_lineage, prepare
 from ..sources import fixtures
+from ..streaming.dim_load import current_dimension, load_pending, stage_batch
 
 
 class Layers:
     def __init__(self, spark: SparkSession, sf_dir: str, cfg: EngagementConfig = DEFAULT,
-                 store: str | None = None, raw: dict[str, DataFrame] | None = None):
+                 store: str | None = None, raw: dict[str, DataFrame] | None = None,
+                 history: str | None = None, load_run: str | None = None):
         self.spark = prepare(spark)
         self.sf_dir = sf_dir
         self.cfg = cfg
         self.store = store.rstrip("/") if store else None
+        self.history = history.rstrip("/") if history else None
+        self.load_run = load_run
         self._raw = raw or {}
         self._memo: dict[str, DataFrame] = {}
         self._ccfg: EngagementConfig | None = None
@@ -108,7 +118,14 @@ class Layers:
                                                          self.cfg.as_of, self.cfg)
         return self._memo["scd2_batch1"]
 
+    def _load_history(self) -> DataFrame:
+        stage_batch(self.stg_drivers(), f"{self.history}/staged_drivers", self.load_run or uuid.uuid4().hex, 0)
+        load_pending(self.spark, f"{self.history}/staged_drivers", f"{self.history}/dim_drivers", self.cfg.as_of, self.cfg)
+        return current_dimension(self.spark, f"{self.history}/dim_drivers")[0]
+
     def dim_drivers(self) -> DataFrame:
+        if self.history:
+            return self._layer("dim_drivers", self._load_history, materialize=False)
         # the dimension is a stored table: cut its lineage even in lazy mode
         return self._layer("dim_drivers", lambda: self._stored(self.scd2_batch1()["dim"]))
 

@@ -5,8 +5,10 @@
 
 ``--raw-csv DIR`` reads ``DIR/drivers``, ``DIR/bookings`` and ``DIR/offers``
 (CSV or CSV.gz extracts); otherwise the raw views are derived from the test
-tables in ``--sf-dir``.  Tables land in ``<out>/<layer>``; analyses are written
-next to them.  ``--out`` defaults to ``<spark.checkpoint.dir>/model``.  "Now" in the
+tables in ``--sf-dir``.  A run writes its tables to ``<out>/runs/<run id>`` and is
+published (``published``) when all of them are there, so a run that fails midway
+leaves the last one as it was.  The driver dimension is kept over runs in
+``<out>/history``: each run is one more load of it.  ``--out`` defaults to ``<spark.checkpoint.dir>/model``.  "Now" in the
 rules is the clock (UTC) unless ``--as-of`` sets it.
 """
 
@@ -14,20 +16,27 @@ from __future__ import annotations
 
 import argparse
 import datetime as dt
+import uuid
 
 from pyspark.sql import SparkSession
 
 from ..config import DEFAULT, wide
 from ..operators import analyses, audit
 from ..session import prepare, shared_dir
-from ..sources.csv import read_raw_csv, replace_table
+from ..sources.csv import read_raw_csv
+from ..sources.versioned import VersionedTable
 from .layers import Layers
 
 
 def run(spark: SparkSession, out: str, sf_dir: str | None = None, raw_csv: str | None = None,
         window_days: int | None = None, load_tz: str | None = None, as_of: str | None = None,
-        window_start: str | None = None, window_end: str | None = None, tenure_cutoff: str | None = None) -> dict[str, str]:
+        window_start: str | None = None, window_end: str | None = None, tenure_cutoff: str | None = None,
+        run_id: str | None = None) -> dict[str, str]:
+    """Run the model; returns the folder of each analysis.  A failed run is done again with its ``run_id``."""
     prepare(spark)
+    run_id = run_id or uuid.uuid4().hex
+    runs, out = VersionedTable(spark, f"{out}/published"), out.rstrip("/")
+    folder = f"{out}/runs/{run_id}"
     now = dt.datetime.now(dt.timezone.utc).strftime("%Y-%m-%d %H:%M:%S")
     given = {"window_start": window_start, "window_end": window_end, "tenure_cutoff": tenure_cutoff}
     cfg = (wide(window_days) if window_days else DEFAULT).with_(as_of=as_of or now, **{k: v for k, v in given.items() if v})
@@ -35,7 +44,7 @@ def run(spark: SparkSession, out: str, sf_dir: str | None = None, raw_csv: str |
     if raw_csv:
         ts = load_tz or dt.datetime.now(dt.timezone.utc).strftime("%Y-%m-%d %H:%M:%S")
         raw = {k: read_raw_csv(spark, f"{raw_csv}/{k}", k, load_tz=ts) for k in ("drivers", "bookings", "offers")}
-    L = Layers(spark, sf_dir or "", cfg, store=out, raw=raw)
+    L = Layers(spark, sf_dir or "", cfg, store=folder, raw=raw, history=f"{out}/history", load_run=run_id)
     for layer in (L.stg_drivers, L.stg_bookings, L.stg_offers, L.dim_drivers, L.fact_bookings, L.fact_offers,
                   L.agg_driver_activity):
         layer()
@@ -56,11 +65,18 @@ def run(spark: SparkSession, out: str, sf_dir: str | None = None, raw_csv: str |
     }
     paths = {}
     for name, df in results.items():
-        paths[name] = f"{out}/analyses/{name}"
-        replace_table(df, paths[name])
+        paths[name] = f"{folder}/analyses/{name}"
+        df.write.mode("overwrite").parquet(paths[name])
+    runs.write(spark.createDataFrame([(run_id, folder, cfg.as_of)], "run_id string, folder string, as_of string"))
     return paths
 
 
+def published(spark: SparkSession, out: str) -> str | None:
+    """The folder of the last run that was completed; None before the first."""
+    rows = VersionedTable(spark, f"{out.rstrip('/')}/published").read()
+    return None if rows is None else rows.first()["folder"]
+
+
 def main() -> None:
     ap = argparse.ArgumentParser()
     ap.add_argument("--out")

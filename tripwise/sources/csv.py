@@ -1,4 +1,4 @@
-"""Raw CSV extracts in, parquet tables out.
+"""Raw CSV extracts: read and write.
 
 Raw files are read as all-text columns with a fixed, positional schema (the
 header line is skipped, its names need not match), optional double-quote
@@ -58,13 +58,3 @@ def write_raw_csv(df: DataFrame, path: str, kind: str, compression: str | None =
     if compression:
         w = w.option("compression", compression)
     w.csv(path)
-
-
-def append_table(df: DataFrame, path: str) -> None:
-    """Append a load into a parquet table (INSERT INTO)."""
-    df.write.mode("append").parquet(path)
-
-
-def replace_table(df: DataFrame, path: str) -> None:
-    """Full refresh (CREATE OR REPLACE TABLE ... AS); ``path`` must not be an input of ``df``."""
-    df.write.mode("overwrite").parquet(path)
