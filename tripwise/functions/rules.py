@@ -15,6 +15,7 @@ A condition that evaluates to NULL counts as "not failed", like a SQL
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -30,11 +31,15 @@ class Rule:
 
 
 def apply_rules(df: DataFrame, rules: list[Rule]) -> DataFrame:
-    msgs = F.array_compact(F.array(*[F.when(r.condition, r.message) for r in rules]))
-    codes = F.array_compact(F.array(*[F.when(r.condition, F.lit(r.code)) for r in rules]))
-    return (df.withColumn("_dq_msgs", msgs)
-            .withColumn("_dq_codes", codes)
-            .withColumn("is_valid", F.size("_dq_msgs") == 0)
-            .withColumn("error_reason", F.array_join("_dq_msgs", ERROR_SEPARATOR))
-            .withColumn("error_codes", F.array_join("_dq_codes", ","))
-            .drop("_dq_msgs", "_dq_codes"))
+    """``concat_ws`` leaves out NULLs, so it compacts and joins the failed rules' texts in one compiled expression.
+
+    The conditions become columns of their own first: each is evaluated once, and texts are built from flags.
+    """
+    flags = {f"_dq_{r.code}": F.coalesce(r.condition, F.lit(False)) for r in rules}
+    checked = df.withColumns(flags)
+    failed = [F.col(name) for name in flags]
+    out = checked.withColumns({
+        "is_valid": ~reduce(lambda a, b: a | b, failed),
+        "error_reason": F.concat_ws(ERROR_SEPARATOR, *[F.when(f, r.message) for f, r in zip(failed, rules)]),
+        "error_codes": F.concat_ws(",", *[F.when(f, F.lit(r.code)) for f, r in zip(failed, rules)])})
+    return out.drop(*flags)
