@@ -128,9 +128,9 @@ def dense_activity(daily: DataFrame, registered: DataFrame, cfg: EngagementConfi
 
     A driver's days are gathered into one row, a list of at most as many entries as
     the window has days, however active the driver is; registered drivers add an
-    empty list.  The row then expands to the entries and, without sums, to the days
-    that it lacks (``array_except`` over the window's literal day list).  Dense rows
-    arise after the last exchange, and the daily sums are read once.
+    empty list.  The row then expands to its entries and, as rows of literal zeros, to
+    the days that it lacks (``array_except`` over the window's literal day list).  Dense
+    rows arise after the last exchange, and the daily sums are computed once.
     """
     spark = daily.sparkSession
     # the exchange carries the sparse days but feeds an output that is larger by the window's length: its
@@ -143,33 +143,33 @@ def dense_activity(daily: DataFrame, registered: DataFrame, cfg: EngagementConfi
                   .repartition(parts, "driver_id").groupBy("driver_id")
                   .agg(F.collect_list("entry").alias("entries")))  # NULLs are skipped
     window = F.array(*[F.lit(k) for k in cfg.window_day_keys()]).cast("array<int>")
-    kind = per_driver.schema["entries"].dataType
-    entries = kind.simpleString()  # the same type with nulls allowed
-    no_sums = F.array().cast(f"array<{kind.elementType['sums'].dataType.simpleString()}>")
-    idle = F.arrays_zip(F.array_except(window, F.col("entries.day")), no_sums)
-    day = (per_driver.select("driver_id", F.explode(F.concat(F.col("entries").cast(entries), idle.cast(entries))).alias("entry"))
-           .select("driver_id", F.col("entry.day").alias("activity_date_key"), F.col("entry.sums").alias("s")))
-
-    def total(c: str) -> Column:
-        return F.coalesce(F.col(f"s.{c}"), F.lit(0).cast(DISTANCE if c == "route_distance" else MONEY if c == "revenue" else "bigint"))
+    # both branches read the same exchange: Spark runs it once and reuses it
+    active_days = (per_driver.select("driver_id", F.explode("entries").alias("entry"))
+                   .select("driver_id", F.col("entry.day").alias("activity_date_key"), "entry.sums.*"))
+    idle_days = per_driver.select("driver_id", F.explode(F.array_except(window, F.col("entries.day"))).alias("activity_date_key"))
 
     def rate(guard: str, value: Column) -> Column:
         # NULL (not 0) where trips were made but no fare of the day is known
-        return F.when(F.col(f"s.{guard}") > 0, value).otherwise(F.lit(0).cast(RATE))
-
-    count = lambda c: F.col(f"s.{c}")
-    return day.select(
-        "driver_id", "activity_date_key", _key_to_date(F.col("activity_date_key")).alias("activity_date"),
-        total("route_distance").alias("total_route_distance"),
-        *[total(c).alias(c) for c in ("total_offers", "offers_accepted", "offers_cancelled", "offers_read",
-                                      "total_bookings", "completed_trips", "driver_abort_count", "no_driver_found_count")],
-        total("revenue").alias("total_est_revenue"),
-        total("missing_driver_offers_records").alias("missing_driver_offers_records"),
-        total("missing_driver_bookings_records").alias("missing_driver_bookings_records"),
-        rate("total_offers", count_ratio(count("offers_accepted"), count("total_offers"), 2)).alias("offer_acceptance_rate"),
-        rate("total_bookings", count_ratio(count("completed_trips"), count("total_bookings"), 2)).alias("booking_completion_rate"),
-        rate("total_bookings", count_ratio(count("driver_abort_count"), count("total_bookings"), 2)).alias("driver_abort_rate"),
-        rate("completed_trips", money_ratio(count("revenue"), count("completed_trips"), 2)).alias("avg_est_revenue_per_trip"))
+        return F.when(F.col(guard) > 0, value).otherwise(F.lit(0).cast(RATE))
+
+    def total(c: str, kind: str) -> Column:
+        return F.coalesce(F.col(c), F.lit(0).cast(kind))
+
+    measures = {"total_route_distance": (DISTANCE, total("route_distance", DISTANCE))}
+    measures |= {c: ("bigint", F.col(c)) for c in ("total_offers", "offers_accepted", "offers_cancelled", "offers_read", "total_bookings",
+                                                   "completed_trips", "driver_abort_count", "no_driver_found_count")}
+    measures |= {
+        "total_est_revenue": (MONEY, total("revenue", MONEY)),
+        "missing_driver_offers_records": ("bigint", F.col("missing_driver_offers_records")),
+        "missing_driver_bookings_records": ("bigint", F.col("missing_driver_bookings_records")),
+        "offer_acceptance_rate": (RATE, rate("total_offers", count_ratio(F.col("offers_accepted"), F.col("total_offers"), 2))),
+        "booking_completion_rate": (RATE, rate("total_bookings", count_ratio(F.col("completed_trips"), F.col("total_bookings"), 2))),
+        "driver_abort_rate": (RATE, rate("total_bookings", count_ratio(F.col("driver_abort_count"), F.col("total_bookings"), 2))),
+        "avg_est_revenue_per_trip": (RATE, rate("completed_trips", money_ratio(F.col("revenue"), F.col("completed_trips"), 2))),
+    }
+    keys = ("driver_id", "activity_date_key", _key_to_date(F.col("activity_date_key")).alias("activity_date"))
+    return (active_days.select(*keys, *[value.alias(c) for c, (_, value) in measures.items()])
+            .unionByName(idle_days.select(*keys, *[F.lit(0).cast(kind).alias(c) for c, (kind, _) in measures.items()])))
 
 
 def agg_driver_activity(dim_active: DataFrame, fact_offers: DataFrame, fact_bookings: DataFrame,
