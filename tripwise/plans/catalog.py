@@ -126,10 +126,11 @@ def _late_references(L: Layers) -> DataFrame:
 def _raw_replay(L: Layers) -> DataFrame:
     """Bookings landed in two loads, the second offering the first one's files again; staged from the raw table.
 
-    ``raw_copies``: how many raw rows the id has, over all landed files.
+    ``raw_copies``: how many raw rows the id has, over all landed files; 0 for the NULL id, which equals none.
     """
     root = f"{shared_dir(L.spark)}/landing/{uuid.uuid4().hex}"
-    half = F.pmod(F.crc32(F.col("id").cast("binary")), F.lit(2)) == 0
+    # rows without an id go with the second half
+    half = F.coalesce(F.pmod(F.crc32(F.col("id").cast("binary")), F.lit(2)) == 0, F.lit(False))
     b = L.raw_bookings()
     write_raw_csv(b.filter(half), f"{root}/offered/a", "bookings", compression="gzip")
     write_raw_csv(b.filter(~half), f"{root}/offered/b", "bookings", compression="gzip")
@@ -138,7 +139,8 @@ def _raw_replay(L: Layers) -> DataFrame:
     landing.land([f"{root}/offered/a", f"{root}/offered/b"], "load-2", "2026-06-01 00:00:00")
     raw = landing.raw()
     copies = raw.groupBy(F.col("id").alias("booking_id")).agg(F.count(F.lit(1)).alias("raw_copies"))
-    return staging.clean_bookings(raw, L.valid_drivers(), L.cfg).join(copies, "booking_id", "left")
+    return staging.clean_bookings(raw, L.valid_drivers(), L.cfg).join(copies, "booking_id", "left").withColumn(
+        "raw_copies", F.coalesce("raw_copies", F.lit(0).cast("bigint")))
 
 
 def _fact_bookings_asof(L: Layers) -> DataFrame:

@@ -51,7 +51,7 @@ DRIVER_OLD_EXPRS = {
 DRIVER_OLD_WHERE = "k%50=0"
 
 BOOKING_EXPRS = {
-    "id": "cast(o_orderkey as string)",
+    "id": "case when o_orderkey%499=0 then ' ' when o_orderkey%997=0 then null else cast(o_orderkey as string) end",
     "request_date": ("case when o_orderkey%101=0 then 'null' when o_orderkey%103=0 then 'not-a-date' "
                      "when o_orderkey%3001=0 then '2005-01-01 00:00:00' "
                      "else cast(o_orderdate + interval 25 years as string) end"),
@@ -68,7 +68,8 @@ BOOKING_EXPRS = {
 }
 
 OFFER_EXPRS = {
-    "id": "concat(cast(l_orderkey as string),'-',cast(l_linenumber as string))",
+    "id": ("case when l_orderkey%503=0 then '' when l_orderkey%1009=0 then null "
+           "else concat(cast(l_orderkey as string),'-',cast(l_linenumber as string)) end"),
     "datecreated": ("case when l_orderkey%107=0 then 'bad' when l_orderkey%3001=0 then '2005-01-01 00:00:00' "
                     "else cast(l_shipdate + interval 25 years as string) end"),
     "bookingid": "case when l_orderkey%109=0 then null else cast(l_orderkey as string) end",
