@@ -1,5 +1,7 @@
 """Queries that SQL cannot express, against brute force, a public library, or held-out labels."""
 
+import math
+import random
 import re
 import zlib
 from collections import defaultdict
@@ -10,7 +12,7 @@ import pytest
 from conftest import SF_SMALL
 
 import corpus_pipeline
-from tripwise.llm import ngram_join, paragraph_dedup, quality, sentencepiece_codec
+from tripwise.llm import ngram_join, paragraph_dedup, quality, secret_scan, sentencepiece_codec
 from tripwise.llm.components import connected_components
 from tripwise.llm.decontaminate import SuffixAutomaton
 from tripwise.llm.line_dedup import op2_line_dedup
@@ -237,3 +239,45 @@ def test_automaton_against_window_search():
         automaton = SuffixAutomaton(items, window)
         spans, ids, _ = automaton.scan(doc)
         assert {i for a, b in spans for i in range(a, b)} == hit and {automaton.ids[k] for k in ids} == found
+
+
+def _entropy_spans(text):
+    """Window by window, with counts taken anew."""
+    base = [(m.start(), 2, m.end()) for m in re.finditer("[0-9a-f]{24,}", text)]
+    base += [(m.start(), 1, m.end()) for m in re.finditer("AKIA[A-Z0-9]+", text) if m.end() - m.start() >= 20]
+    found = set()
+    for candidate in re.finditer(secret_scan.CANDIDATE, text):
+        if any(re.fullmatch(p, candidate[0]) for p in secret_scan.ALLOWED):
+            continue
+        for pattern, least in secret_scan.CLASSES:
+            for run in re.finditer(pattern, candidate[0]):
+                spans, begin = [], candidate.start() + run.start()
+                for i in range(len(run[0]) - 19):
+                    window = run[0][i:i + 20]
+                    if -sum(window.count(c) / 20 * math.log2(window.count(c) / 20) for c in set(window)) >= least - 1e-9:
+                        if spans and spans[-1][1] >= begin + i:
+                            spans[-1][1] = begin + i + 20
+                        else:
+                            spans.append([begin + i, begin + i + 20])
+                found |= {(a, 3, b) for a, b in spans}
+    return sorted(base + [x for x in found if not any(b[0] <= x[0] and x[2] <= b[2] for b in base)])
+
+
+def test_secret_spans_against_window_search(spark):
+    draw = random.Random(3)
+    letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
+    texts = [None, "", "a" * 40, letters, "é " + letters[::-1] * 2]
+    for size in (19, 20, 21, 60, 700, 3000):  # few letters give windows on both sides of the limits
+        for few in (letters, letters[:14], letters[50:], "0123456789abcdef", "0123456789ABCDEF", "01234567abXY"):
+            texts.append(" ".join("".join(draw.choice(few) for _ in range(size)) for _ in range(2)))
+    texts.append(" ".join("%032x" % draw.getrandbits(128) for _ in range(1500)))  # more matches than one block gathers
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for row in secret_scan.scan(rows).collect():
+        assert [tuple(x) for x in row.sec_spans] == _entropy_spans(row.text or ""), row.doc_id
+
+
+def test_secret_scan_of_a_very_long_run(spark):
+    draw = random.Random(4)
+    run = "".join(draw.choice("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/") for _ in range(200_000))
+    row = secret_scan.scan(spark.createDataFrame([(1, run)], "doc_id long, text string")).first()
+    assert row.sec_base == [] and sum(x["end"] - x["start"] for x in row.sec_spans) > 100_000

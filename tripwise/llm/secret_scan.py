@@ -7,9 +7,9 @@ lengths of the matches and of the text between them, in code points.
 Entropy spans: a candidate is a run of 20 or more characters of the base-64 or
 URL-safe alphabet; within it each character class has its own runs (hexadecimal
 digits; all characters of the alphabet) and its own limit.  A window of 20
-characters moves over a run; the sum of c*log2(c) over the counts c of its
-characters changes by the character that enters and the one that leaves, and
-gives the window's Shannon entropy.  Windows at or above the limit are merged to
+characters moves over a run; the counts c of its characters and the sum of
+c*log2(c) change by the character that enters and the one that leaves, and
+give the window's Shannon entropy.  Windows at or above the limit are merged to
 spans.  Candidates on the allow list (UUIDs, text without digits or without
 letters, ascending alphabets) and spans inside a base match are left out.
 
@@ -41,6 +41,42 @@ ALLOWED = ("[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA
            "[^0-9]*", "[^A-Za-z]*", ".*(?i:0123456789abcdef|abcdefghijklmnopqrstuvwxyz).*")
 
 _SPAN = "array<struct<start:int,kind:int,end:int>>"
+#: spans gathered at once before they join the earlier ones
+BLOCK = 512
+#: the alphabet lies between these codes; a count takes so many bits (up to 31, and a window has 20 characters), a number holds so many counts
+FIRST, LAST, BITS, FIELDS = ord("+"), ord("z"), 5, 12
+#: whole units of entropy sums
+UNIT = 1 << 40
+
+
+def _let(value: Column, body) -> Column:
+    """``body`` of the value, which is computed once however often the body uses it."""
+    return F.transform(F.array(value), body)[0]
+
+
+def _collect(items: Column, zero: Column, step) -> Column:
+    """The spans that a fold over ``items`` gives; ``step(state, item)`` is a struct of the next ``state`` and the spans to ``add``.
+
+    Spans are gathered block by block, so appending does not copy all earlier ones each time.
+    """
+    none = F.array().cast(_SPAN)
+
+    def one(acc: Column, x: Column) -> Column:
+        return _let(step(acc["state"], x), lambda r: F.struct(r["state"].alias("state"), F.when(
+            F.size(r["add"]) > 0, F.concat(acc["out"], r["add"])).otherwise(acc["out"]).alias("out")))
+
+    def block(every: Column, acc: Column, at: Column) -> Column:
+        inner = F.aggregate(F.slice(every, at + 1, F.lit(BLOCK)), F.struct(acc["state"].alias("state"), none.alias("out")), one)
+        return _let(inner, lambda r: F.struct(r["state"].alias("state"), F.when(
+            F.size(r["out"]) > 0, F.concat(acc["out"], r["out"])).otherwise(acc["out"]).alias("out")))
+
+    return _let(items, lambda every: F.when(F.size(every) > 0, F.aggregate(
+        F.sequence(F.lit(0), F.size(every) - 1, F.lit(BLOCK)), F.struct(zero.alias("state"), none.alias("out")),
+        lambda acc, at: block(every, acc, at), lambda acc: acc["out"])).otherwise(none))
+
+
+def _span(start: Column, kind: int, end: Column) -> Column:
+    return F.struct(start.cast("int").alias("start"), F.lit(kind).alias("kind"), end.cast("int").alias("end"))
 
 
 def _positions(text: Column, pattern: str, matches: Column, kind: int) -> Column:
@@ -49,43 +85,54 @@ def _positions(text: Column, pattern: str, matches: Column, kind: int) -> Column
     lengths = F.zip_with(gaps, matches, lambda gap, match: F.struct(
         F.coalesce(F.char_length(gap), F.lit(0)).alias("gap"), F.char_length(match).alias("match")))
     # the last gap has no match
-    state = F.aggregate(
-        F.filter(lengths, lambda x: x["match"].isNotNull()),
-        F.struct(F.lit(0).alias("at"), F.array().cast(_SPAN).alias("spans")),
-        lambda acc, x: F.struct((acc["at"] + x["gap"] + x["match"]).alias("at"), F.concat(acc["spans"], F.array(F.struct(
-            (acc["at"] + x["gap"]).alias("start"), F.lit(kind).alias("kind"), (acc["at"] + x["gap"] + x["match"]).alias("end")))).alias("spans")),
-        lambda acc: acc["spans"])
-    return F.when(F.size(matches) > 0, state).otherwise(F.array().cast(_SPAN))
-
-
-def _count(window: Column, character: Column) -> Column:
-    return F.char_length(window) - F.char_length(F.replace(window, character, F.lit("")))
+    spans = _collect(F.filter(lengths, lambda x: x["match"].isNotNull()), F.lit(0), lambda at, x: F.struct(
+        (at + x["gap"] + x["match"]).alias("state"), F.array(_span(at + x["gap"], kind, at + x["gap"] + x["match"])).alias("add")))
+    return F.when(F.size(matches) > 0, spans).otherwise(F.array().cast(_SPAN))
 
 
 def _windows(run: Column, begin: Column, least: float) -> Column:
-    """Merged windows of a run of characters whose entropy reaches ``least``; ``begin`` is the run's place."""
-    weight = F.array(*[F.lit(c * math.log2(c) if c else 0.0) for c in range(WINDOW + 2)])  # c * log2(c)
-    limit = WINDOW * (math.log2(WINDOW) - least) + 1e-9
-    w = lambda c: F.element_at(weight, c + 1)
-
-    def step(acc: Column, i: Column) -> Column:
-        entering, leaving = F.substring(run, i + 1, F.lit(1)), F.substring(run, i + 1 - WINDOW, F.lit(1))
-        full = i >= WINDOW
-        # the window before this step, then without the character that leaves
-        before = F.substring(run, F.greatest(i - WINDOW, F.lit(0)) + 1, F.least(i, F.lit(WINDOW)))
-        rest = F.when(full, F.substring(before, 2, WINDOW)).otherwise(before)
-        out = F.when(full, w(_count(before, leaving) - 1) - w(_count(before, leaving))).otherwise(F.lit(0.0))
-        into = w(_count(rest, entering) + 1) - w(_count(rest, entering))
-        total = acc["total"] + out + into
-        start, end = begin + i + 1 - WINDOW, begin + i + 1
-        last = F.try_element_at(acc["spans"], F.lit(-1))
-        joined = F.when(last["end"] >= start, F.concat(F.slice(acc["spans"], 1, F.size(acc["spans"]) - 1), F.array(F.struct(
-            last["start"].alias("start"), F.lit(3).alias("kind"), end.alias("end"))))).otherwise(
-            F.concat(acc["spans"], F.array(F.struct(start.alias("start"), F.lit(3).alias("kind"), end.alias("end")))))
-        return F.struct(total.alias("total"), F.when((i + 1 >= WINDOW) & (total <= limit), joined).otherwise(acc["spans"]).alias("spans"))
-
-    return F.aggregate(F.sequence(F.lit(0), F.char_length(run) - 1),
-                       F.struct(F.lit(0.0).alias("total"), F.array().cast(_SPAN).alias("spans")), step, lambda acc: acc["spans"])
+    """Merged windows of a run of characters whose entropy reaches ``least``; ``begin`` is the run's place.
+
+    The counts of a window's characters are fields of ``BITS`` bits in a few numbers, changed by the character
+    that enters and the one that leaves; so is the sum of c*log2(c), in whole units of 1 / ``UNIT``.
+    """
+    weight = [round(c * math.log2(c) * UNIT) if c else 0 for c in range(WINDOW + 2)]
+    rise = F.array(*[F.lit(after - before).cast("long") for before, after in zip(weight, weight[1:])])  # from c to c + 1
+    limit = F.lit(round((WINDOW * (math.log2(WINDOW) - least) + 1e-9) * UNIT)).cast("long")
+    numbers = (LAST - FIRST) // FIELDS + 1
+    add = lambda code, j: F.when(code["number"] == j, code["one"]).otherwise(F.lit(0).cast("long"))
+
+    def coded(x: Column) -> Column:
+        """Which number and which bits of it count a character, and a count of one there."""
+        code = F.ascii(x) - FIRST
+        return _let(F.struct(F.call_function("div", code, F.lit(FIELDS)).cast("int").alias("number"), (code % FIELDS * BITS).alias("place")), lambda c: F.struct(
+            c["number"].alias("number"), c["place"].alias("place"), F.call_function("shiftleft", F.lit(1).cast("long"), c["place"]).alias("one")))
+
+    def count(counts: Column, code: Column) -> Column:
+        return F.call_function("shiftright", F.get(counts, code["number"]), code["place"]).bitwiseAND(F.lit((1 << BITS) - 1)).cast("int")
+
+    def step(state: Column, i: Column, codes: Column) -> Column:
+        entering, leaving = F.get(codes, i), F.get(codes, i - WINDOW)  # null past an end
+        left = F.when(leaving.isNotNull(), F.get(rise, count(state["counts"], leaving) - 1)).otherwise(F.lit(0).cast("long"))
+        same = F.when(leaving == entering, F.lit(1)).otherwise(F.lit(0))
+        came = F.when(entering.isNotNull(), F.get(rise, count(state["counts"], entering) - same)).otherwise(F.lit(0).cast("long"))
+        counts = F.transform(state["counts"], lambda x, j: x + add(entering, j) - add(leaving, j))
+
+        def settled(total: Column) -> Column:
+            high = entering.isNotNull() & (i + 1 >= WINDOW) & (total <= limit)
+            start, end, last = begin + i + 1 - WINDOW, begin + i + 1, state["last"]
+            apart = last.isNotNull() & ((high & (last["end"] < start)) | entering.isNull())  # after the last character too
+            return F.struct(
+                F.struct(total.alias("total"), counts.alias("counts"), F.when(high, F.when(
+                    last["end"] >= start, _span(last["start"], 3, end)).otherwise(_span(start, 3, end))).otherwise(last).alias("last")).alias("state"),
+                F.when(apart, F.array(last)).otherwise(F.array().cast(_SPAN)).alias("add"))
+
+        return _let(state["total"] - left + came, settled)
+
+    zero = F.struct(F.lit(0).cast("long").alias("total"), F.array(*[F.lit(0).cast("long")] * numbers).alias("counts"),
+                    F.lit(None).cast("struct<start:int,kind:int,end:int>").alias("last"))
+    return _let(F.transform(F.split(run, ""), coded), lambda codes: _collect(
+        F.sequence(F.lit(0), F.size(codes)), zero, lambda state, i: step(state, i, codes)))
 
 
 def _entropy_spans(candidate: Column, begin: Column) -> Column:
@@ -116,9 +163,12 @@ def scan(df: DataFrame, text: str = "text") -> DataFrame:
     found = found.select(*df.columns, "tw_candidate", F.array_sort(base).alias("sec_base"), placed.alias("tw_placed"))
     entropy = F.flatten(F.zip_with("tw_candidate", "tw_placed", lambda c, at: F.when(
         _is_allowed(c), F.array().cast(_SPAN)).otherwise(_entropy_spans(c, at["start"]))))
-    own = F.filter(F.coalesce(F.when(F.col("tw_placed").isNotNull(), entropy), F.array().cast(_SPAN)), lambda x: ~F.exists(
-        "sec_base", lambda b: (b["start"] <= x["start"]) & (x["end"] <= b["end"])))
-    return found.select(*df.columns, "sec_base", F.array_sort(F.concat("sec_base", own)).alias("sec_spans"))
+    every = F.array_sort(F.concat("sec_base", F.coalesce(F.when(F.col("tw_placed").isNotNull(), entropy), F.array().cast(_SPAN))))
+    # in this order all base spans that may hold an entropy span stand before it: the furthest end so far decides
+    kept = _collect(every, F.lit(0), lambda far, x: F.struct(
+        F.when(x["kind"] < 3, F.greatest(far, x["end"])).otherwise(far).alias("state"),
+        F.when((x["kind"] < 3) | (x["end"] > far), F.array(x)).otherwise(F.array().cast(_SPAN)).alias("add")))
+    return found.select(*df.columns, "sec_base", kept.alias("sec_spans"))
 
 
 def _is_allowed(candidate: Column) -> Column:
