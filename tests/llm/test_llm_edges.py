@@ -5,7 +5,7 @@ import math
 import pytest
 
 import corpus_pipeline
-from tripwise.llm import ann, warc
+from tripwise.llm import ann, quality, warc
 from tripwise.llm.queries import QUERIES
 
 LONG = "alpha beta gamma delta " * 20_000
@@ -30,7 +30,7 @@ def folder(request, spark, tmp_path_factory):
         df.write.parquet(f"{path}/{name}.parquet")
 
     write("documents", [(*r, None if r[1] is None else len(r[1])) for r in ODD], "doc_id long, text string, lang string, source string, n_chars long",
-          "key", "size", "words", "line", "n_words", "component_id", "score", "id")
+          "key", "size", "words", "line", "n_words", "component_id", "score", "id", "qc_score", "LD_removed", "dc_text", "dc_words")
     write("labels", [(1, 1, 0), (1, 0, 1), (2, 1, None), (3, None, None), (None, 1, 1), (99, 0, 0)], "doc_id long, quality int, toxic int", "score")
     write("benchmark", [(1, "other line"), (2, None), (3, ""), (4, "of them other line"), (None, "the mark")], "item_id long, text string", "doc_id")
     write("pages", [(1, "http://a.net/x", "<p>" + "a" * 200), (2, None, "<p>" + "a" * 200), (2, "https://Ex.example.com/de/1", None), (3, "nohost", ""),
@@ -93,6 +93,27 @@ def test_pipeline_stages(spark, folder):
     assert [name for name, _ in corpus_pipeline.STAGES] and corpus_pipeline.ORACLE_SQL is None
 
 
+def test_null_page_ids_revisit_the_smallest_id(spark, tmp_path):
+    big, other = "a" * 200, "b" * 200
+    rows = [(1, big), (None, big), (7, big), (None, other), (None, other), (3, "s"), (None, "s")]
+    spark.createDataFrame([(i, "http://h/x", t) for i, t in rows], "page_id long, url string, html string").write.parquet(f"{tmp_path}/pages.parquet")
+    got = sorted((str(r.page_id), r.payload_bytes, r.record_type, r.refers_to) for r in QUERIES["op4_warc"](spark, str(tmp_path)).collect())
+    assert got == sorted([("1", 200, "response", None), ("None", 200, "revisit", 1), ("7", 200, "revisit", 1), ("None", 200, "response", None),
+                          ("None", 200, "response", None), ("3", 1, "response", None), ("None", 1, "response", None)])
+
+
+def test_repeated_labelled_ids_are_collected_once(spark):
+    docs = spark.createDataFrame([(i % 4 + 1, f"text number {i} of some words") for i in range(400)], "doc_id long, text string")
+    labels = spark.createDataFrame([(1, 0), (2, 1), (3, 0), (4, 1)], "doc_id long, quality int")
+    seen = []
+    whole, quality.fit = quality.fit, lambda rows, marks: seen.append(len(rows)) or whole(rows, marks)
+    try:
+        quality.train(docs, labels, max_train=3)
+    finally:
+        quality.fit = whole
+    assert seen[0] <= 3
+
+
 def test_reader_rejects_magic_inside_payloads_and_broken_chains(spark, tmp_path):
     fake = "WARC/1.0\r\nWARC-Type: response\r\nContent-Length: 4\r\n\r\nabcd\r\n\r\n"
     pages = spark.createDataFrame([(i, f"http://h/{i}", f"{i} " + fake * 40) for i in range(30)], "page_id long, url string, html string")

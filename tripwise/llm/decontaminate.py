@@ -28,6 +28,8 @@ from pyspark.sql import types as T
 from tripwise.llm.common import add_columns, table, utf8
 
 WINDOW = 13
+#: begins the names of added columns
+PREFIX = "dc_"
 #: the share of hit words from which a document counts as contaminated: 1 in 20
 COVERAGE_DIVISOR = 20
 #: words of all items together; the automaton goes to every executor, so its size is checked
@@ -195,18 +197,19 @@ def build_automaton(items: DataFrame, item_id: str, item_text: str, window: int,
 
 
 def decontaminate(docs: DataFrame, items: DataFrame, text: str = "text", item_id: str = "item_id",
-                  item_text: str = "text", window: int = WINDOW, clean_text: bool = True) -> DataFrame:
+                  item_text: str = "text", window: int = WINDOW, clean_text: bool = True, prefix: str = PREFIX) -> DataFrame:
     """Every row of ``docs`` with what it shares with the items.
 
     Adds ``dc_words`` and ``dc_hit`` (words, hit words), ``dc_longest`` (longest
     match in words), ``dc_items`` (item ids as strings, sorted), ``dc_spans``
     (covered spans ``begin:end`` in words) and, with ``clean_text``, ``dc_text``
-    (the text without the covered spans; null for null).
+    (the text without the covered spans; null for null).  Another ``prefix`` than
+    ``dc_`` is for tables that have columns of these names.
     """
     automaton = docs.sparkSession.sparkContext.broadcast(build_automaton(items, item_id, item_text, window))
-    fields = [T.StructField("dc_words", T.LongType()), T.StructField("dc_hit", T.LongType()),
-              T.StructField("dc_longest", T.LongType()), T.StructField("dc_items", T.ArrayType(T.StringType())),
-              T.StructField("dc_spans", T.StringType())] + [T.StructField("dc_text", T.StringType())] * clean_text
+    fields = [T.StructField(prefix + "words", T.LongType()), T.StructField(prefix + "hit", T.LongType()),
+              T.StructField(prefix + "longest", T.LongType()), T.StructField(prefix + "items", T.ArrayType(T.StringType())),
+              T.StructField(prefix + "spans", T.StringType())] + [T.StructField(prefix + "text", T.StringType())] * clean_text
 
     def make():
         scanner = automaton.value
@@ -232,8 +235,9 @@ def decontaminate(docs: DataFrame, items: DataFrame, text: str = "text", item_id
     return add_columns(docs, fields, make, drop=() if clean_text else (text,))
 
 
-def is_contaminated():
-    return (F.col("dc_hit") > 0) & (COVERAGE_DIVISOR * F.col("dc_hit") >= F.col("dc_words"))
+def is_contaminated(prefix: str = PREFIX):
+    hit = F.col(prefix + "hit")
+    return (hit > 0) & (COVERAGE_DIVISOR * hit >= F.col(prefix + "words"))
 
 
 def op3_decontamination(spark, sf_dir: str) -> DataFrame:

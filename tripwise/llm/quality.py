@@ -18,8 +18,6 @@ the share of label 1 among the labels, or 1 without labels.
 
 from __future__ import annotations
 
-import zlib
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -184,20 +182,22 @@ def train(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str
         features = Features()
         return lambda batch: [pa.array([features(v).astype(np.int32).tobytes() for v in utf8(batch.column("tw_text"))], pa.binary())]
 
-    found = add_columns(chosen, [T.StructField("tw_features", T.BinaryType())], make, drop=("tw_text",)).collect()
-    found = sorted(found, key=lambda r: (zlib.crc32(str(r.tw_id).encode()), r.tw_id, r.tw_features))[:2 * max_train]
+    # a labelled id counts once, however many rows have it, so at most max_train rows are collected
+    found = (add_columns(chosen, [T.StructField("tw_features", T.BinaryType())], make, drop=("tw_text",))
+             .groupBy("tw_id").agg(F.first("tw_label").alias("tw_label"), F.min("tw_features").alias("tw_features"))
+             .orderBy(F.crc32(F.col("tw_id").cast("string").cast("binary")), "tw_id").collect())
     return fit([np.frombuffer(r.tw_features, np.int32) for r in found], np.array([r.tw_label for r in found], dtype=np.int64))
 
 
-def score(docs: DataFrame, model: NaiveBayesSvm, text: str = "text", with_text: bool = True) -> DataFrame:
-    """Every row with ``qc_score``, from the whole text alone."""
+def score(docs: DataFrame, model: NaiveBayesSvm, text: str = "text", with_text: bool = True, name: str = "qc_score") -> DataFrame:
+    """Every row with its score, from the whole text alone, in a new column ``name``."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def make():
         features, fitted = Features(), shared.value
         return lambda batch: [pa.array([fitted.score(features(v)) for v in utf8(batch.column(text))], pa.float64())]
 
-    return add_columns(docs, [T.StructField("qc_score", T.DoubleType())], make, drop=() if with_text else (text,))
+    return add_columns(docs, [T.StructField(name, T.DoubleType())], make, drop=() if with_text else (text,))
 
 
 def op5_quality(spark, sf_dir: str) -> DataFrame:

@@ -54,6 +54,9 @@ HEADER = 1 << 16
 def with_responses(pages: DataFrame, page_id: str = "page_id", html: str = "html") -> DataFrame:
     """Every row with ``payload``, ``digest``, ``size`` and ``refers_to`` (null for a response).
 
+    A row with a null id revisits the smallest id of its payload; where all ids are
+    null there is none, and all rows are responses.
+
     Payload groups are aggregated before they are joined, and groups of many rows
     are joined in parts, so one payload of a third of all rows is no single task.
     """
@@ -75,7 +78,7 @@ def with_responses(pages: DataFrame, page_id: str = "page_id", html: str = "html
     shared = bit_filter(groups.select("digest").distinct(), "digest")
     alone = rows.where(~shared).withColumn("refers_to", F.lit(None).cast(rows.schema[page_id].dataType))
     copies = (rows.where(shared).withColumn("part", dealt).join(groups.select("digest", "part", "first_id"), ["digest", "part"], "left").drop("part")
-              .withColumn("refers_to", F.when(F.col("first_id") != F.col(page_id), F.col("first_id"))).drop("first_id"))
+              .withColumn("refers_to", F.when(~F.col("first_id").eqNullSafe(F.col(page_id)), F.col("first_id"))).drop("first_id"))
     return copies.unionByName(alone)
 
 
@@ -251,7 +254,7 @@ WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
 f AS (SELECT page_id, strlen(html)::BIGINT AS payload_bytes, sha256(html) AS payload_digest,
              min(page_id) OVER (PARTITION BY sha256(html)) AS first_id FROM p)
 SELECT page_id, payload_bytes, payload_digest,
-       CASE WHEN payload_bytes >= {LEAST_BYTES} AND first_id <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
-       CASE WHEN payload_bytes >= {LEAST_BYTES} AND first_id <> page_id THEN first_id END AS refers_to
+       CASE WHEN payload_bytes >= {LEAST_BYTES} AND first_id IS DISTINCT FROM page_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN payload_bytes >= {LEAST_BYTES} AND first_id IS DISTINCT FROM page_id THEN first_id END AS refers_to
 FROM f
 """
