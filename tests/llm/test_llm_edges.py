@@ -5,7 +5,7 @@ import math
 import pytest
 
 import corpus_pipeline
-from tripwise.llm import ann, quality, warc
+from tripwise.llm import ann, quality, url_rules, warc
 from tripwise.llm.queries import QUERIES
 
 LONG = "alpha beta gamma delta " * 20_000
@@ -142,3 +142,18 @@ def test_search_in_several_blocks_is_the_same(spark):
     one = ann.search(vectors, queries).orderBy("query_id", "rank").collect()
     many = ann.search(vectors, queries, block_bytes=200).orderBy("query_id", "rank").collect()
     assert one == many and len(one) == 30
+
+
+def test_mined_rules_block_what_the_labels_follow(spark):
+    keys = "&".join(f"k{i}=1" for i in range(30))  # thirty tokens of the same baskets
+    urls = [(i, f"https://h{i % 7}.test/{'spam' if i % 4 == 1 else 'news'}/{i}" + (f"?{keys}" if i % 12 == 0 else "")) for i in range(600)]
+    more = [(1000, "https://x.test/a/spam/b"), (1001, "https://x.test/news/b"), (1002, "https://x.test/zz?k7=2"), (1003, None)]
+    pages = url_rules.parsed(spark.createDataFrame(urls + more, "page_id long, url string"))
+    bad = {i for i in range(600) if i % 4 == 1 or i % 12 == 0}  # a third, too few for a rule of what all pages share
+    labels = spark.createDataFrame([(i, 0 if i in bad else 1, 0) for i in range(600)], "doc_id long, quality int, toxic int")
+    rules = url_rules.mine(pages, labels)
+    got = {r.page_id: r.url_verdict for r in url_rules.judge(pages, rules).collect()}
+    assert all(got[i] == ("block" if i in bad else "allow") for i in range(600))
+    assert [got[i] for i in range(1000, 1004)] == ["block", "allow", "block", "allow"]
+    groups = {frozenset(t) for r in rules.collect() for t in r.tokens}
+    assert frozenset(f"query=k{i}" for i in range(30)) in groups and frozenset(["path=spam"]) in groups

@@ -5,8 +5,12 @@ kinds of its path and query).  URLs whose document carries a label are the
 baskets; a labelled-bad basket also holds the class token.  FP-growth finds the
 frequent token sets, and rules ``tokens => bad`` are kept when they reach the
 support and confidence and no rule with fewer of the same tokens does as well.
-The kept rules form an inverted index from each rule's rarest token; a URL looks
-up its own tokens there and a rule fires when all its tokens are present.
+Tokens that stand in the same baskets are one item while mining (thirty query
+keys that always come together would else make 2^30 sets); a rule names all
+tokens of its items, and any of an item's tokens meets it, which is what the rules
+of the single tokens would say.  The kept rules form an inverted index from the
+tokens of each rule's rarest item; a URL looks up its own tokens there and a rule
+fires when all its items are met.
 
 A URL's document is the last whole number of its path.  Null URLs and URLs
 without "://" have an empty host and path, no given rule, and no tokens, so they
@@ -17,10 +21,10 @@ that no given rule fits is allowed.  Equal rows get equal verdicts.
 from __future__ import annotations
 
 from pyspark.ml.fpm import FPGrowth
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tripwise.llm.common import table
+from tripwise.llm.common import stored, table
 
 # fixed values of the contract: (verdict, host, path)
 RULES = (("block", "net", "/"), ("allow", "example.net", "/en/"), ("block", "example.com", "/de/"), ("allow", "org", "/fr/"))
@@ -74,7 +78,7 @@ def parsed(pages: DataFrame, url: str = "url") -> DataFrame:
 
 
 def mine(pages: DataFrame, labels: DataFrame, min_support: float = MIN_SUPPORT, min_confidence: float = MIN_CONFIDENCE) -> DataFrame:
-    """Rules (tokens, their rarest token, confidence, support) that lead to the bad class.
+    """Rules (tokens of each item, those of the rarest item, confidence, support) that lead to the bad class.
 
     At most 1/min_support single tokens are frequent for each token of a URL, which
     bounds what FP-growth holds on the driver; baskets are pre-aggregated nowhere
@@ -83,9 +87,23 @@ def mine(pages: DataFrame, labels: DataFrame, min_support: float = MIN_SUPPORT,
     bad = (F.max(F.coalesce(F.col("quality") == 0, F.lit(False)) | F.coalesce(F.col("toxic") == 1, F.lit(False))))
     marked = labels.where("doc_id IS NOT NULL AND (quality IS NOT NULL OR toxic IS NOT NULL)").groupBy("doc_id").agg(bad.alias("bad"))
     baskets = (pages.where("url_doc IS NOT NULL AND size(url_tokens) > 0").join(marked, F.col("url_doc") == F.col("doc_id"))
-               .select(F.when(F.col("bad"), F.array_append("url_tokens", F.lit(BAD))).otherwise(F.col("url_tokens")).alias("items")))
-    n = baskets.count()
+               .groupBy("url_tokens").agg(F.count("*").alias("n"), F.count_if("bad").alias("n_bad")))
+    baskets = stored(baskets, "url-baskets")
+    n = baskets.agg(F.sum("n")).first()[0] or 0
     least = min(1.0, max(min_support, MIN_BASKETS / n if n else 1.0))
+    # tokens of the same baskets are one item, named by the smallest of them
+    opened = baskets.select("url_tokens", "n", F.explode("url_tokens").alias("token"))
+    key = F.xxhash64("url_tokens")
+    places = (opened.groupBy("token").agg(F.sum("n").alias("n"), F.count("*").alias("sets"), F.bit_xor(key).alias("x"),
+                                          F.sum(key.cast("decimal(38,0)")).alias("s")).where(F.col("n") >= least * n))
+    of_sets = Window.partitionBy("sets", "x", "s")
+    named = stored(places.withColumn("item", F.min("token").over(of_sets)).select("token", "item"), "url-items")
+    items = (opened.join(named, "token").groupBy("url_tokens").agg(F.sort_array(F.collect_set("item")).alias("items")))
+    # every basket counts as often as its tokens occur; one whose tokens are all rare stays, for the shares
+    counted = baskets.join(items, "url_tokens", "left").select(F.coalesce("items", F.array().cast("array<string>")).alias("items"), "n", "n_bad")
+    repeated = lambda rows, times: rows.where(times > 0).withColumn("i", F.explode(F.sequence(F.lit(1).cast("long"), times))).select("items")
+    baskets = repeated(counted, F.col("n") - F.col("n_bad")).unionByName(
+        repeated(counted.withColumn("items", F.array_append("items", F.lit(BAD))), F.col("n_bad")))
     model = FPGrowth(itemsCol="items", minSupport=least, minConfidence=min_confidence).fit(baskets)
     rules = (model.associationRules.where(F.array_contains("consequent", BAD))
              .select(F.array_sort("antecedent").alias("tokens"), "confidence", "support"))
@@ -97,22 +115,26 @@ def mine(pages: DataFrame, labels: DataFrame, min_support: float = MIN_SUPPORT,
     alone = model.freqItemsets.where(F.size("items") == 1).select(F.col("items")[0].alias("token"), "freq")
     rarest = (rules.select("tokens", F.explode("tokens").alias("token")).join(alone, "token")
               .groupBy("tokens").agg(F.min_by("token", F.struct("freq", "token")).alias("rarest")))
-    return rules.join(pruned, "tokens", "left_anti").join(rarest, "tokens")
+    kept = rules.join(pruned, "tokens", "left_anti").join(rarest, "tokens")
+    members = named.groupBy("item").agg(F.sort_array(F.collect_list("token")).alias("members"))
+    return (kept.select("*", F.explode("tokens").alias("item")).join(members, "item").groupBy("tokens", "confidence", "support")
+            .agg(F.collect_list("members").alias("needs"), F.max(F.when(F.col("item") == F.col("rarest"), F.col("members"))).alias("rarest"))
+            .select(F.col("needs").alias("tokens"), "rarest", "confidence", "support"))
 
 
 def judge(pages: DataFrame, rules: DataFrame) -> DataFrame:
     """Every row with ``url_rule`` (given rule or null) and ``url_verdict``; ``pages`` is parsed.
 
-    Mined rules are matched through an inverted index: each rule stands under its
-    rarest token.  Distinct token sets are matched once, so many URLs of one host
+    Mined rules are matched through an inverted index: each rule stands under the
+    tokens of its rarest item.  Distinct token sets are matched once, so many URLs of one host
     are one lookup; the rules are joined by their size as Spark sees fit.
     """
     rule, verdict = given_rule(F.col("url_host"), F.col("url_path"))
     pages = pages.select("*", rule.alias("url_rule"), verdict.alias("tw_given"), F.xxhash64("url_tokens").alias("tw_set"))
-    index = rules.select(F.col("tokens").alias("needs"), F.col("rarest").alias("token"))
+    index = rules.select(F.col("tokens").alias("needs"), F.explode("rarest").alias("token"))
     distinct = pages.where("tw_given IS NULL AND size(url_tokens) > 0").groupBy("tw_set").agg(F.first("url_tokens").alias("have"))
     fired = (distinct.select("tw_set", "have", F.explode("have").alias("token")).join(index, "token")
-             .where(F.size(F.array_except("needs", "have")) == 0).select("tw_set").distinct().withColumn("tw_bad", F.lit(True)))
+             .where(F.forall("needs", lambda item: F.arrays_overlap(item, F.col("have")))).select("tw_set").distinct().withColumn("tw_bad", F.lit(True)))
     return (pages.join(fired, "tw_set", "left")
             .withColumn("url_verdict", F.coalesce("tw_given", F.when(F.col("tw_bad"), F.lit("block")), F.lit("allow")))
             .drop("tw_set", "tw_bad", "tw_given"))
