@@ -24,11 +24,23 @@ def scratch_path(spark: SparkSession, what: str) -> str:
     return f"{shared_dir(spark)}/{what}-{uuid.uuid4().hex}"
 
 
+#: with this on, Spark removes a query's shuffle files as soon as the query ends
+FREE_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def stored(df: DataFrame, what: str) -> DataFrame:
-    """The rows written as Parquet to the shared folder and read back (cuts lineage, survives lost executors)."""
-    path = scratch_path(df.sparkSession, what)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    """The rows written as Parquet to the shared folder and read back (cuts lineage, survives lost executors).
+
+    What the write shuffled is removed from the executors' disks when it has ended: later steps read the table.
+    """
+    spark = df.sparkSession
+    path, before = scratch_path(spark, what), spark.conf.get(FREE_SHUFFLES)
+    spark.conf.set(FREE_SHUFFLES, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(FREE_SHUFFLES, before)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def add_columns(df: DataFrame, fields: list[T.StructField],
