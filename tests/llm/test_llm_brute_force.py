@@ -83,6 +83,23 @@ def test_near_copy_stage_against_all_pairs(spark):
     assert got == set(sets) - {b for _, b in linked}
 
 
+def test_product_counts_all_parts_of_the_columns(spark):
+    """Pairs around the bound, and one row with more partners than a block of pairs takes."""
+    rng = np.random.default_rng(11)
+    base = rng.integers(-2**62, 2**62, 120)
+    sets = {0: set(base.tolist())}
+    for i in range(1, 701):
+        swapped = int(rng.integers(0, 25))
+        own = np.concatenate((rng.permutation(base)[swapped:], rng.integers(-2**62, 2**62, swapped)))
+        sets[i] = set(own[:len(own) - int(rng.integers(0, 10))].tolist())
+    rows = [(k, len(v), sorted(v), np.bincount([x % 64 for x in v], minlength=64).tolist()) for k, v in sets.items()]
+    matrix = spark.createDataFrame(rows, "key long, size long, columns array<long>, blocks array<int>")
+    pairs = [(0, i) for i in range(1, 701)] + [(i, i + 1) for i in range(1, 700)]
+    want = {(a, b) for a, b in pairs if 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b])}
+    got = ngram_join.product(spark.createDataFrame(pairs, "a long, b long"), matrix, 80).collect()
+    assert 0 < len(want) < len(pairs) and len(got) == len(want) and {(r.a, r.b) for r in got} == want
+
+
 def test_components_of_a_long_path(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(300)] + [(1000, 1001), (1001, 1000), (7, 7)], "a long, b long")
     got = {r.vertex: r.component for r in connected_components(edges).collect()}

@@ -6,17 +6,19 @@ one row of the incidence matrix.  Two rows can only link if their overlap reache
 be its own alone.  Rows beyond that bound leave (first on a fixed share of the
 columns chosen by hash, then on all), which empties most of the matrix.
 
-Of the rows left, the product is accumulated over each row's rarest columns
+Which entries of the product can matter is told by each row's rarest columns
 (``size - ceil(t * size) + 1`` of them: two rows that link share one).  Within a
-column, rows are first paired with one of them only, chosen alike in all columns;
-pairs are checked against the size bound and then exactly, on whole rows.  What
-that links is one component.  Pairs of rows in different components are
-accumulated with their counts, and go on to the exact product only where the
-count and what lies outside the rare columns can still reach the bound.  So no
-link is lost, and copies of one text never make all their pairs.
-
-The exact products run over blocks of pairs; each block holds the rows of its
-pairs.  Null and empty texts have no n-grams and link with nothing; rows with a
+column, rows are first paired with one of them only, chosen alike in all columns.
+What that links is one component; then pairs of rows in different components
+follow.  So no link is lost, and copies of one text never make all their pairs.
+
+The entries are accumulated over parts of the columns in turn: the cells of a
+pair's two rows meet by column, and the columns that they share are counted.
+After each part, pairs go whose count, with what their rows' sizes in the blocks of
+columns to come allow, cannot reach the overlap that both sizes need; the count
+over all parts is the overlap.  The pairs of one row are dealt into blocks.
+
+Null and empty texts have no n-grams and link with nothing; rows with a
 null id get a size and no component.  Equal ids are one document in the links.
 N-grams are compared by 64-bit hashes.
 """
@@ -31,14 +33,16 @@ from pyspark.sql import types as T
 
 from tripwise.llm.common import add_columns, stored, table, utf8
 from tripwise.llm.components import connected_components
-from tripwise.llm.set_pairs import least_overlap, linked, needed_overlap
+from tripwise.llm.set_pairs import PAIRS_PER_TASK, least_overlap, needed_overlap
 from tripwise.llm.words import distinct, mix, shingles, white_space_splitter
 
 NGRAM, PERCENT = 3, 90
 #: one in so many columns is looked at first
 FIRST_SHARE = 4
-#: blocks of columns of the coarse product
+#: blocks of columns whose sizes bound the product
 COLUMN_BLOCKS = 64
+#: blocks of columns that one part of the product takes
+PART_BLOCKS = 16
 
 
 def _key(numbers: np.ndarray) -> int:
@@ -95,6 +99,36 @@ def _within_bound(rows: DataFrame, cells: DataFrame, percent: int) -> DataFrame:
             .where(F.coalesce("own", F.lit(0)) <= F.col("size") - least_overlap(F.col("size"), percent)).select("key", "size"))
 
 
+def _at_most(first: int):
+    """The columns that two rows can share from block ``first`` on, by their sizes in the blocks."""
+    rest = lambda name: F.slice(name, first + 1, COLUMN_BLOCKS)
+    return F.aggregate(F.zip_with(rest("blocks_a"), rest("blocks_b"), lambda x, y: F.least(x, y)), F.lit(0), lambda total, x: total + x)
+
+
+def product(pairs: DataFrame, matrix: DataFrame, percent: int) -> DataFrame:
+    """Of the pairs (a, b) of keys those that link, by their overlaps accumulated over the matrix (key, size, columns, blocks)."""
+    begins = range(0, COLUMN_BLOCKS, PART_BLOCKS)
+    deals = pairs.groupBy("a").agg(F.floor((F.count("*") - 1) / PAIRS_PER_TASK).cast("int").alias("last"))
+    dealt = pairs.join(deals, "a").select("a", F.pmod(F.xxhash64("b"), F.col("last") + 1).cast("int").alias("deal"), "b")
+    of = lambda name: matrix.select(F.col("key").alias(name), F.col("size").alias("size_" + name), F.col("blocks").alias("blocks_" + name))
+    first = dealt.select("a", "deal").distinct().join(of("a"), "a")
+    needed = needed_overlap(F.col("size_a"), F.col("size_b"), percent)
+    entries = (dealt.join(of("b"), "b").join(first, ["a", "deal"]).where(F.least("size_a", "size_b") >= needed)
+               .select("a", "deal", "b", needed.alias("needed"), F.array(*[_at_most(i) for i in (*begins, COLUMN_BLOCKS)]).alias("at_most"))
+               .where(F.col("at_most")[0] >= F.col("needed")).withColumn("overlap", F.lit(0).cast("long")))
+    entries = stored(entries, "ngram-entries")
+    for part, begin in enumerate(begins):
+        block = F.pmod("column", F.lit(COLUMN_BLOCKS))
+        inside = (block >= begin) & (block < begin + PART_BLOCKS)
+        cells = lambda name: matrix.select(F.col("key").alias(name), F.explode("columns").alias("column")).where(inside)
+        rows_a = entries.select("a", "deal").distinct().join(cells("a"), "a")
+        counts = (entries.select("a", "deal", "b").join(cells("b"), "b").join(rows_a, ["a", "deal", "column"])
+                  .groupBy("a", "b").agg(F.count("*").alias("n")))
+        entries = stored(entries.join(counts, ["a", "b"], "left").withColumn("overlap", F.col("overlap") + F.coalesce("n", F.lit(0)))
+                         .drop("n").where(F.col("overlap") + F.col("at_most")[part + 1] >= F.col("needed")), "ngram-entries")
+    return entries.select("a", "b")
+
+
 def link_rows(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", ngram: int = NGRAM, percent: int = PERCENT) -> tuple[DataFrame, DataFrame]:
     """(every row without its text, with ng_size and ng_key; components (key, component) of the linked keys)."""
     source = docs.select(doc_id, text)
@@ -129,7 +163,7 @@ def link_rows(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", ngram
     chief = rare.groupBy("column").agg(F.min(order).alias("chief")).select("column", F.col("chief.key").alias("a"), F.col("chief.size").alias("size_a"))
     near = (100 * F.least("size", "size_a") >= percent * F.greatest("size", "size_a"))
     pairs = stored(rare.join(chief, "column").where((F.col("key") != F.col("a")) & near).select("a", F.col("key").alias("b")).distinct(), "ngram-pairs")
-    links = stored(linked(pairs, whole, percent), "ngram-links")
+    links = product(pairs, whole, percent)
 
     # pairs across components, where bounds from sizes, places and blocks of columns leave a link possible
     named = connected_components(links)
@@ -146,7 +180,7 @@ def link_rows(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", ngram
             .select(F.col("key").alias("a"), F.col("key_b").alias("b")).distinct())
     tested = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     rest = stored(rest.join(tested, ["a", "b"], "left_anti"), "ngram-rest")
-    more = stored(linked(rest, whole, percent), "ngram-links")
+    more = product(rest, whole, percent)
     found = connected_components(links.union(more)) if more.head(1) else named
     return seen, found.select(F.col("vertex").alias("key"), "component")
 
