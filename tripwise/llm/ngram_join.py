@@ -142,6 +142,7 @@ def link_rows(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", ngram
 
     # whole rows of what is left, one document each
     chosen = left.join(rows.select("key", "id"), "key").where("id IS NOT NULL").select(F.col("id").alias(doc_id)).distinct()
+    chosen = stored(chosen, "ngram-chosen")  # of known size, so that texts are shuffled only where it is too large to broadcast
     whole = ngram_sets(source.join(chosen, doc_id, "left_semi"), ngram, 1, text).where("ng_key IS NOT NULL")
     whole = whole.select(F.col("ng_key").alias("key"), F.col("ng_size").alias("size"), F.col("ng_columns").alias("columns"), F.col("ng_blocks").alias("blocks"))
     whole = stored(whole.dropDuplicates(["key"]), "ngram-matrix")
