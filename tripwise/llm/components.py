@@ -1,9 +1,9 @@
 """Connected components of an edge table by alternating large-star and small-star steps.
 
-Every round is two joins-free aggregations over the edges; its result is stored in
-the shared folder, so lineage stays short and lost executors cost one round.  A
-vertex with very many neighbours is never gathered: only its smallest neighbour
-is computed, and the edges are rewritten by a join against that.
+Every round aggregates the edges twice and joins them with the results; it is stored
+in the shared folder, so lineage stays short and lost executors cost one round.  Of a
+vertex only its smallest neighbour is computed, never a list of neighbours; in the
+joins its edges meet in one task unless the session lets Spark split skewed partitions.
 """
 
 from __future__ import annotations
