@@ -12,9 +12,9 @@ column, rows are first paired with one of them only, chosen alike in all columns
 What that links is one component; then pairs of rows in different components
 follow.  So no link is lost, and copies of one text never make all their pairs.
 
-The entries are accumulated over parts of the columns in turn: the cells of a
-pair's two rows meet by column, and the columns that they share are counted.
-After each part, pairs go whose count, with what their rows' sizes in the blocks of
+The entries are accumulated over parts of the columns in turn: a pair's two rows
+meet with their columns of the part, and those that they share are counted, so
+that a part makes one row for each pair and not for each common column.  After each part, pairs go whose count, with what their rows' sizes in the blocks of
 columns to come allow, cannot reach the overlap that both sizes need; the count
 over all parts is the overlap.  The pairs of one row are dealt into blocks.
 
@@ -117,15 +117,22 @@ def product(pairs: DataFrame, matrix: DataFrame, percent: int) -> DataFrame:
                .select("a", "deal", "b", needed.alias("needed"), F.array(*[_at_most(i) for i in (*begins, COLUMN_BLOCKS)]).alias("at_most"))
                .where(F.col("at_most")[0] >= F.col("needed")).withColumn("overlap", F.lit(0).cast("long")))
     entries = stored(entries, "ngram-entries")
+
+    def inside(begin: int):
+        block = lambda column: F.pmod(column, F.lit(COLUMN_BLOCKS))
+        return F.filter("columns", lambda column: (block(column) >= begin) & (block(column) < begin + PART_BLOCKS))
+
+    # the rows in question, a list of columns for each part
+    wanted = entries.select(F.explode(F.array("a", "b")).alias("key")).distinct()
+    parts = stored(matrix.join(wanted, "key", "left_semi").select("key", *[
+        inside(begin).alias(f"part_{begin}") for begin in begins]), "ngram-parts")
     for part, begin in enumerate(begins):
-        block = F.pmod("column", F.lit(COLUMN_BLOCKS))
-        inside = (block >= begin) & (block < begin + PART_BLOCKS)
-        cells = lambda name: matrix.select(F.col("key").alias(name), F.explode("columns").alias("column")).where(inside)
+        cells = lambda name: parts.select(F.col("key").alias(name), F.col(f"part_{begin}").alias(f"cells_{name}"))
         rows_a = entries.select("a", "deal").distinct().join(cells("a"), "a")
-        counts = (entries.select("a", "deal", "b").join(cells("b"), "b").join(rows_a, ["a", "deal", "column"])
-                  .groupBy("a", "b").agg(F.count("*").alias("n")))
-        entries = stored(entries.join(counts, ["a", "b"], "left").withColumn("overlap", F.col("overlap") + F.coalesce("n", F.lit(0)))
-                         .drop("n").where(F.col("overlap") + F.col("at_most")[part + 1] >= F.col("needed")), "ngram-entries")
+        entries = stored(entries.join(cells("b"), "b").join(rows_a, ["a", "deal"])
+                         .withColumn("overlap", F.col("overlap") + F.size(F.array_intersect("cells_a", "cells_b")))
+                         .where(F.col("overlap") + F.col("at_most")[part + 1] >= F.col("needed"))
+                         .select("a", "deal", "b", "needed", "at_most", "overlap"), "ngram-entries")
     return entries.select("a", "b")
 
 
