@@ -1,5 +1,8 @@
 """Batches of a bounded length, and products that make one row for each pair."""
 
+import itertools
+import random
+
 import pyarrow as pa
 from pyspark.sql import types as T
 
@@ -28,3 +31,33 @@ def test_product_joins_no_row_per_common_column(spark, monkeypatch):
     got = ngram_join.product(spark.createDataFrame([(0, 1), (0, 2), (0, 3)], "a long, b long"), matrix, 97).collect()
     assert {(r.a, r.b) for r in got} == {(0, 1)}
     assert len(plans) == 1 + ngram_join.COLUMN_BLOCKS // ngram_join.PART_BLOCKS and not any("explode" in p for p in plans)
+
+
+def test_near_copies_do_not_all_meet(spark, monkeypatch):
+    """Of a group of near copies few pairs are compared, and the components are those of all pairs."""
+    rng = random.Random(5)
+    texts, n = [], 160
+    for _ in range(n):
+        words = [f"w{i}" for i in range(120)]
+        for place in rng.sample(range(10, 110), rng.choice((1, 1, 2, 2, 3))):
+            words[place] = f"x{rng.randrange(4)}"
+        texts.append(" ".join(words))
+    met = []
+    product = ngram_join.product
+
+    def counted(pairs, matrix, percent):
+        met.append(pairs.count())
+        return product(pairs, matrix, percent)
+
+    monkeypatch.setattr(ngram_join, "product", counted)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r.component_id for r in ngram_join.join_components(docs).collect()}
+    sets = [{tuple(t.split()[i:i + 3]) for i in range(118)} for t in texts]
+    links = [(a, b) for a, b in itertools.combinations(range(n), 2) if 100 * len(sets[a] & sets[b]) >= 90 * len(sets[a] | sets[b])]
+    least, before = list(range(n)), None
+    while least != before:
+        before = list(least)
+        for a, b in links:
+            least[a] = least[b] = min(least[a], least[b])
+    assert got == dict(enumerate(least)) and len(set(least)) > 1
+    assert sum(met[1:]) <= n, met

@@ -10,7 +10,11 @@ Which entries of the product can matter is told by each row's rarest columns
 (``size - ceil(t * size) + 1`` of them: two rows that link share one).  Within a
 column, rows are first paired with one of them only, chosen alike in all columns.
 What that links is one component; then pairs of rows in different components
-follow.  So no link is lost, and copies of one text never make all their pairs.
+follow, if parities of the rows (a column flips one bit, so two rows differ in no
+more bits than columns) leave a link possible.  Of these pairs, too, each row's
+first few are settled before the others, of which those inside one component then
+need no look.  So no link is lost, and copies of one text, exact or near, never make
+all their pairs.
 
 The entries are accumulated over parts of the columns in turn: a pair's two rows
 meet with their columns of the part, and those that they share are counted, so
@@ -43,6 +47,8 @@ FIRST_SHARE = 4
 COLUMN_BLOCKS = 64
 #: blocks of columns that one part of the product takes
 PART_BLOCKS = 16
+#: bits of a row's parity
+PARITY_BITS = 1024
 
 
 def _key(numbers: np.ndarray) -> int:
@@ -53,25 +59,35 @@ def _key(numbers: np.ndarray) -> int:
     return int(mix(total).view(np.int64)[0])
 
 
+def _parity(numbers: np.ndarray) -> np.ndarray:
+    """``PARITY_BITS`` bits, each flipped by every number that falls on it."""
+    place = (numbers >> np.uint64(16)) % np.uint64(PARITY_BITS)
+    return np.packbits(np.bincount(place.astype(np.int64), minlength=PARITY_BITS).astype(np.uint8) & 1).view(np.int64)
+
+
 def ngram_sets(docs: DataFrame, ngram: int, share: int | None, text: str = "text") -> DataFrame:
     """Every row without its text, with ``ng_size`` and ``ng_key`` of its n-gram set and, given a share,
     ``ng_columns``: those n-grams whose hash falls into one of ``share`` parts (1: all), and ``ng_blocks``:
-    how many n-grams lie in each block of columns."""
+    how many n-grams lie in each block of columns; whole rows (share 1) have ``ng_parity`` too."""
     fields = [T.StructField("ng_size", T.LongType()), T.StructField("ng_key", T.LongType())]
     if share is not None:
         fields += [T.StructField("ng_columns", T.ArrayType(T.LongType())), T.StructField("ng_blocks", T.ArrayType(T.IntegerType()))]
+    if share == 1:
+        fields.append(T.StructField("ng_parity", T.ArrayType(T.LongType())))
 
     def make():
         split = white_space_splitter()
 
         def compute(batch: pa.RecordBatch) -> list[pa.Array]:
-            sizes, keys, columns, counts = [], [], [], []
+            sizes, keys, columns, counts, parities = [], [], [], [], []
             for value in utf8(batch.column(text)):
                 own = distinct(shingles(split(value)[0], ngram)) if value else np.empty(0, np.uint64)
                 sizes.append(len(own))
                 keys.append(_key(own) if len(own) else None)
                 if share is not None:
                     counts.append(np.bincount((own % np.uint64(COLUMN_BLOCKS)).astype(np.int64), minlength=COLUMN_BLOCKS).astype(np.int32))
+                    if share == 1:
+                        parities.append(_parity(own))
                     columns.append(own.view(np.int64) if share == 1 else own[(own >> np.uint64(32)) % np.uint64(share) == 0].view(np.int64))
             out = [pa.array(sizes, pa.int64()), pa.array(keys, pa.int64())]
             if share is not None:
@@ -79,6 +95,8 @@ def ngram_sets(docs: DataFrame, ngram: int, share: int | None, text: str = "text
                 flat = np.concatenate(columns) if columns else np.empty(0, np.int64)
                 out.append(pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat, pa.int64())))
                 out.append(pa.array([c.tolist() for c in counts], pa.list_(pa.int32())))
+            if share == 1:
+                out.append(pa.array([p.tolist() for p in parities], pa.list_(pa.int64())))
             return out
 
         return compute
@@ -136,6 +154,22 @@ def product(pairs: DataFrame, matrix: DataFrame, percent: int) -> DataFrame:
     return entries.select("a", "b")
 
 
+def _some(pairs: DataFrame) -> DataFrame:
+    """Of the pairs (a, b) a few for each row: with its first and last partner, and with the first by two hashes."""
+    both = pairs.select(F.col("a").alias("v"), F.col("b").alias("n")).union(pairs.select("b", "a"))
+    first = lambda seed: F.min(F.struct(F.xxhash64("n", F.lit(seed)), "n"))["n"]
+    met = both.groupBy("v").agg(F.array(F.min("n"), F.max("n"), first(1), first(2)).alias("n")).select("v", F.explode("n").alias("n"))
+    return met.select(F.least("v", "n").alias("a"), F.greatest("v", "n").alias("b")).distinct()
+
+
+def _between(pairs: DataFrame, named: DataFrame) -> DataFrame:
+    """The pairs (a, b) whose rows are in different components."""
+    for name in ("a", "b"):
+        own = named.select(F.col("vertex").alias(name), F.col("component").alias("of_" + name))
+        pairs = pairs.join(own, name, "left").withColumn("of_" + name, F.coalesce("of_" + name, name))
+    return pairs.where("of_a <> of_b").select("a", "b")
+
+
 def link_rows(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", ngram: int = NGRAM, percent: int = PERCENT) -> tuple[DataFrame, DataFrame]:
     """(every row without its text, with ng_size and ng_key; components (key, component) of the linked keys)."""
     source = docs.select(doc_id, text)
@@ -151,7 +185,8 @@ def link_rows(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", ngram
     chosen = left.join(rows.select("key", "id"), "key").where("id IS NOT NULL").select(F.col("id").alias(doc_id)).distinct()
     chosen = stored(chosen, "ngram-chosen")  # of known size, so that texts are shuffled only where it is too large to broadcast
     whole = ngram_sets(source.join(chosen, doc_id, "left_semi"), ngram, 1, text).where("ng_key IS NOT NULL")
-    whole = whole.select(F.col("ng_key").alias("key"), F.col("ng_size").alias("size"), F.col("ng_columns").alias("columns"), F.col("ng_blocks").alias("blocks"))
+    whole = whole.select(F.col("ng_key").alias("key"), F.col("ng_size").alias("size"), F.col("ng_columns").alias("columns"), F.col("ng_blocks").alias("blocks"),
+                         F.col("ng_parity").alias("parity"))
     whole = stored(whole.dropDuplicates(["key"]), "ngram-matrix")
     cells = whole.select("key", F.explode("columns").alias("column"))
     left = stored(_within_bound(whole.select("key", "size"), cells, percent), "ngram-left")
@@ -173,23 +208,33 @@ def link_rows(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", ngram
     pairs = stored(rare.join(chief, "column").where((F.col("key") != F.col("a")) & near).select("a", F.col("key").alias("b")).distinct(), "ngram-pairs")
     links = product(pairs, whole, percent)
 
-    # pairs across components, where bounds from sizes, places and blocks of columns leave a link possible
+    # pairs across components, where bounds from sizes, places and parities leave a link possible
     named = connected_components(links)
     placed = rare.join(named.withColumnRenamed("vertex", "key"), "key", "left").withColumn("component", F.coalesce("component", "key"))
     mixed = placed.groupBy("column").agg(F.min("component").alias("one"), F.max("component").alias("two")).where("one <> two").select("column")
-    placed = stored(placed.join(mixed, "column", "left_semi").join(whole.select("key", "blocks"), "key"), "ngram-mixed")
-    other = placed.select("column", *[F.col(c).alias(c + "_b") for c in ("key", "size", "place", "component", "blocks")])
+    placed = stored(placed.join(mixed, "column", "left_semi").join(whole.select("key", "parity"), "key"), "ngram-mixed")
+    other = placed.select("column", *[F.col(c).alias(c + "_b") for c in ("key", "size", "place", "component", "parity")])
     needed = needed_overlap(F.col("size"), F.col("size_b"), percent)
-    at_most = F.aggregate(F.zip_with("blocks", "blocks_b", lambda x, y: F.least(x, y)), F.lit(0), lambda total, x: total + x)
+    flipped = [F.bit_count(F.col("parity")[i].bitwiseXOR(F.col("parity_b")[i])) for i in range(PARITY_BITS // 64)]
     rest = (placed.join(other, "column")
             .where((F.col("key") < F.col("key_b")) & (F.col("component") != F.col("component_b"))
                    & (F.least("size", "size_b") >= needed) & (F.col("size") - F.col("place") >= needed)
-                   & (F.col("size_b") - F.col("place_b") >= needed) & (at_most >= needed))
+                   & (F.col("size_b") - F.col("place_b") >= needed) & (sum(flipped[1:], flipped[0]) <= F.col("size") + F.col("size_b") - 2 * needed))
             .select(F.col("key").alias("a"), F.col("key_b").alias("b")).distinct())
     tested = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     rest = stored(rest.join(tested, ["a", "b"], "left_anti"), "ngram-rest")
-    more = product(rest, whole, percent)
-    found = connected_components(links.union(more)) if more.head(1) else named
+    # a few partners of each row first, which make one component of most near copies; then what is still between components
+    for last in (False, True):
+        if not rest.head(1):
+            break
+        some = rest if last else stored(_some(rest), "ngram-some")
+        more = product(some, whole, percent)
+        if more.head(1):
+            links = links.union(more)
+            named = connected_components(links)
+        if not last:
+            rest = stored(_between(rest.join(some, ["a", "b"], "left_anti"), named), "ngram-rest")
+    found = named
     return seen, found.select(F.col("vertex").alias("key"), "component")
 
 
