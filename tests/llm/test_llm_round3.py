@@ -6,7 +6,7 @@ import random
 import pyarrow as pa
 from pyspark.sql import types as T
 
-from tripwise.llm import common, ngram_join
+from tripwise.llm import common, ngram_join, sentencepiece_codec
 
 
 def test_add_columns_computes_few_rows_at_once(spark):
@@ -33,6 +33,20 @@ def test_product_joins_no_row_per_common_column(spark, monkeypatch):
     assert len(plans) == 1 + ngram_join.COLUMN_BLOCKS // ngram_join.PART_BLOCKS and not any("explode" in p for p in plans)
 
 
+def test_tasks_of_a_worker_share_an_encoder(spark):
+    vocabulary = sentencepiece_codec.Vocabulary.__new__(sentencepiece_codec.Vocabulary)
+    other = sentencepiece_codec.Vocabulary.__new__(sentencepiece_codec.Vocabulary)
+    vocabulary.unit = other.unit = "[a-z]+"
+    encoder = sentencepiece_codec.worker_encoder(vocabulary)
+    assert sentencepiece_codec.worker_encoder(vocabulary) is encoder and sentencepiece_codec.worker_encoder(other) is not encoder
+    # one task after another in one worker gives what fresh encoders give
+    texts = [f"word{i % 7} and some{i} more, text{i * i}" for i in range(40)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(5)
+    got = {r.doc_id: (r.sp_tokens, r.sp_same) for r in sentencepiece_codec.encode_texts(docs).collect()}
+    fresh = sentencepiece_codec.Vocabulary()
+    assert got == {i: (sentencepiece_codec.Encoder(fresh)([t])[0].tolist(), True) for i, t in enumerate(texts)}
+
+
 def test_near_copies_do_not_all_meet(spark, monkeypatch):
     """Of a group of near copies few pairs are compared, and the components are those of all pairs."""
     rng = random.Random(5)

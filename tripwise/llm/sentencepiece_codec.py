@@ -37,9 +37,9 @@ MODEL = os.path.join(os.environ.get("TOKENIZER_DIR", "/opt/tokenizers"), "piece_
 MARK = "▁"
 #: characters of text whose distinct units are sorted together
 STRETCH = 1 << 20
-#: units whose tokens a task keeps for later texts (twice as many for a while), and the longest that it keeps
+#: units whose tokens a worker keeps for later texts (twice as many for a while), and the longest that it keeps
 UNITS_KEPT, LONGEST_KEPT = 250_000, 40
-#: pairs of pieces whose merging a task remembers
+#: pairs of pieces whose merging a worker remembers
 PAIRS_KEPT = 300_000
 
 _LETTER, _STOP = "[A-Za-zÀ-ɏ]", "[.,!?;:]"
@@ -223,6 +223,16 @@ class Encoder:
         return out
 
 
+_ENCODERS: list[Encoder] = []
+
+
+def worker_encoder(vocabulary: Vocabulary) -> Encoder:
+    """The encoder of this Python worker, with what it keeps from earlier tasks with the same (broadcast) vocabulary."""
+    if not _ENCODERS or _ENCODERS[0].v is not vocabulary:
+        _ENCODERS[:] = [Encoder(vocabulary)]
+    return _ENCODERS[0]
+
+
 def decode(vocabulary: Vocabulary, tokens) -> str:
     """The text of token numbers."""
     text = b"".join([vocabulary.bytes[t] for t in tokens]).decode("utf-8", "replace")
@@ -235,7 +245,7 @@ def encode_texts(df: DataFrame, model: str = MODEL, text: str = "text", check: b
     fields = [T.StructField("sp_tokens", T.ArrayType(T.IntegerType()))] + [T.StructField("sp_same", T.BooleanType())] * check
 
     def make():
-        encoder = Encoder(vocabulary.value)
+        encoder = worker_encoder(vocabulary.value)
 
         def compute(batch: pa.RecordBatch) -> list[pa.Array]:
             texts = batch.column(text).to_pylist()
