@@ -3,10 +3,12 @@
 import itertools
 import random
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import types as T
 
-from tripwise.llm import common, ngram_join, sentencepiece_codec
+from tripwise.llm import common, ngram_join, paragraph_dedup, sentencepiece_codec
+from tripwise.llm.words import shingles
 
 
 def test_add_columns_computes_few_rows_at_once(spark):
@@ -75,3 +77,37 @@ def test_near_copies_do_not_all_meet(spark, monkeypatch):
             least[a] = least[b] = min(least[a], least[b])
     assert got == dict(enumerate(least)) and len(set(least)) > 1
     assert sum(met[1:]) <= n, met
+
+
+def test_bitmaps_differ_in_no_more_bits_than_shingles():
+    rng = random.Random(3)
+    split = paragraph_dedup.word_splitter()
+    for size in (5, 30, 400):
+        words = split(" ".join(f"w{rng.randrange(40)}" for _ in range(size)).encode())[0]
+        begins = np.array([0, 0, size // 3])
+        ends = np.array([size, max(5, size // 2), max(size // 3 + 5, size)])
+        begins, ends = begins[ends <= size], ends[ends <= size]
+        maps = paragraph_dedup.bitmaps(words, begins, ends)
+        sets = [set(shingles(words, 5)[b:e - 4].tolist()) for b, e in zip(begins, ends)]
+        for i, j in itertools.combinations(range(len(sets)), 2):
+            differ = sum(int(x ^ y).bit_count() for x, y in zip(maps[i], maps[j]))
+            assert (sets[i] != sets[j] or differ == 0) and differ <= len(sets[i] ^ sets[j])
+
+
+def test_whole_sets_move_only_for_paragraphs_alike(spark, monkeypatch):
+    """Paragraphs that share a bucket by a common phrase are not sent with their whole sets; near copies are found."""
+    rng = random.Random(4)
+    texts = [" ".join([f"w{rng.randrange(10**6)}" for _ in range(18)] + "this phrase stands in all of them here".split()) for _ in range(120)]
+    texts.append(texts[7] + " more")
+    met = []
+    linked = paragraph_dedup.linked
+
+    def counted(pairs, sets, percent):
+        met.append(pairs.count())
+        return linked(pairs, sets, percent)
+
+    monkeypatch.setattr(paragraph_dedup, "linked", counted)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r.pd_removed for r in paragraph_dedup.removals(docs).collect()}
+    assert got == {i: int(i == 120) for i in range(121)}
+    assert sum(met) <= 60, met  # nearly all of them of one text: its window and the whole
