@@ -111,3 +111,31 @@ def test_whole_sets_move_only_for_paragraphs_alike(spark, monkeypatch):
     got = {r.doc_id: r.pd_removed for r in paragraph_dedup.removals(docs).collect()}
     assert got == {i: int(i == 120) for i in range(121)}
     assert sum(met) <= 60, met  # nearly all of them of one text: its window and the whole
+
+
+def test_workers_get_small_batches_and_keep_one_thing(spark):
+    """Batches are bounded on Spark's side too, and what a worker keeps goes when another operator's task runs."""
+    spark.conf.unset(common.BATCH_ROWS)
+    made = []
+    key = object()
+    assert common.worker_keeps(key, lambda k: made.append(k) or [k]) is common.worker_keeps(key, made.append) and made == [key]
+    docs = spark.createDataFrame([(i, f"text {i}") for i in range(5)], "doc_id long, text string").coalesce(1)
+    assert sentencepiece_codec.encode_texts(docs).count() == 5
+
+    def make():
+        return lambda batch: [pa.array([len(common._KEPT)] * batch.num_rows, pa.int64())]
+
+    rows = common.add_columns(spark.range(2500).coalesce(1), [T.StructField("n", T.LongType())], make)
+    assert {r.n for r in rows.collect()} == {0} and 0 < int(spark.conf.get(common.BATCH_ROWS)) <= common.ROWS_AT_ONCE
+    sizes = spark.range(2500).coalesce(1).mapInArrow(lambda batches: (pa.RecordBatch.from_arrays([pa.array([b.num_rows], pa.int64())], names=["n"]) for b in batches), "n long")
+    assert max(r.n for r in sizes.collect()) <= common.ROWS_AT_ONCE
+
+
+def test_marks_in_texts_are_spaces_and_kept_tokens_are_right():
+    from sentencepiece import SentencePieceProcessor
+    library = SentencePieceProcessor(model_file=sentencepiece_codec.MODEL)
+    encoder = sentencepiece_codec.Encoder(sentencepiece_codec.Vocabulary())
+    texts = ["a\u2581b \u2581 c", "a b", "\u2581", "x \u2581\ny", "a\u2581b \u2581 c"]
+    for _ in range(2):
+        assert [t.tolist() for t in encoder(texts)] == library.encode(texts, num_threads=1)
+    assert all(isinstance(v, bytes) for v in encoder.known.values()) and any(encoder.known)

@@ -1,6 +1,7 @@
 """SentencePiece encoding and decoding by a Viterbi search that words share by prefix.
 
-A text is marked as the model asks (a leading space, spaces as U+2581) and cut
+A text is marked as the model asks (a leading space; U+2581, which stands for a space
+in the model, is a space here in texts and pieces, so that most strings are ASCII) and cut
 into units that no piece of the vocabulary crosses: a run of marks with the word
 behind it, a line break.  The distinct units of a stretch of text are sorted,
 which lays them out as a trie in depth-first order; going from one unit to the
@@ -24,6 +25,7 @@ from __future__ import annotations
 
 import os
 import re
+from array import array
 
 import numpy as np
 import pyarrow as pa
@@ -31,21 +33,21 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tripwise.llm.common import add_columns, table
+from tripwise.llm.common import add_columns, table, worker_keeps
 
 MODEL = os.path.join(os.environ.get("TOKENIZER_DIR", "/opt/tokenizers"), "piece_bpe_32k.model")
 MARK = "▁"
 #: characters of text whose distinct units are sorted together
 STRETCH = 1 << 20
 #: units whose tokens a worker keeps for later texts (twice as many for a while), and the longest that it keeps
-UNITS_KEPT, LONGEST_KEPT = 250_000, 40
+UNITS_KEPT, LONGEST_KEPT = 100_000, 40
 #: pairs of pieces whose merging a worker remembers
 PAIRS_KEPT = 300_000
 
 _LETTER, _STOP = "[A-Za-zÀ-ɏ]", "[.,!?;:]"
-_UNIT = f"{MARK}*[^{MARK}\n]+|{MARK}+|\n"
+_UNIT = " *[^ \n]+| +|\n"
 # also cuts between a letter and a stop, where no piece of the vocabulary has both
-_UNIT_OR_STOP = f"{MARK}*[^{MARK}\n.,!?;:]*{_LETTER}(?={_STOP})|{_UNIT}"
+_UNIT_OR_STOP = f" *[^ \n.,!?;:]*{_LETTER}(?={_STOP})|{_UNIT}"
 _UNIGRAM, _BPE = 1, 2
 
 
@@ -76,10 +78,10 @@ class Vocabulary:
         self.kind = model.trainer_spec.model_type
         if self.kind not in (_UNIGRAM, _BPE):
             raise ValueError(f"model type {self.kind} is neither unigram nor byte pair")
-        self.prefix = MARK if model.normalizer_spec.add_dummy_prefix else ""
+        self.prefix = " " if model.normalizer_spec.add_dummy_prefix else ""
         processor = SentencePieceProcessor(model_file=path)
         self.score: dict[str, float] = {}
-        self.id: dict[str, int] = {}
+        self.id: dict[str, int] = {}  # by piece, with U+2581 as a space
         self.bytes: list[bytes] = []  # of each id, with U+2581 as a space
         self.byte_id = [0] * 256
         for i in range(processor.get_piece_size()):
@@ -91,9 +93,11 @@ class Vocabulary:
             elif processor.is_control(i) or processor.is_unknown(i) or processor.is_unused(i):
                 self.bytes.append(b"")
             else:
-                self.id[piece], self.score[piece] = i, processor.get_score(i)
-                self.bytes.append(piece.replace(MARK, " ").encode())
-        if any("\n" in p or re.search(f"[^{MARK}]{MARK}", p) for p in self.id):
+                own = piece.replace(MARK, " ")
+                self.bytes.append(own.encode())
+                if " " not in piece:  # one with a space of its own fits no marked text
+                    self.id[own], self.score[own] = i, processor.get_score(i)
+        if any("\n" in p or re.search("[^ ] ", p) for p in self.id):
             raise ValueError("a piece crosses a line break or the start of a word")
         self.unit = _UNIT if any(re.search(_LETTER + _STOP, p) for p in self.id) else _UNIT_OR_STOP
         # pieces by character; "" marks the end of one that merging its own characters yields
@@ -142,7 +146,7 @@ class PrefixEncoder:
             if piece in known:
                 out.append(known[piece])
             else:
-                out.extend(self.v.byte_id[b] for b in reversed(piece.encode()))
+                out.extend(self.v.byte_id[b] for b in reversed(piece.replace(" ", MARK).encode()))
             end -= len(piece)
         return tuple(reversed(out))
 
@@ -181,8 +185,9 @@ class Encoder:
 
     def __init__(self, vocabulary: Vocabulary):
         self.v = vocabulary
-        self.known: dict[str, tuple[int, ...]] = {}
-        self.earlier: dict[str, tuple[int, ...]] = {}
+        # by unit: its token numbers as bytes of 32-bit integers
+        self.known: dict[str, bytes] = {}
+        self.earlier: dict[str, bytes] = {}
         self.apart: dict[tuple[str, str], bool] = {}
         self.units = re.compile(vocabulary.unit).findall
 
@@ -197,7 +202,7 @@ class Encoder:
         return out
 
     def _stretch(self, texts: list[str]) -> list[np.ndarray]:
-        units = [self.units(self.v.prefix + t.replace(" ", MARK)) if t else [] for t in texts]
+        units = [self.units(self.v.prefix + t.replace(MARK, " ")) if t else [] for t in texts]
         distinct = set().union(*units)
         if len(self.known) > UNITS_KEPT:
             self.known, self.earlier = {}, self.known
@@ -207,11 +212,11 @@ class Encoder:
             known[unit] = earlier[unit]
         encoder, long = PrefixEncoder(self.v, self.apart), {}
         for unit in sorted(fresh.difference(earlier)):
-            (known if len(unit) <= LONGEST_KEPT else long)[unit] = encoder.encode(unit)
+            (known if len(unit) <= LONGEST_KEPT else long)[unit] = array("i", encoder.encode(unit)).tobytes()
         order = {unit: i for i, unit in enumerate(distinct)}
         tokens = [known[unit] if unit in known else long[unit] for unit in distinct]
-        size = np.fromiter(map(len, tokens), np.int64, len(tokens))
-        flat = np.fromiter((t for ids in tokens for t in ids), np.int32, int(size.sum()))
+        size = np.fromiter(map(len, tokens), np.int64, len(tokens)) // 4
+        flat = np.frombuffer(b"".join(tokens), np.int32)
         start = np.cumsum(size) - size
         out = []
         for own in units:
@@ -223,14 +228,9 @@ class Encoder:
         return out
 
 
-_ENCODERS: list[Encoder] = []
-
-
 def worker_encoder(vocabulary: Vocabulary) -> Encoder:
     """The encoder of this Python worker, with what it keeps from earlier tasks with the same (broadcast) vocabulary."""
-    if not _ENCODERS or _ENCODERS[0].v is not vocabulary:
-        _ENCODERS[:] = [Encoder(vocabulary)]
-    return _ENCODERS[0]
+    return worker_keeps(vocabulary, Encoder)
 
 
 def decode(vocabulary: Vocabulary, tokens) -> str:
