@@ -7,7 +7,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import types as T
 
-from tripwise.llm import common, ngram_join, paragraph_dedup, sentencepiece_codec
+from tripwise.llm import common, line_dedup, ngram_join, paragraph_dedup, sentencepiece_codec
 from tripwise.llm.words import shingles
 
 
@@ -139,3 +139,13 @@ def test_marks_in_texts_are_spaces_and_kept_tokens_are_right():
     for _ in range(2):
         assert [t.tolist() for t in encoder(texts)] == library.encode(texts, num_threads=1)
     assert all(isinstance(v, bytes) for v in encoder.known.values()) and any(encoder.known)
+
+
+def test_words_of_a_line_are_hashed_once(spark):
+    """No condition holds the words' hashes, which Spark would compute for it and once more for the rows."""
+    docs = spark.createDataFrame([(1, "a b\tc d e\n \x0b \nA b c d e\n\u00a0"), (2, "\n\n"), (None, "a b c d e")], "doc_id long, text string")
+    lines = line_dedup.lines_of(docs, "doc_id", "text")
+    plan = line_dedup._as_sets(line_dedup._hashed(lines))._jdf.queryExecution().optimizedPlan().toString()
+    assert not [part for part in plan.splitlines() if "Filter" in part and "xxhash64" in part]
+    got = {r.doc_id: (r.ld_lines, r.ld_removed) for r in line_dedup.removed_lines(docs).collect()}
+    assert got == {1: (4, [2]), 2: (3, []), None: (1, [])}
