@@ -149,3 +149,24 @@ def test_words_of_a_line_are_hashed_once(spark):
     assert not [part for part in plan.splitlines() if "Filter" in part and "xxhash64" in part]
     got = {r.doc_id: (r.ld_lines, r.ld_removed) for r in line_dedup.removed_lines(docs).collect()}
     assert got == {1: (4, [2]), 2: (3, []), None: (1, [])}
+
+
+def test_paragraphs_of_many_texts_are_those_of_each(spark, monkeypatch):
+    """Texts worked on together have the windows, lines and blocks that each of them has alone."""
+    rng = random.Random(9)
+    values = [None, b"", b"one two"] + [(" ".join(rng.choice(["w%d" % rng.randrange(50), "x\n", "y\n\n"]) for _ in range(rng.randrange(200)))).encode() for _ in range(60)]
+    split = paragraph_dedup.word_splitter()
+    texts = paragraph_dedup.Texts(split, values)
+    begins, ends = paragraph_dedup.paragraph_spans(texts)
+    of = texts.of(begins)
+    key, own, order = paragraph_dedup.sketches(texts.words, begins, ends)
+    for i, value in enumerate(values):
+        alone = paragraph_dedup.Texts(split, [value])
+        first, last = paragraph_dedup.paragraph_spans(alone)
+        mine = of == i
+        assert (begins[mine] - texts.first[i]).tolist() == first.tolist() and (ends[mine] - texts.first[i]).tolist() == last.tolist()
+        windows = paragraph_dedup.paragraph_begins(alone.words) if len(alone.words) >= 5 else []
+        assert set(windows) <= set(first.tolist())
+        if len(first):
+            assert all((a == b[mine]).all() for a, b in zip(paragraph_dedup.sketches(alone.words, first, last), (key, own, order)))
+    assert list(paragraph_dedup.stretches([b"a" * 400_000] * 3 + [None])) == [(0, 1), (1, 2), (2, 4)]
