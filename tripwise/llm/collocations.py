@@ -7,10 +7,11 @@ shorter phrase is the flow out of its node, the sum of the edges that begin with
 plus the pieces that end with it.
 
 1. Tasks turn texts into (words, language) keys, one for each word of a piece and the
-   words after it, and count equal ones in stretches (Arrow kernels, no Python object
+   words after it, and sort and count them in stretches (Arrow kernels, no Python object
    a word).
 2. One exchange deals the keys into ranges, whose bounds come from a sample of the
-   texts, and Spark sorts each (and spills).  A language's keys that begin with the
+   texts, and Spark sorts each (and spills): it merges the stretches' sorted runs, which
+   also compress well on the way.  A language's keys that begin with the
    same words follow each other, so one pass with a running sum for each length gives
    all flows.  A frequent phrase's continuations may fill several ranges: the first
    and the last sum of each length in a range are added up afterwards.
@@ -78,7 +79,7 @@ def _stretches(text: bytes, longest: int) -> Iterator[tuple[bytes, int]]:
 
 
 def count_keys(text: bytes, end: int, lang: bytes, longest: int) -> tuple[pa.Array, pa.Array]:
-    """Distinct keys, with counts, of the words that begin before ``end`` and up to ``longest - 1`` words after each."""
+    """Ascending distinct keys, with counts, of the words that begin before ``end`` and up to ``longest - 1`` words after each."""
     data = np.frombuffer(text.translate(_LOWER), np.uint8)
     kind = _KIND[np.frombuffer(text, np.uint8)]
     is_word = kind == 2
@@ -95,19 +96,31 @@ def count_keys(text: bytes, end: int, lang: bytes, longest: int) -> tuple[pa.Arr
         columns.append(pa.concat_arrays([words, pa.nulls(ahead, pa.binary())]))
     columns.append(pa.scalar(b"\x00" + lang, pa.binary()))
     keys = pc.binary_join_element_wise(*columns, pa.scalar(b"\x00", pa.binary()), null_handling="skip") if n else pa.array([], pa.binary())
-    found = pc.value_counts(keys.slice(0, int(np.searchsorted(begin, end))))
-    return found.field(0), found.field(1)
+    keys = keys.slice(0, int(np.searchsorted(begin, end)))
+    keys = keys.take(pc.sort_indices(keys))
+    first = np.ones(len(keys), bool)
+    first[1:] = pc.not_equal(keys[1:], keys[:-1]).to_numpy(zero_copy_only=False)
+    start = np.flatnonzero(first)
+    return keys.take(pa.array(start)), pa.array(np.diff(start, append=len(keys)), pa.int64())
 
 
 def _heads(keys: pa.Array) -> np.ndarray:
     """The first ``HEAD`` bytes of each key, filled up with bytes 0."""
     offsets = np.frombuffer(keys.buffers()[1], np.int32)[keys.offset:keys.offset + len(keys) + 1].astype(np.int64)
-    data = np.frombuffer(keys.buffers()[2], np.uint8)
-    at = offsets[:-1, None] + np.arange(HEAD)
-    heads = np.where(at < offsets[1:, None], data[np.minimum(at, len(data) - 1)], 0).astype(np.uint8)
+    data = np.frombuffer(keys.buffers()[2] or b"", np.uint8)[offsets[0]:offsets[-1]]
+    heads = np.lib.stride_tricks.sliding_window_view(np.concatenate((data, np.zeros(HEAD, np.uint8))), HEAD)[offsets[:-1] - offsets[0]]
+    size = np.diff(offsets)
+    short = np.flatnonzero(size < HEAD)
+    heads[short] *= np.arange(HEAD) < size[short, None]
     return heads.view(f"S{HEAD}").ravel()
 
 
+def _ranges(keys: pa.Array, edges: np.ndarray) -> np.ndarray:
+    """The number of each ascending key's range: how many of the ascending ``edges`` its head reaches."""
+    at = np.searchsorted(_heads(keys), edges)
+    return np.repeat(np.arange(len(edges) + 1, dtype=np.int32), np.diff(at, prepend=0, append=len(keys)))
+
+
 def _keys_of(longest: int, bounds: list[bytes] | None):
     """Batches of (gram, n) with, where there are ``bounds``, the number of the gram's range."""
 
@@ -120,11 +133,9 @@ def _keys_of(longest: int, bounds: list[bytes] | None):
             for lang, texts in waiting.items():
                 for text, end in _stretches(b"\n".join(texts), longest):
                     keys, counts = count_keys(text, end, lang.encode(), longest)
+                    columns = [keys, counts] if edges is None else [keys, counts, pa.array(_ranges(keys, edges))]
                     for at in range(0, len(keys), ROWS_AT_ONCE):
-                        part = [keys.slice(at, ROWS_AT_ONCE), counts.slice(at, ROWS_AT_ONCE)]
-                        if edges is not None:
-                            part.append(pa.array(np.searchsorted(edges, _heads(part[0]), side="right").astype(np.int32)))
-                        yield pa.RecordBatch.from_arrays(part, names=["gram", "n", "range"][:len(part)])
+                        yield pa.RecordBatch.from_arrays([c.slice(at, ROWS_AT_ONCE) for c in columns], names=["gram", "n", "range"][:len(columns)])
             waiting.clear()
 
         for batch in batches:
