@@ -159,7 +159,7 @@ def _range_bounds(texts: DataFrame, ranges: int, longest: int) -> list[bytes]:
     rows = texts.count()
     sample = texts.sample(min(1.0, SAMPLED_TEXTS * ranges / rows), seed=1) if rows else texts
     heads = sample.mapInArrow(_keys_of(longest, None), "gram binary, n bigint").select(F.expr(f"substring(gram, 1, {HEAD})").alias("head"))
-    found = np.sort(np.array([r.head for r in heads.collect()], f"S{HEAD}"))
+    found = np.sort(np.concatenate([_heads(c) for c in heads.toArrow().column(0).chunks] or [np.empty(0, f"S{HEAD}")]))
     return sorted({bytes(found[len(found) * i // ranges]) for i in range(1, ranges)}) if len(found) else []
 
 
@@ -309,6 +309,11 @@ def flows(docs: DataFrame, longest: int = LONGEST, least: int = LEAST, text: str
     return stored(total.where((F.col("n") >= least) | (F.col("words") == 0)), "phrase-counts")
 
 
+def _merged(side: DataFrame) -> DataFrame:
+    """A side of a join that grows with the corpus: never broadcast, though Spark, which sees the packed file and not what ``explode`` makes of it, may size it low."""
+    return side.hint("merge")
+
+
 def _wide(c: str) -> F.Column:
     return F.col(c).cast("decimal(20,0)")
 
@@ -329,7 +334,7 @@ def scored(counts: DataFrame) -> DataFrame:
     left = parts.select("lang", F.col("part").alias("left"), F.col("n").alias("l"), F.col("deal").alias("deal_left"))
     right = parts.select("lang", F.col("part").alias("right"), F.col("n").alias("r"), F.col("deal").alias("deal_right"))
     cuts = cuts.withColumn("deal_left", deal(F.col("k") == 1)).withColumn("deal_right", deal(F.col("words") - F.col("k") == 1))
-    cuts = cuts.join(left, ["lang", "left", "deal_left"]).join(right, ["lang", "right", "deal_right"])
+    cuts = cuts.join(_merged(left), ["lang", "left", "deal_left"]).join(_merged(right), ["lang", "right", "deal_right"])
     # whole-number division of decimals; nothing is rounded
     value = F.expr(f"(cast({SCALE} as decimal(8,0)) * cast(a as decimal(20,0))) div (cast(l as decimal(20,0)) + cast(r as decimal(20,0)))")
     weakest = F.min(F.struct(value.alias("score"), "k", "l", "r")).alias("cut")
@@ -345,14 +350,14 @@ def covered(counts: DataFrame, percent: int = COVER_PERCENT) -> DataFrame:
               .select("lang", "n", "all", "size", F.explode(F.sequence(F.lit(1), F.col("words") - F.col("size") + 1)).alias("begin"))
               .groupBy("lang", F.array_join(F.slice("all", F.col("begin"), F.col("size")), " ").alias("phrase")).agg(F.max("n").alias("most")))
     own = counts.where("words >= 2").select("lang", "phrase", "n")
-    return own.join(inside, ["lang", "phrase"]).where(_wide("most") * 100 >= _wide("n") * percent).select("lang", "phrase")
+    return own.join(_merged(inside), ["lang", "phrase"]).where(_wide("most") * 100 >= _wide("n") * percent).select("lang", "phrase")
 
 
 def collocations(docs: DataFrame, longest: int = LONGEST, least: int = LEAST, percent: int = COVER_PERCENT, top: int = TOP,
                  text: str = "text", lang: str = "lang") -> DataFrame:
     """The ``top`` phrases of each language: lang, rank, phrase, a, l, r, n and score."""
     counts = flows(docs, longest, least, text, lang)
-    left = scored(counts).join(covered(counts, percent), ["lang", "phrase"], "left_anti")
+    left = scored(counts).join(_merged(covered(counts, percent)), ["lang", "phrase"], "left_anti")
     order = Window.partitionBy("lang").orderBy(F.col("score").desc(), F.col("a").desc(), F.col("phrase"))
     best = left.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= top)
     words = counts.where("words = 0").select("lang", "n")
